@@ -89,8 +89,10 @@ def metric_keys(parsed: DataFrame) -> DataFrame:
 
     ``pv_<hour>`` and ``site_pv_<site>_<hour>`` are page-view counters,
     ``uv_<day>`` the size of the day's user set. One GROUPING SETS aggregate
-    computes the two PV levels and the distinct (day, user) pairs; the UV
-    count is then a small second aggregate over those pairs.
+    yields the two PV levels and the distinct (day, user) pairs; a second,
+    small aggregate keyed by the metric name then passes PV counts through
+    and counts one per pair for UV. (Filtering the first aggregate into three
+    branches would let Catalyst push each filter below it: three scans.)
     """
     p = with_day(parsed)
     g = (p.groupingSets([[F.col("hour")], [F.col("site_id"), F.col("hour")],
@@ -98,11 +100,10 @@ def metric_keys(parsed: DataFrame) -> DataFrame:
                         F.col("hour"), F.col("site_id"), F.col("day"), F.col("user_id"))
          .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
     # grouping_id bits (hour, site_id, day, user_id): 1 = rolled up
-    pv = g.where(F.col("gid") == 0b0111).select(
-        F.concat(F.lit(PV_PREFIX), "hour").alias("metric_key"), "n")
-    site = g.where(F.col("gid") == 0b0011).select(
-        F.concat(F.lit(SITE_PV_PREFIX), "site_id", F.lit("_"), "hour").alias("metric_key"), "n")
-    uv = (g.where(F.col("gid") == 0b1100).groupBy("day")
-          .agg(F.count(F.lit(1)).alias("n"))
-          .select(F.concat(F.lit(UV_PREFIX), "day").alias("metric_key"), "n"))
-    return pv.unionByName(site).unionByName(uv)
+    is_pv, is_site = F.col("gid") == 0b0111, F.col("gid") == 0b0011
+    key = (F.when(is_pv, F.concat(F.lit(PV_PREFIX), "hour"))
+            .when(is_site, F.concat(F.lit(SITE_PV_PREFIX), "site_id", F.lit("_"), "hour"))
+            .otherwise(F.concat(F.lit(UV_PREFIX), "day")))
+    contrib = F.when(is_pv | is_site, F.col("n")).otherwise(F.lit(1).cast("bigint"))
+    return (g.select(key.alias("metric_key"), contrib.alias("c"))
+            .groupBy("metric_key").agg(F.sum("c").alias("n")))
