@@ -1,0 +1,130 @@
+"""Replay-safe commits (results + ledger together) and JDBC statement text.
+
+No database is started: the commit log lives in the test's scratch
+checkpoint folder; JDBC statements are checked as text.
+"""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from eventide.operators import logs, tokens
+from eventide.plans import jobs
+from eventide.schemas import WORD_TOTAL
+from eventide.sinks import jdbc
+from eventide.sinks.commit_log import CommitLog
+from eventide.sources.records import documents_envelope, events_envelope
+
+
+def _docs(spark):
+    return documents_envelope(spark, SF01).drop("doc_id")
+
+
+def _totals(log):
+    return {r["word"]: r["cnt"] for r in log.latest("totals", WORD_TOTAL).collect()}
+
+
+def test_catch_up_totals_in_two_steps_equals_batch(spark, tmp_dir):
+    log = CommitLog(spark, os.path.join(tmp_dir, "log"))
+    docs = _docs(spark)
+    assert jobs.catch_up_word_totals(log, docs.where("batch_id <= 1"), "m", "g") == 1
+    assert jobs.catch_up_word_totals(log, docs, "m", "g") == 4
+    expect = {r["word"]: r["cnt"] for r in tokens.running_total(tokens.tokenize(docs)).collect()}
+    assert _totals(log) == expect
+    ledger = {r["partition"]: r["until_offset"] for r in log.ledger("m", "g").collect()}
+    assert ledger == {0: 250, 1: 250, 2: 250, 3: 250}
+
+
+def test_same_batches_applied_twice_have_one_effect(spark, tmp_dir):
+    log = CommitLog(spark, os.path.join(tmp_dir, "log"))
+    docs = _docs(spark).where("batch_id <= 2")
+    jobs.catch_up_word_totals(log, docs, "m", "g")
+    before = _totals(log)
+    assert jobs.catch_up_word_totals(log, docs, "m", "g") is None  # nothing pending
+    assert _totals(log) == before
+
+
+def test_failure_after_staging_changes_nothing_and_retry_succeeds(spark, tmp_dir):
+    log = CommitLog(spark, os.path.join(tmp_dir, "log"))
+    docs = _docs(spark)
+    jobs.catch_up_word_totals(log, docs.where("batch_id = 0"), "m", "g")
+    before, ledger_before = _totals(log), sorted(tuple(r) for r in log.ledger("m", "g").collect())
+    with pytest.raises(RuntimeError):
+        jobs.catch_up_word_totals(log, docs, "m", "g", fail_before_marker=True)
+    assert _totals(log) == before
+    assert sorted(tuple(r) for r in log.ledger("m", "g").collect()) == ledger_before
+    jobs.catch_up_word_totals(log, docs, "m", "g")  # retry rewrites the staged commit
+    expect = {r["word"]: r["cnt"] for r in tokens.running_total(tokens.tokenize(docs)).collect()}
+    assert _totals(log) == expect
+
+
+def test_pv_uv_commits_equal_batch(spark, tmp_dir):
+    log = CommitLog(spark, os.path.join(tmp_dir, "log"))
+    recs = events_envelope(spark, SF01, "log", keep=())
+    for upto in (0, 2, 4):
+        jobs.catch_up_pv_uv(log, recs.where(F.col("batch_id") <= upto), "web", "g")
+    parsed = logs.parse_log(recs)
+    pv = logs.pv_rollup(parsed)
+    got = jobs.committed_pv(log)
+    cols = ["hour", "site_id", "pv"]
+    assert got.select(cols).exceptAll(pv.select(cols)).count() == 0
+    assert pv.select(cols).exceptAll(got.select(cols)).count() == 0
+    uv = {r["day"]: r["uv"] for r in logs.uv_by_day(parsed).collect()}
+    assert {r["day"]: r["uv"] for r in jobs.committed_uv(log).collect()} == uv
+
+
+def test_merge_sql_dialects():
+    ansi = jdbc.merge_sql("wordcount", "wordcount_stage", ["word"], add=["cnt"])
+    assert ansi == ("MERGE INTO wordcount t USING wordcount_stage s ON t.word = s.word "
+                    "WHEN MATCHED THEN UPDATE SET cnt = t.cnt + s.cnt "
+                    "WHEN NOT MATCHED THEN INSERT (word, cnt) VALUES (s.word, s.cnt)")
+    my = jdbc.merge_sql("wordcount", "st", ["word"], add=["cnt"], dialect="mysql")
+    assert my == ("INSERT INTO wordcount (word, cnt) SELECT word, cnt FROM st "
+                  "ON DUPLICATE KEY UPDATE cnt = wordcount.cnt + VALUES(cnt)")
+    with pytest.raises(ValueError):
+        jdbc.merge_sql("a", "b", ["k"], dialect="other")
+
+
+class _FakeCursor:
+    def __init__(self, db):
+        self.db, self.last = db, None
+
+    def execute(self, sql):
+        self.db.log.append(sql)
+        self.last = sql
+
+    def fetchone(self):
+        bid = int(self.last.rsplit("=", 1)[1])
+        return (1 if bid in self.db.applied else 0,)
+
+
+class _FakeConn:
+    """Records statements; stands in for a DB-API connection."""
+    def __init__(self, db):
+        self.db = db
+
+    def cursor(self):
+        return _FakeCursor(self.db)
+
+    def commit(self):
+        for s in self.db.log:
+            if s.startswith("INSERT INTO applied_batches"):
+                self.db.applied.add(int(s.split("VALUES (")[1].rstrip(")")))
+        self.db.commits += 1
+
+    def rollback(self):
+        self.db.rollbacks += 1
+
+    def close(self):
+        pass
+
+
+def test_commit_batch_guard_skips_replayed_batch():
+    class DB:
+        log, applied, commits, rollbacks = [], set(), 0, 0
+    db = DB()
+    assert jdbc.commit_batch(lambda: _FakeConn(db), 7, ["MERGE ..."]) is True
+    assert jdbc.commit_batch(lambda: _FakeConn(db), 7, ["MERGE ..."]) is False
+    assert db.commits == 1 and db.rollbacks == 1
