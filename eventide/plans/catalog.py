@@ -188,7 +188,7 @@ def scalar_query(spark, sf):
 
 @query("value_projection", "SELECT text AS value FROM documents")
 def value_projection(spark, sf):
-    return values.value_projection(documents_envelope(spark, sf))
+    return values.value_projection(documents_envelope(spark, sf, spread_scan=False))
 
 
 @query("key_value_projection", 'SELECT "key", CAST(reading AS VARCHAR) AS value FROM r')

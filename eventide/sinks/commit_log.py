@@ -31,6 +31,7 @@ from pyspark.errors import AnalysisException
 
 from eventide.operators.offsets import ledger_update
 from eventide.schemas import LEDGER
+from eventide.session import checkpoint_root
 
 MARKERS = "_commits"
 LEDGER_TABLE = "_ledger"
@@ -39,8 +40,16 @@ MARKER_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType(), False),
 
 
 class CommitLog:
-    def __init__(self, spark: SparkSession, root: str):
+    """A job's committed results under ``root`` (default:
+    ``<spark.checkpoint.dir>/commits/<job>``, a shared folder that outlives
+    executors and restarts)."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None, job: str | None = None):
         self.spark = spark
+        if root is None:
+            if not job:
+                raise ValueError("give a root folder or a job name")
+            root = os.path.join(checkpoint_root(spark), "commits", job)
         self.root = root
 
     # ------------------------------------------------------------ reading

@@ -117,11 +117,18 @@ def document_records(documents: DataFrame, topic: str = "documents",
 
 
 def events_envelope(spark: SparkSession, sf_dir: str, payload: str = "reading",
-                    **kw) -> DataFrame:
-    # light per-row work: a single-split scan is not worth a shuffle
-    return event_records(read_table(spark, sf_dir, "events"), payload, **kw)
-
-
-def documents_envelope(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    # tokenizing whole texts is CPU heavy: spread single-split scans over the cores
-    return document_records(spread(read_table(spark, sf_dir, "documents"), "doc_id"), **kw)
+                    spread_scan: bool = False, **kw) -> DataFrame:
+    """Events as records. Pass ``spread_scan=True`` when heavy per-row work
+    (log parsing, text dates) follows; plain projections and counts keep the
+    scan as it is."""
+    ev = read_table(spark, sf_dir, "events")
+    return event_records(spread(ev, "event_id") if spread_scan else ev, payload, **kw)
+
+
+def documents_envelope(spark: SparkSession, sf_dir: str, spread_scan: bool = True,
+                       **kw) -> DataFrame:
+    """Documents as records. Tokenizing whole texts is CPU heavy, so a
+    single-split scan is spread over the cores (``spread_scan``); plain
+    projections pass ``spread_scan=False``."""
+    docs = read_table(spark, sf_dir, "documents")
+    return document_records(spread(docs, "doc_id") if spread_scan else docs, **kw)

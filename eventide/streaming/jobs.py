@@ -12,10 +12,13 @@ update mode; UV and alert windows close behind a watermark on ``ts``.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.operators import logs, tokens, values
+from eventide.session import checkpoint_root
 from eventide.operators.values import ALERT_THRESHOLD, DAY_JOINER
 from eventide.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS
 
@@ -100,14 +103,21 @@ def windowed_alert(records: DataFrame, lateness: str = "1 hour",
     return alert.select(F.col("w.start").alias("window_start"), "data", "result"), "append"
 
 
-def start(df: DataFrame, mode: str, sink: str, checkpoint: str, path: str | None = None,
-          name: str | None = None, trigger: dict | None = None):
+def start(df: DataFrame, mode: str, sink: str, checkpoint: str | None = None,
+          path: str | None = None, name: str | None = None, trigger: dict | None = None):
     """Start a query: ``parquet`` (exactly-once file sink, append only),
     ``console`` (preview) or ``memory`` (tests; results on the driver).
 
-    ``trigger`` defaults to the reference's 6 s processing-time interval;
+    The checkpoint (offsets, commits, state) defaults to
+    ``<spark.checkpoint.dir>/streams/<name>``: a stable, shared location, so a
+    restarted query (or one whose executors were lost) resumes exactly where
+    it committed. ``trigger`` defaults to the reference's 6 s interval;
     replays pass ``{"availableNow": True}``.
     """
+    if checkpoint is None:
+        if not name:
+            raise ValueError("a stream needs a name or an explicit checkpoint location")
+        checkpoint = os.path.join(checkpoint_root(df.sparkSession), "streams", name)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     trig = trigger or {"processingTime": f"{BATCH_INTERVAL_S} seconds"}
     w = w.trigger(**trig)
