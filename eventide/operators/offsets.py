@@ -141,7 +141,8 @@ def start_positions(records: DataFrame, policy: str, log_end_batch: int | None =
     * none: no default; callers must pass a ledger (see ``require_positions``).
     """
     if policy == "earliest":
-        return records.select("topic", "partition", F.col("offset").alias("until_offset")).limit(0)
+        return records.sparkSession.createDataFrame(
+            [], "topic string, partition int, until_offset bigint")
     if policy == "latest":
         if log_end_batch is None:
             raise ValueError("latest needs the log end at start (log_end_batch)")
@@ -153,6 +154,19 @@ def start_positions(records: DataFrame, policy: str, log_end_batch: int | None =
     raise ValueError(f"unknown start policy: {policy}")
 
 
+def require_positions(partitions: DataFrame, positions: DataFrame) -> DataFrame:
+    """``auto.offset.reset=none``: every partition must have a stored position.
+
+    Returns the positions when complete; raises (like the consumer's
+    NoOffsetForPartitionException) naming how many partitions lack one.
+    """
+    missing = partitions.select("topic", "partition").join(
+        positions.select("topic", "partition"), ["topic", "partition"], "left_anti").count()
+    if missing:
+        raise ValueError(f"auto.offset.reset=none: {missing} partition(s) have no stored position")
+    return positions
+
+
 # Largest position table broadcast to every task: one row per topic-partition
 # is far below this for any real topic set.
 MAX_BROADCAST_ROWS = 1_000_000

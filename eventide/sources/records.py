@@ -47,8 +47,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave as is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, key)
 

@@ -110,3 +110,11 @@ def test_sliding_mean_general_slide(spark):
     assert got.keys() == native.keys()
     for k in got:
         assert got[k] == pytest.approx(native[k])
+
+
+def test_none_policy_requires_every_position(spark):
+    parts = spark.createDataFrame([("t", 0), ("t", 1)], "topic string, partition int")
+    full = spark.createDataFrame([("m", "g", "t", 0, 5), ("m", "g", "t", 1, 7)], LEDGER)
+    assert offsets.require_positions(parts, full).count() == 2
+    with pytest.raises(ValueError):
+        offsets.require_positions(parts, full.where("partition = 0"))

@@ -156,3 +156,12 @@ def test_alert_stream_emits_closed_windows(spark, reading_log, tmp_dir):
     # stream window starts are timestamps (UTC session), batch ones timestamp_ntz
     out_ntz = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     assert _same(out_ntz, batch.where(F.col("window_start") <= F.lit(last).cast("timestamp_ntz")))
+
+
+def test_observed_batch_metrics(spark, reading_log, tmp_dir):
+    df, mode = jobs.three_fields(jobs.observed(replay_records(spark, reading_log), "batch"))
+    q = jobs.start(df.select("f0"), mode, "parquet", os.path.join(tmp_dir, "ck"),
+                   path=os.path.join(tmp_dir, "out"), trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    seen = [p["observedMetrics"]["batch"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["n"] for m in seen) == 10000
