@@ -24,14 +24,17 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "eventide", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.
 
+    ``master=None`` leaves the master to spark-submit (cluster runs).
     ``shuffle_partitions`` should be sized to the cluster: roughly total input
     bytes of the widest shuffle / 128 MB; AQE then coalesces small ones.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
