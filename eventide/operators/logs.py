@@ -84,23 +84,35 @@ def merge_members(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return stored.unionByName(batch).distinct()
 
 
+# grouping_id of pv_uv_sets, bits (hour, site_id, day, user_id), 1 = rolled up
+GID_PV_HOUR, GID_PV_SITE_HOUR, GID_UV_MEMBER = 0b0111, 0b0011, 0b1100
+
+
+def pv_uv_sets(parsed: DataFrame) -> DataFrame:
+    """Every J5 metric from one scan: GROUPING SETS ((hour), (site_id, hour),
+    (day, user_id)) with counts ``n`` and ``gid``.
+
+    (hour) and (site_id, hour) rows are page-view counts; (day, user_id) rows
+    are the distinct members of each day's user set.
+    """
+    return (with_day(parsed)
+            .groupingSets([[F.col("hour")], [F.col("site_id"), F.col("hour")],
+                           [F.col("day"), F.col("user_id")]],
+                          F.col("hour"), F.col("site_id"), F.col("day"), F.col("user_id"))
+            .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
+
+
 def metric_keys(parsed: DataFrame) -> DataFrame:
     """All J5 metrics as flat ``(metric_key, n)`` rows, from one scan.
 
     ``pv_<hour>`` and ``site_pv_<site>_<hour>`` are page-view counters,
-    ``uv_<day>`` the size of the day's user set. One GROUPING SETS aggregate
-    yields the two PV levels and the distinct (day, user) pairs; a second,
-    small aggregate keyed by the metric name then passes PV counts through
-    and counts one per pair for UV. (Filtering the first aggregate into three
-    branches would let Catalyst push each filter below it: three scans.)
+    ``uv_<day>`` the size of the day's user set. A second, small aggregate
+    keyed by the metric name passes PV counts through and counts one per
+    (day, user) pair. (Filtering :func:`pv_uv_sets` into three branches would
+    let Catalyst push each filter below the aggregate: three scans.)
     """
-    p = with_day(parsed)
-    g = (p.groupingSets([[F.col("hour")], [F.col("site_id"), F.col("hour")],
-                         [F.col("day"), F.col("user_id")]],
-                        F.col("hour"), F.col("site_id"), F.col("day"), F.col("user_id"))
-         .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
-    # grouping_id bits (hour, site_id, day, user_id): 1 = rolled up
-    is_pv, is_site = F.col("gid") == 0b0111, F.col("gid") == 0b0011
+    g = pv_uv_sets(parsed)
+    is_pv, is_site = F.col("gid") == GID_PV_HOUR, F.col("gid") == GID_PV_SITE_HOUR
     key = (F.when(is_pv, F.concat(F.lit(PV_PREFIX), "hour"))
             .when(is_site, F.concat(F.lit(SITE_PV_PREFIX), "site_id", F.lit("_"), "hour"))
             .otherwise(F.concat(F.lit(UV_PREFIX), "day")))

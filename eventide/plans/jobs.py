@@ -80,20 +80,26 @@ def catch_up_word_totals(log: CommitLog, records: DataFrame, module: str, grp: s
 
 def catch_up_pv_uv(log: CommitLog, records: DataFrame, module: str, grp: str,
                    fail_before_marker: bool = False) -> int | None:
-    """J5 with replay safety: PV increments and UV members of all pending
-    batches, committed with the ledger (the reference's MULTI/EXEC)."""
-    parsed = logs.parse_log(log.pending(records))
-    results = {"pv": logs.pv_rollup(parsed), "uv_members": logs.uv_members(parsed)}
-    return log.commit(log.pending(records), results, module, grp,
+    """J5 with replay safety: the PV increments and UV members of all pending
+    batches, committed with the ledger (the reference's MULTI/EXEC).
+
+    One GROUPING SETS aggregate over one parse of the pending lines holds
+    both: (hour) and (hour, site_id) rows are PV increments, (day, user_id)
+    rows are the day's members.
+    """
+    pend = log.pending(records)
+    return log.commit(pend, {"pv_uv": logs.pv_uv_sets(logs.parse_log(pend))}, module, grp,
                       fail_before_marker=fail_before_marker)
 
 
 def committed_pv(log: CommitLog) -> DataFrame:
     """PV counters: the sum of every committed increment."""
-    return log.table("pv").groupBy("hour", "site_id").agg(F.sum("pv").alias("pv"))
+    rows = log.table("pv_uv").where(F.col("gid").isin(logs.GID_PV_HOUR, logs.GID_PV_SITE_HOUR))
+    return rows.groupBy("hour", "site_id").agg(F.sum("n").alias("pv"))
 
 
 def committed_uv(log: CommitLog) -> DataFrame:
     """UV per day: size of the union of every committed member set."""
-    members = log.table("uv_members").select("day", "user_id").distinct()
+    members = (log.table("pv_uv").where(F.col("gid") == logs.GID_UV_MEMBER)
+               .select("day", "user_id").distinct())
     return members.groupBy("day").agg(F.count(F.lit(1)).alias("uv"))
