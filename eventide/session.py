@@ -21,6 +21,8 @@ SESSION_DEFAULTS = {
     # RocksDB keeps streaming state (running totals, UV sets) off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # upload only the state changes at each commit, not whole snapshots
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

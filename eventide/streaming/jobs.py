@@ -79,6 +79,16 @@ def running_totals(records: DataFrame) -> tuple[DataFrame, str]:
     return tokens.running_total(tokens.tokenize(records)), "update"
 
 
+def top_words(records: DataFrame, k: int = 10) -> tuple[DataFrame, str]:
+    """J1/J6 preview on a stream: the k most frequent words so far.
+
+    Sorting a stream is only allowed after an aggregate in complete mode; the
+    result table is k rows, re-emitted every trigger.
+    """
+    totals = tokens.running_total(tokens.tokenize(records))
+    return tokens.top_words(totals, k, count_col="cnt"), "complete"
+
+
 def pv_counters(records: DataFrame) -> tuple[DataFrame, str]:
     """J5 counters: hourly and site-hourly PV, incremented each batch."""
     return logs.pv_rollup(logs.parse_log(records)), "update"
@@ -153,5 +163,5 @@ def progress_offsets(query) -> list[dict]:
 
 
 __all__ = ["observed", "batch_clock", "word_count_per_batch", "value_count_per_batch", "offset_report",
-           "three_fields", "running_totals", "pv_counters", "uv_by_day", "windowed_alert",
+           "three_fields", "running_totals", "top_words", "pv_counters", "uv_by_day", "windowed_alert",
            "start", "progress_offsets"]

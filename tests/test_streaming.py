@@ -187,3 +187,15 @@ def test_run_cli_builds_every_job(spark, reading_log, weblog, doc_log):
         args = run.argparse.Namespace(job=job, source="replay", replay=path, max_files_per_trigger=1)
         df, mode = run.build(spark, args)
         assert df.isStreaming and mode in ("append", "update")
+
+
+def test_top_words_stream_complete_mode(spark, doc_log, tmp_dir):
+    df, mode = jobs.top_words(replay_records(spark, doc_log), 10)
+    assert mode == "complete"
+    name = "top_" + uuid.uuid4().hex[:8]
+    q = jobs.start(df, mode, "memory", os.path.join(tmp_dir, "ck"), name=name,
+                   trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    got = [(r["word"], r["cnt"]) for r in spark.table(name).collect()]
+    batch = tokens.top_words(tokens.word_count(tokens.tokenize(documents_envelope(spark, SF01))), 10)
+    assert got == [(r["word"], r["n"]) for r in batch.collect()]
