@@ -26,18 +26,6 @@ from eventide.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS
 BATCH_INTERVAL_S = 6
 
 
-def batch_clock(records: DataFrame, interval_s: int = BATCH_INTERVAL_S,
-                lateness_batches: int = 1) -> DataFrame:
-    """Stamp each record with its batch's time and set a watermark on it.
-
-    ``batch_ts = (batch_id + 1) * interval`` after the epoch (the epoch itself
-    is Spark's initial watermark, so batch 0 must not sit on it). A record
-    of batch b is late once a record of batch b + lateness_batches was seen.
-    """
-    return (records.withColumn("batch_ts", F.timestamp_seconds((F.col("batch_id") + 1) * interval_s))
-            .withWatermark("batch_ts", f"{lateness_batches * interval_s} seconds"))
-
-
 def observed(records: DataFrame, name: str = "records") -> DataFrame:
     """Per-trigger record count and offset bounds as observed metrics
     (``rdd.count()`` / offset logging of the reference), reported in
@@ -47,26 +35,69 @@ def observed(records: DataFrame, name: str = "records") -> DataFrame:
                            F.max("offset").alias("max_offset"))
 
 
-def word_count_per_batch(records: DataFrame, lateness_batches: int = 1) -> tuple[DataFrame, str]:
-    t = tokens.tokenize(batch_clock(records, lateness_batches=lateness_batches),
-                        keep=("batch_ts", "batch_id"))
-    out = t.groupBy("batch_ts", "batch_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    return out.drop("batch_ts"), "append"
+def batch_clock(records: DataFrame, interval_s: int = BATCH_INTERVAL_S,
+                lateness_batches: int = 1) -> DataFrame:
+    """Offset clock: stamp each record with its batch's time and set a
+    watermark on it.
 
+    ``batch_ts = (batch_id + 1) * interval`` after the epoch (the epoch itself
+    is Spark's initial watermark, so batch 0 must not sit on it). A record
+    of batch b is late once a record of batch b + lateness_batches was seen.
+    ``batch_id`` comes from per-partition offsets, so this clock is only
+    global when partitions advance evenly (a replay of the envelope).
+    """
+    return (records.withColumn("batch_ts", F.timestamp_seconds((F.col("batch_id") + 1) * interval_s))
+            .withWatermark("batch_ts", f"{lateness_batches * interval_s} seconds"))
 
-def value_count_per_batch(records: DataFrame, lateness_batches: int = 1) -> tuple[DataFrame, str]:
-    r = batch_clock(records, lateness_batches=lateness_batches)
-    out = r.groupBy("batch_ts", "batch_id", "value").agg(F.count(F.lit(1)).alias("n"))
-    return out.drop("batch_ts"), "append"
 
+def _per_batch(records: DataFrame, clock: str, interval_s: int, lateness_batches: int):
+    """(records, group keys, finish) for results that restart every batch.
 
-def offset_report(records: DataFrame, lateness_batches: int = 1) -> tuple[DataFrame, str]:
+    * ``offset``: :func:`batch_clock` over the envelope's ``batch_id``;
+    * ``time``: tumbling ``interval_s`` slices of the record time ``ts`` (the
+      broker's append time for Kafka), one global clock however unevenly the
+      partitions advance: a hot partition holding a third of the records
+      cannot push the watermark past the others' records. ``batch_id`` is
+      the slice number ``epoch seconds div interval``.
+    """
+    if clock == "offset":
+        r = batch_clock(records, interval_s, lateness_batches)
+        return r, [F.col("batch_ts"), F.col("batch_id")], lambda df: df.drop("batch_ts")
+    if clock == "time":
+        r = records.withWatermark("ts", f"{lateness_batches * interval_s} seconds")
+        key = F.window("ts", f"{interval_s} seconds").alias("slice")
+
+        def finish(df: DataFrame) -> DataFrame:
+            bid = F.expr(f"unix_seconds(slice.start) div {int(interval_s)}")
+            return df.withColumn("batch_id", bid).drop("slice")
+        return r, [key], finish
+    raise ValueError(f"unknown clock {clock}")
+
+
+def word_count_per_batch(records: DataFrame, lateness_batches: int = 1, clock: str = "offset",
+                         interval_s: int = BATCH_INTERVAL_S) -> tuple[DataFrame, str]:
+    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches)
+    clock_cols = ("batch_ts", "batch_id") if clock == "offset" else ("ts",)
+    t = tokens.tokenize(r, keep=clock_cols)
+    out = t.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    return finish(out), "append"
+
+
+def value_count_per_batch(records: DataFrame, lateness_batches: int = 1, clock: str = "offset",
+                          interval_s: int = BATCH_INTERVAL_S) -> tuple[DataFrame, str]:
+    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches)
+    out = r.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    return finish(out), "append"
+
+
+def offset_report(records: DataFrame, lateness_batches: int = 1, clock: str = "offset",
+                  interval_s: int = BATCH_INTERVAL_S) -> tuple[DataFrame, str]:
     """J9: (topic, partition, batch_id, from, until, n) per closed batch."""
-    r = batch_clock(records, lateness_batches=lateness_batches)
-    out = r.groupBy("batch_ts", "topic", "partition", "batch_id").agg(
+    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches)
+    out = r.groupBy(*keys, "topic", "partition").agg(
         F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
         F.count(F.lit(1)).alias("n"))
-    return out.drop("batch_ts"), "append"
+    return finish(out), "append"
 
 
 def three_fields(records: DataFrame) -> tuple[DataFrame, str]:

@@ -199,3 +199,29 @@ def test_top_words_stream_complete_mode(spark, doc_log, tmp_dir):
     got = [(r["word"], r["cnt"]) for r in spark.table(name).collect()]
     batch = tokens.top_words(tokens.word_count(tokens.tokenize(documents_envelope(spark, SF01))), 10)
     assert got == [(r["word"], r["n"]) for r in batch.collect()]
+
+
+def test_time_clock_per_batch_counts(spark, tmp_dir):
+    """Global time clock: batches are 6 s slices of the record time, so an
+    unevenly advancing partition cannot make the others' records late."""
+    recs = events_envelope(spark, SF01, "type", keep=())
+    # skew the layout: partition 0 gets offsets far ahead of the others
+    skewed = recs.withColumn("offset", F.when(F.col("partition") == 0, F.col("offset") * 1000)
+                             .otherwise(F.col("offset")))
+    skewed = skewed.withColumn("batch_id", F.expr("`offset` div 500"))
+    path = os.path.join(tmp_dir, "log")
+    write_replay_log(recs.withColumn("batch_id", F.expr("`offset` div 500")), path, 5)
+    df, mode = jobs.value_count_per_batch(replay_records(spark, path), clock="time",
+                                          interval_s=3600)
+    out = _run_parquet(spark, df, mode, os.path.join(tmp_dir, "a"))
+    batch = (recs.groupBy(F.expr("unix_seconds(cast(ts AS timestamp)) div 3600").alias("batch_id"),
+                          "value").agg(F.count(F.lit(1)).alias("n")))
+    last = out.agg(F.max("batch_id")).first()[0]
+    assert out.select("batch_id").distinct().count() > 700
+    assert _same(out, batch.where(F.col("batch_id") <= last))
+    # the offset clock on the skewed layout would drop the slow partitions
+    spath = os.path.join(tmp_dir, "skewed")
+    write_replay_log(skewed, spath, 5)
+    df2, _ = jobs.value_count_per_batch(replay_records(spark, spath), clock="offset")
+    out2 = _run_parquet(spark, df2, "append", os.path.join(tmp_dir, "b"))
+    assert out2.agg(F.sum("n")).first()[0] < skewed.count()
