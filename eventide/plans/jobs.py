@@ -66,29 +66,29 @@ def j9_offset_report(records: DataFrame) -> dict[str, DataFrame]:
 
 # ------------------------------------------------------------ catch-up runs
 
-def catch_up_word_totals(log: CommitLog, records: DataFrame, module: str, grp: str,
+def catch_up_word_totals(log: CommitLog, records: DataFrame,
                          fail_before_marker: bool = False) -> int | None:
-    """J4 with replay safety: fold all pending batches into the stored totals
-    (full outer merge with the newest committed version) and commit the new
-    version together with the ledger."""
+    """J4 with replay safety: fold every pending record into the stored
+    totals (full outer merge with the newest committed version) and commit
+    the new version together with the positions."""
     pend = log.pending(records)
     delta = tokens.running_total(tokens.tokenize(pend))
     state = log.latest("totals", WORD_TOTAL)
-    return log.commit(pend, {"totals": tokens.merge_totals(state, delta)}, module, grp,
+    return log.commit(pend, {"totals": tokens.merge_totals(state, delta)},
                       fail_before_marker=fail_before_marker)
 
 
-def catch_up_pv_uv(log: CommitLog, records: DataFrame, module: str, grp: str,
+def catch_up_pv_uv(log: CommitLog, records: DataFrame,
                    fail_before_marker: bool = False) -> int | None:
-    """J5 with replay safety: the PV increments and UV members of all pending
-    batches, committed with the ledger (the reference's MULTI/EXEC).
+    """J5 with replay safety: the PV increments and UV members of every
+    pending record, committed with the positions (the reference's MULTI/EXEC).
 
     One GROUPING SETS aggregate over one parse of the pending lines holds
     both: (hour) and (hour, site_id) rows are PV increments, (day, user_id)
     rows are the day's members.
     """
     pend = log.pending(records)
-    return log.commit(pend, {"pv_uv": logs.pv_uv_sets(logs.parse_log(pend))}, module, grp,
+    return log.commit(pend, {"pv_uv": logs.pv_uv_sets(logs.parse_log(pend))},
                       fail_before_marker=fail_before_marker)
 
 

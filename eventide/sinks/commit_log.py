@@ -5,19 +5,21 @@ transaction, so a crash replays the batch cleanly. Here the same guarantee is
 built from plain Spark writes under ``spark.checkpoint.dir``:
 
     <root>/<table>/commit_id=<c>/part-*.parquet     results of commit c
-    <root>/_ledger/commit_id=<c>/part-*.parquet     offsets of commit c
-    <root>/_commits/commit_id=<c>/part-*.parquet    marker: (batch_id) rows
-
-A commit takes every pending batch (batch ids not yet in a marker), writes
-each result and the ledger rows into its ``commit_id`` directory (overwrite,
-so a retried commit replaces a half-written one), and only then writes the
-marker. Readers semi-join with the markers, so staged but unmarked output is
-invisible: a failure before the marker leaves totals and ledger unchanged, a
-retry rewrites the same commit id, and an already committed batch is filtered
-out by an anti-join and never applied twice.
-
-All results of a commit are computed as distributed jobs keyed by
-``batch_id``; only the commit id (one number) reaches the driver.
+    <root>/_ledger/commit_id=<c>/part-*.parquet     positions after commit c
+    <root>/_commits/commit_id=<c>/part-*.parquet    marker (one row)
+
+The ledger is the exactly-once mechanism, as for a Kafka consumer: a record
+is pending when its offset is at or beyond its own partition's committed
+position, however unevenly partitions advance. A commit writes each result
+and the new positions into the next ``commit_id`` directory (overwrite, so a
+retried commit replaces a half-written one) and only then the marker.
+Readers semi-join with the markers, so staged but unmarked output is
+invisible: a failure before the marker leaves results and positions
+unchanged, the retry reuses the same commit id, and committed records are
+never pending again.
+
+Results are distributed jobs; only the commit id (one number) and the
+position table (one row per topic-partition) reach the driver side.
 """
 
 from __future__ import annotations
@@ -29,28 +31,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from eventide.operators.offsets import ledger_update
+from eventide.operators.offsets import ledger_update, resume_scan
 from eventide.schemas import LEDGER
 from eventide.session import checkpoint_root
 
 MARKERS = "_commits"
 LEDGER_TABLE = "_ledger"
-MARKER_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType(), False),
+MARKER_SCHEMA = T.StructType([T.StructField("committed", T.BooleanType(), False),
                               T.StructField("commit_id", T.LongType(), False)])
 
 
 class CommitLog:
-    """A job's committed results under ``root`` (default:
-    ``<spark.checkpoint.dir>/commits/<job>``, a shared folder that outlives
-    executors and restarts)."""
+    """One consumer's (module, group) committed results under ``root``
+    (default ``<spark.checkpoint.dir>/commits/<job>``, a shared folder that
+    outlives executors and restarts)."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, job: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, job: str | None = None,
+                 module: str = "default", grp: str = "default"):
         self.spark = spark
+        shared = checkpoint_root(spark)  # also where checkpoint() writes
         if root is None:
             if not job:
                 raise ValueError("give a root folder or a job name")
-            root = os.path.join(checkpoint_root(spark), "commits", job)
+            root = os.path.join(shared, "commits", job)
         self.root = root
+        self.module, self.grp = module, grp
 
     # ------------------------------------------------------------ reading
     def _read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
@@ -63,7 +68,6 @@ class CommitLog:
             return self.spark.createDataFrame([], schema)
 
     def markers(self) -> DataFrame:
-        """(batch_id, commit_id) of every committed batch."""
         return self._read(MARKERS, MARKER_SCHEMA)
 
     def table(self, name: str, schema: T.StructType | None = None) -> DataFrame:
@@ -71,8 +75,10 @@ class CommitLog:
         full = None if schema is None else T.StructType(
             schema.fields + [T.StructField("commit_id", T.LongType(), False)])
         rows = self._read(name, full)
-        done = self.markers().select("commit_id").distinct()
-        return rows.join(done, "commit_id", "left_semi")
+        return rows.join(self.markers().select("commit_id"), "commit_id", "left_semi")
+
+    def last_commit(self) -> int | None:
+        return self.markers().agg(F.max("commit_id")).first()[0]
 
     def latest(self, name: str, schema: T.StructType) -> DataFrame:
         """Rows of the newest committed version of a full-state table."""
@@ -81,44 +87,42 @@ class CommitLog:
             return self.spark.createDataFrame([], schema)
         return self._read(name).where(F.col("commit_id") == last).select(*schema.fieldNames())
 
-    def last_commit(self) -> int | None:
-        return self.markers().agg(F.max("commit_id")).first()[0]
-
-    def ledger(self, module: str, grp: str) -> DataFrame:
-        """Committed positions of one consumer: max until_offset per partition."""
+    def positions(self) -> DataFrame:
+        """Committed positions: next offset to read per topic-partition."""
         rows = self.table(LEDGER_TABLE, LEDGER).where(
-            (F.col("module") == module) & (F.col("grp") == grp))
-        return rows.groupBy("module", "grp", "topic", "partition").agg(
+            (F.col("module") == self.module) & (F.col("grp") == self.grp))
+        return rows.groupBy(*LEDGER.fieldNames()[:4]).agg(
             F.max("until_offset").alias("until_offset"))
 
     # ------------------------------------------------------------ writing
     def pending(self, records: DataFrame) -> DataFrame:
-        """Records of batches that no marker covers yet."""
-        return records.join(self.markers().select("batch_id"), "batch_id", "left_anti")
-
-    def commit(self, records: DataFrame, results: dict[str, DataFrame],
-               module: str, grp: str, fail_before_marker: bool = False) -> int | None:
-        """Commit ``results`` (already restricted to pending batches) together
-        with the offsets of ``records`` (the pending records they came from).
-
-        Returns the commit id, or None when nothing was pending.
-        ``fail_before_marker`` simulates a crash after staging (tests).
+        """Records at or beyond their partition's committed position."""
+        return resume_scan(records, self.positions())
+
+    def commit(self, pending: DataFrame, results: dict[str, DataFrame],
+               fail_before_marker: bool = False) -> int | None:
+        """Commit ``results`` (computed from ``pending``) together with the
+        positions after ``pending``. Returns the commit id, or None when
+        nothing was pending. ``fail_before_marker`` simulates a crash after
+        staging (tests).
+
+        ``pending`` must be a stable snapshot (a file source fixes its file
+        list when the DataFrame is created; stage other sources first), so
+        results and positions describe the same records.
         """
-        batches = records.select("batch_id").distinct()
-        c = batches.agg(F.max("batch_id")).first()[0]
-        if c is None:
+        ranges = pending.groupBy("topic", "partition").agg(
+            (F.max("offset") + 1).alias("until_offset")).checkpoint()
+        if ranges.isEmpty():
             return None
+        c = (self.last_commit() or 0) + 1
         for name, df in results.items():
             df.write.mode("overwrite").parquet(os.path.join(self.root, name, f"commit_id={c}"))
-        ranges = records.groupBy("topic", "partition").agg(
-            (F.max("offset") + 1).alias("until_offset"))
-        ledger = ledger_update(self.ledger(module, grp), ranges.withColumn("batch_id", F.lit(c)),
-                               module, grp)
+        ledger = ledger_update(self.positions(), ranges, self.module, self.grp)
         ledger.write.mode("overwrite").parquet(
             os.path.join(self.root, LEDGER_TABLE, f"commit_id={c}"))
         if fail_before_marker:
             raise RuntimeError(f"simulated failure after staging commit {c}")
-        # the marker is one small file: it appears atomically at job commit
-        (batches.coalesce(1).write.mode("overwrite")
-         .parquet(os.path.join(self.root, MARKERS, f"commit_id={c}")))
+        # the marker is one tiny file: it appears atomically at job commit
+        (self.spark.createDataFrame([(True,)], "committed boolean").coalesce(1)
+         .write.mode("overwrite").parquet(os.path.join(self.root, MARKERS, f"commit_id={c}")))
         return c

@@ -26,45 +26,62 @@ def _totals(log):
     return {r["word"]: r["cnt"] for r in log.latest("totals", WORD_TOTAL).collect()}
 
 
+def _log(spark, tmp_dir):
+    return CommitLog(spark, os.path.join(tmp_dir, "log"), module="m", grp="g")
+
+
+def _expected_totals(docs):
+    return {r["word"]: r["cnt"] for r in tokens.running_total(tokens.tokenize(docs)).collect()}
+
+
 def test_catch_up_totals_in_two_steps_equals_batch(spark, tmp_dir):
-    log = CommitLog(spark, os.path.join(tmp_dir, "log"))
+    log = _log(spark, tmp_dir)
+    docs = _docs(spark)
+    assert jobs.catch_up_word_totals(log, docs.where("batch_id <= 1")) == 1
+    assert jobs.catch_up_word_totals(log, docs) == 2
+    assert _totals(log) == _expected_totals(docs)
+    positions = {r["partition"]: r["until_offset"] for r in log.positions().collect()}
+    assert positions == {0: 250, 1: 250, 2: 250, 3: 250}
+
+
+def test_uneven_partitions_lose_nothing(spark, tmp_dir):
+    """Partition 3 lags: its records arrive after later batches of the others
+    were committed. Positions are per partition, so they are still pending."""
+    log = _log(spark, tmp_dir)
     docs = _docs(spark)
-    assert jobs.catch_up_word_totals(log, docs.where("batch_id <= 1"), "m", "g") == 1
-    assert jobs.catch_up_word_totals(log, docs, "m", "g") == 4
-    expect = {r["word"]: r["cnt"] for r in tokens.running_total(tokens.tokenize(docs)).collect()}
-    assert _totals(log) == expect
-    ledger = {r["partition"]: r["until_offset"] for r in log.ledger("m", "g").collect()}
-    assert ledger == {0: 250, 1: 250, 2: 250, 3: 250}
+    jobs.catch_up_word_totals(log, docs.where("partition < 3"))
+    jobs.catch_up_word_totals(log, docs.where("partition < 3 OR batch_id <= 2"))
+    jobs.catch_up_word_totals(log, docs)
+    assert _totals(log) == _expected_totals(docs)
 
 
-def test_same_batches_applied_twice_have_one_effect(spark, tmp_dir):
-    log = CommitLog(spark, os.path.join(tmp_dir, "log"))
+def test_same_records_applied_twice_have_one_effect(spark, tmp_dir):
+    log = _log(spark, tmp_dir)
     docs = _docs(spark).where("batch_id <= 2")
-    jobs.catch_up_word_totals(log, docs, "m", "g")
+    jobs.catch_up_word_totals(log, docs)
     before = _totals(log)
-    assert jobs.catch_up_word_totals(log, docs, "m", "g") is None  # nothing pending
+    assert jobs.catch_up_word_totals(log, docs) is None  # nothing pending
     assert _totals(log) == before
 
 
 def test_failure_after_staging_changes_nothing_and_retry_succeeds(spark, tmp_dir):
-    log = CommitLog(spark, os.path.join(tmp_dir, "log"))
+    log = _log(spark, tmp_dir)
     docs = _docs(spark)
-    jobs.catch_up_word_totals(log, docs.where("batch_id = 0"), "m", "g")
-    before, ledger_before = _totals(log), sorted(tuple(r) for r in log.ledger("m", "g").collect())
+    jobs.catch_up_word_totals(log, docs.where("batch_id = 0"))
+    before, pos_before = _totals(log), sorted(tuple(r) for r in log.positions().collect())
     with pytest.raises(RuntimeError):
-        jobs.catch_up_word_totals(log, docs, "m", "g", fail_before_marker=True)
+        jobs.catch_up_word_totals(log, docs, fail_before_marker=True)
     assert _totals(log) == before
-    assert sorted(tuple(r) for r in log.ledger("m", "g").collect()) == ledger_before
-    jobs.catch_up_word_totals(log, docs, "m", "g")  # retry rewrites the staged commit
-    expect = {r["word"]: r["cnt"] for r in tokens.running_total(tokens.tokenize(docs)).collect()}
-    assert _totals(log) == expect
+    assert sorted(tuple(r) for r in log.positions().collect()) == pos_before
+    assert jobs.catch_up_word_totals(log, docs) == 2  # the retry reuses the commit id
+    assert _totals(log) == _expected_totals(docs)
 
 
 def test_pv_uv_commits_equal_batch(spark, tmp_dir):
-    log = CommitLog(spark, os.path.join(tmp_dir, "log"))
+    log = CommitLog(spark, os.path.join(tmp_dir, "log"), module="web", grp="g")
     recs = events_envelope(spark, SF01, "log", keep=())
     for upto in (0, 2, 4):
-        jobs.catch_up_pv_uv(log, recs.where(F.col("batch_id") <= upto), "web", "g")
+        jobs.catch_up_pv_uv(log, recs.where(F.col("batch_id") <= upto))
     parsed = logs.parse_log(recs)
     pv = logs.pv_rollup(parsed)
     got = jobs.committed_pv(log)
