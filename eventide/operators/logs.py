@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.text import DAY_PREFIX_LEN, log_fields
+from eventide.functions.text import (DAY_PREFIX_LEN, HOUR_PREFIX_LEN, LOG_FIELD_SEPARATOR,
+                                     URI_PIECE_SEPARATOR, guarded_prefix)
 
 # Metric key prefixes of the reference's counters and sets.
 PV_PREFIX = "pv_"
@@ -18,16 +19,34 @@ SITE_PV_PREFIX = "site_pv_"
 UV_PREFIX = "uv_"
 
 
-def _parsed_cols(value: str):
-    f = log_fields(value)
-    return f["hour"].alias("hour"), f["user_id"].alias("user_id"), f["site_id"].alias("site_id")
+def _split_once(records: DataFrame, value: str, keep: tuple[str, ...]) -> DataFrame:
+    """Split each line into its field array and uri pieces, in projections of
+    their own so every split runs once per line."""
+    f = records.select(*keep, F.split(value, LOG_FIELD_SEPARATOR, -1).alias("_f"))
+    return f.select(*keep, F.get("_f", 0).alias("_f0"),
+                    F.split(F.get("_f", 2), URI_PIECE_SEPARATOR, -1).alias("_u"))
+
+
+def _record_cols():
+    hour = F.replace(guarded_prefix("_f0", HOUR_PREFIX_LEN), F.lit("T"), F.lit("-"))
+    return hour, F.get("_u", 1), F.get("_u", 3)
 
 
 def parse_log(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``flatMap(parseLog)``: (hour, user_id, site_id), malformed lines dropped."""
-    return (records.select(*keep, *_parsed_cols(value))
-            .where(F.col("hour").isNotNull() & F.col("user_id").isNotNull()
-                   & F.col("site_id").isNotNull()))
+    """``flatMap(parseLog)``: (hour, user_id, site_id), malformed lines dropped.
+
+    Semantics as :func:`eventide.functions.text.log_fields`. Plan shape: the
+    splits are projected once, then a generator emits 0 or 1 row per line.
+    (A ``where`` on the parsed columns would be pushed below the projection
+    by Catalyst, which copies every split into the filter and parses each
+    line twice.)
+    """
+    hour, user, site = _record_cols()
+    ok = hour.isNotNull() & user.isNotNull() & site.isNotNull()
+    return (_split_once(records, value, keep)
+            .select(*keep, hour.alias("hour"), user.alias("user_id"), site.alias("site_id"),
+                    F.explode(F.when(ok, F.array(F.lit(True)))).alias("_one"))
+            .drop("_one"))
 
 
 def process_logs(records: DataFrame, value: str = "value") -> DataFrame:
@@ -37,9 +56,10 @@ def process_logs(records: DataFrame, value: str = "value") -> DataFrame:
 
 def malformed_lines(records: DataFrame, value: str = "value") -> DataFrame:
     """How many lines parse (``parsed``) and how many are dropped."""
-    h, u, s = _parsed_cols(value)
-    ok = h.isNotNull() & u.isNotNull() & s.isNotNull()
-    return records.groupBy(ok.alias("parsed")).agg(F.count(F.lit(1)).alias("n"))
+    hour, user, site = _record_cols()
+    ok = hour.isNotNull() & user.isNotNull() & site.isNotNull()
+    return (_split_once(records, value, ()).groupBy(ok.alias("parsed"))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def with_day(parsed: DataFrame) -> DataFrame:
