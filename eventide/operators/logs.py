@@ -33,7 +33,7 @@ def _record_cols():
 
 
 def parse_log(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``flatMap(parseLog)``: (hour, user_id, site_id), malformed lines dropped.
+    """Log lines to (hour, user_id, site_id), 0 or 1 row per line: malformed lines dropped.
 
     Semantics as :func:`eventide.functions.text.log_fields`. Plan shape: the
     splits are projected once, then a generator emits 0 or 1 row per line.

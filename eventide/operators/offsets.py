@@ -62,7 +62,7 @@ def ledger_update(ledger: DataFrame, ranges: DataFrame, module: str, grp: str) -
 
 def ledger_for(ledger: DataFrame, module: str | None = None, grp: str | None = None,
                topics: list[str] | None = None) -> DataFrame:
-    """``readOffsets(module, group, topics)``: the ledger rows of one consumer."""
+    """Module / group / topic layout: the ledger rows of one consumer."""
     cond = F.lit(True)
     if module is not None:
         cond = cond & (F.col("module") == module)
@@ -74,7 +74,7 @@ def ledger_for(ledger: DataFrame, module: str | None = None, grp: str | None = N
 
 
 def ledger_load_flat(partitions: DataFrame, ledger: DataFrame) -> DataFrame:
-    """``getLastCommittedOffsets``: every known partition, default offset 0.
+    """Flat layout: every known partition with its position, default offset 0.
 
     ``partitions`` lists (topic, partition); a partition with no ledger row
     starts at 0, as in the reference.
@@ -104,7 +104,7 @@ def ledger_as_hash(ledger: DataFrame) -> DataFrame:
 
 
 def ledger_load_hash(hash_rows: DataFrame, grp: str) -> DataFrame:
-    """``JedisOffset(groupId)``: parse ``topic-partition`` fields of one group.
+    """Hash layout: parse the ``topic-partition`` fields of one group.
 
     The split is at the last ``-`` so topic names that contain ``-`` survive
     (the reference splits at every ``-`` and fails on them). A non-numeric

@@ -73,6 +73,6 @@ def windowed_alert(means: DataFrame, threshold: float = ALERT_THRESHOLD) -> Data
 
 
 def alert_rows(means: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
-    """The rows the alert job inserts: ``temp(data, result)``, both text."""
+    """The rows the alert job inserts: (data, result), both as text."""
     a = windowed_alert(means, threshold)
     return a.select("data", F.col("result").cast("string").alias("result"))

@@ -27,7 +27,7 @@ def java_split(s: str, sep: str) -> list[str]:
 
 
 def parse_log_ref(line: str):
-    """parseLog: None where the reference's code throws."""
+    """The log-line parse, stated in plain Python: None where Java would throw."""
     fields = line.split("|~|")
     if len(fields[0]) < 13 or len(fields) < 3:
         return None

@@ -24,9 +24,9 @@ def test_rate_cap_conversion():
 
 
 def test_subscribe_options():
-    o = ks.kafka_options("b:9092", topics=["users1", "t2"], max_offsets=2000, max_poll_records=20000)
+    o = ks.kafka_options("b:9092", topics=["clicks", "t2"], max_offsets=2000, max_poll_records=20000)
     assert o == {"kafka.bootstrap.servers": "b:9092", "startingOffsets": "earliest",
-                 "failOnDataLoss": "true", "subscribe": "users1,t2",
+                 "failOnDataLoss": "true", "subscribe": "clicks,t2",
                  "maxOffsetsPerTrigger": "2000", "kafka.max.poll.records": "20000"}
 
 
@@ -41,11 +41,11 @@ def test_assign_options_and_exclusive_modes():
 
 def test_starting_offsets_from_ledger(spark):
     ledger = spark.createDataFrame(
-        [("m", "g", "test1", 0, 1000), ("m", "g", "test1", 2, 10), ("m", "g", "other", 0, 5)], LEDGER)
-    got = json.loads(ks.starting_offsets(ledger, {"test1": 4}))
-    assert got == {"test1": {"0": 1000, "1": -2, "2": 10, "3": -2}}
-    got = json.loads(ks.starting_offsets(ledger.limit(0), {"test1": 2}, default=ks.LATEST))
-    assert got == {"test1": {"0": -1, "1": -1}}
+        [("m", "g", "views", 0, 1000), ("m", "g", "views", 2, 10), ("m", "g", "other", 0, 5)], LEDGER)
+    got = json.loads(ks.starting_offsets(ledger, {"views": 4}))
+    assert got == {"views": {"0": 1000, "1": -2, "2": 10, "3": -2}}
+    got = json.loads(ks.starting_offsets(ledger.where("false"), {"views": 2}, default=ks.LATEST))
+    assert got == {"views": {"0": -1, "1": -1}}
 
 
 def test_envelope_layout(spark):
