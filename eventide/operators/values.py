@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from eventide.functions.text import day_key, fixed_position, strict_int, three_fields
 
-# Fixed value: the reference's alert threshold on the mean reading.
+# The alert threshold on the mean reading and the text that
+# joins the days of one alert row.
 ALERT_THRESHOLD = 22
 DAY_JOINER = "="
 

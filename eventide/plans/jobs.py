@@ -8,6 +8,8 @@ together through :class:`eventide.sinks.commit_log.CommitLog`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,16 +68,33 @@ def j9_offset_report(records: DataFrame) -> dict[str, DataFrame]:
 
 # ------------------------------------------------------------ catch-up runs
 
+def catch_up(log: CommitLog, records: DataFrame,
+             builders: dict[str, Callable[[DataFrame], DataFrame]],
+             fail_before_marker: bool = False) -> int | None:
+    """Run ``builders`` over every pending record and commit their outputs
+    with the new positions. Per-batch outputs are additive across commits (a
+    batch whose partitions arrive unevenly lands in two commits): readers sum
+    them by key, e.g. :func:`committed_per_batch`."""
+    pend = log.pending(records)
+    return log.commit(pend, {name: build(pend) for name, build in builders.items()},
+                      fail_before_marker=fail_before_marker)
+
+
+def committed_per_batch(log: CommitLog, name: str, keys: list[str], value: str = "n") -> DataFrame:
+    """Committed per-batch counts of ``name``, summed over commits."""
+    return log.table(name).groupBy(*keys).agg(F.sum(value).alias(value))
+
+
 def catch_up_word_totals(log: CommitLog, records: DataFrame,
                          fail_before_marker: bool = False) -> int | None:
     """J4 with replay safety: fold every pending record into the stored
     totals (full outer merge with the newest committed version) and commit
     the new version together with the positions."""
-    pend = log.pending(records)
-    delta = tokens.running_total(tokens.tokenize(pend))
     state = log.latest("totals", WORD_TOTAL)
-    return log.commit(pend, {"totals": tokens.merge_totals(state, delta)},
-                      fail_before_marker=fail_before_marker)
+
+    def merged(pend: DataFrame) -> DataFrame:
+        return tokens.merge_totals(state, tokens.running_total(tokens.tokenize(pend)))
+    return catch_up(log, records, {"totals": merged}, fail_before_marker)
 
 
 def catch_up_pv_uv(log: CommitLog, records: DataFrame,
@@ -87,9 +106,8 @@ def catch_up_pv_uv(log: CommitLog, records: DataFrame,
     both: (hour) and (hour, site_id) rows are PV increments, (day, user_id)
     rows are the day's members.
     """
-    pend = log.pending(records)
-    return log.commit(pend, {"pv_uv": logs.pv_uv_sets(logs.parse_log(pend))},
-                      fail_before_marker=fail_before_marker)
+    return catch_up(log, records, {"pv_uv": lambda pend: logs.pv_uv_sets(logs.parse_log(pend))},
+                    fail_before_marker)
 
 
 def committed_pv(log: CommitLog) -> DataFrame:
