@@ -120,23 +120,40 @@ def top_words(records: DataFrame, k: int = 10) -> tuple[DataFrame, str]:
     return tokens.top_words(totals, k, count_col="cnt"), "complete"
 
 
-def pv_counters(records: DataFrame) -> tuple[DataFrame, str]:
-    """J5 counters: hourly and site-hourly PV, incremented each batch."""
-    return logs.pv_rollup(logs.parse_log(records)), "update"
+def _hour_time(parsed: DataFrame, lateness: str) -> DataFrame:
+    """Event time from the parsed hour text (not the broker's timestamp),
+    with a watermark. Grouping by a window over it keeps a group open until
+    the watermark passes the window's end, then evicts it: state holds the
+    open hours / days only. A line whose hour text is not a valid time
+    cannot be placed in event time and is dropped."""
+    return (parsed.withColumn("hour_ts", F.try_to_timestamp("hour", F.lit("yyyy-MM-dd-HH")))
+            .withWatermark("hour_ts", lateness))
+
+
+def pv_counters(records: DataFrame, lateness: str = "1 hour") -> tuple[DataFrame, str]:
+    """J5 counters: hourly and site-hourly PV, updated every trigger; a
+    closed hour's counters leave the state store ``lateness`` after it ends."""
+    p = _hour_time(logs.parse_log(records), lateness).withColumn(
+        "w", F.window("hour_ts", "1 hour"))
+    agg = (p.groupingSets([[F.col("w"), F.col("hour")],
+                           [F.col("w"), F.col("hour"), F.col("site_id")]],
+                          F.col("w"), F.col("hour"), F.col("site_id"))
+           .agg(F.count(F.lit(1)).alias("pv")))
+    return agg.drop("w"), "update"
 
 
 def uv_by_day(records: DataFrame, lateness: str = "1 hour") -> tuple[DataFrame, str]:
     """J5 UV: exact distinct users per day, emitted once the day closes.
 
-    Two chained aggregations: distinct (day window, user) pairs, then a count
-    per day window. State for a day is dropped when the watermark passes the
-    day's end, so it stays bounded by the open days.
+    Two chained aggregations: distinct (day, user) pairs, then a count per
+    day. A day's state is dropped ``lateness`` after the day ends, so it
+    stays bounded by the open days.
     """
-    p = logs.parse_log(records.withWatermark("ts", lateness), keep=("ts",))
-    pairs = p.groupBy(F.window("ts", "1 day").alias("w"), "user_id").agg(
+    p = _hour_time(logs.with_day(logs.parse_log(records)), lateness)
+    pairs = p.groupBy(F.window("hour_ts", "1 day").alias("w"), "day", "user_id").agg(
         F.count(F.lit(1)).alias("hits"))
-    per_day = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("uv"))
-    return per_day.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "uv"), "append"
+    per_day = pairs.groupBy("w", "day").agg(F.count(F.lit(1)).alias("uv"))
+    return per_day.drop("w"), "append"
 
 
 def windowed_alert(records: DataFrame, lateness: str = "1 hour",
