@@ -237,3 +237,15 @@ def test_pv_counter_state_stays_bounded(spark, weblog, tmp_dir):
     ops = q.recentProgress[-1]["stateOperators"]
     assert ops and ops[0]["numRowsTotal"] < 50
     assert spark.table(name).select("hour").distinct().count() == 720
+
+
+def test_progress_offsets_and_console_sink(spark, reading_log, tmp_dir):
+    """Live offset report from progress (start/end offset per source) and
+    the console preview sink."""
+    df, mode = jobs.three_fields(replay_records(spark, reading_log))
+    q = jobs.start(df.select("f0"), mode, "console",
+                   os.path.join(tmp_dir, "ck"), trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    rep = jobs.progress_offsets(q)
+    assert rep and sum(r["rows"] for r in rep) == 10000
+    assert all(r["end"] is not None for r in rep)
