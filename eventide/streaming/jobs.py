@@ -1,13 +1,17 @@
 """Streaming forms of the jobs.
 
 Each function takes a streaming record envelope and returns a streaming
-DataFrame plus the output mode it needs. The reference's "per micro-batch"
-results restart with every batch; in Structured Streaming a ``groupBy`` is
-cumulative, so per-batch results are keyed by the envelope's ``batch_id`` and
-closed by an event-time watermark on the batch clock: a batch's groups are
-emitted, and their state dropped, once records ``lateness_batches`` batches
-newer have been seen. Cumulative results (running totals, PV counters) use
-update mode; UV and alert windows close behind a watermark on ``ts``.
+DataFrame plus the output mode it needs.
+
+* Per-batch results (J1, J6, J7, J9) restart every batch, while a streaming
+  ``groupBy`` is cumulative: they are keyed by a batch clock and closed by a
+  watermark on it, so a batch's groups are emitted, and their state dropped,
+  once ``lateness_batches`` newer batches were seen. The *time* clock slices
+  the record time (one global clock, safe when partitions advance unevenly);
+  the *offset* clock uses the envelope's ``batch_id`` (balanced replays).
+* Cumulative results: running totals (update mode, one row per word), PV
+  counters (update mode, evicted per hour), UV (append, per closed day).
+* The alert windows close behind a watermark on the record time ``ts``.
 """
 
 from __future__ import annotations
@@ -18,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.operators import logs, tokens, values
-from eventide.session import checkpoint_root
 from eventide.operators.values import ALERT_THRESHOLD, DAY_JOINER
 from eventide.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS
+from eventide.session import checkpoint_root
 
 # Fixed value: the reference's micro-batch interval (seconds).
 BATCH_INTERVAL_S = 6
