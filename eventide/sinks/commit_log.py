@@ -88,11 +88,14 @@ class CommitLog:
         return self._read(name).where(F.col("commit_id") == last).select(*schema.fieldNames())
 
     def positions(self) -> DataFrame:
-        """Committed positions: next offset to read per topic-partition."""
-        rows = self.table(LEDGER_TABLE, LEDGER).where(
+        """Committed positions: next offset to read per topic-partition.
+
+        Every commit writes the complete updated ledger, so the newest
+        committed version is enough (one partition-pruned directory, one row
+        per topic-partition, however many commits there were).
+        """
+        return self.latest(LEDGER_TABLE, LEDGER).where(
             (F.col("module") == self.module) & (F.col("grp") == self.grp))
-        return rows.groupBy(*LEDGER.fieldNames()[:4]).agg(
-            F.max("until_offset").alias("until_offset"))
 
     # ------------------------------------------------------------ writing
     def pending(self, records: DataFrame) -> DataFrame:
