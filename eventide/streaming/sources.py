@@ -88,21 +88,27 @@ def kafka_records(spark: SparkSession, options: dict[str, str], cap: int) -> Dat
         F.col("value").cast("string").alias("value"))
 
 
-def write_replay_log(records: DataFrame, path: str, slices: int) -> None:
+def write_replay_log(records: DataFrame, path: str, slices: int,
+                     files_per_slice: int | None = None) -> None:
     """Lay a bounded envelope out as a replay log of ``slices`` appends.
 
     The file source hands files to micro-batches in modification-time order,
-    so slices are appended in batch order (one write job each): a replay then
-    sees records in offset order and no event is late. ``ts`` becomes a
-    ``timestamp`` because watermarks reject ``timestamp_ntz``.
+    so slices are appended in batch order (one write job each, a filtered
+    pass over ``records``): a replay then sees records in offset order and no
+    event is late. ``files_per_slice`` coalesces each slice (no shuffle) so
+    that ``maxFilesPerTrigger`` maps slices to micro-batches; leave it unset
+    for large slices. ``ts`` becomes a ``timestamp`` because watermarks
+    reject ``timestamp_ntz``.
     """
     out = records.withColumn("ts", F.col("ts").cast("timestamp"))
     lo_hi = out.agg(F.min("batch_id"), F.max("batch_id")).first()
     lo, hi = int(lo_hi[0]), int(lo_hi[1])
     step = max(1, -(-(hi - lo + 1) // slices))
     for start in range(lo, hi + 1, step):
-        (out.where((F.col("batch_id") >= start) & (F.col("batch_id") < start + step))
-         .write.mode("append").parquet(path))
+        piece = out.where((F.col("batch_id") >= start) & (F.col("batch_id") < start + step))
+        if files_per_slice:
+            piece = piece.coalesce(files_per_slice)
+        piece.write.mode("append").parquet(path)
 
 
 def replay_records(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:

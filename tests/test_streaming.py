@@ -29,7 +29,7 @@ def logs_root():
 def _log(spark, root, name, records, slices=5):
     path = os.path.join(root, name)
     if not os.path.exists(path):
-        write_replay_log(records, path, slices)
+        write_replay_log(records, path, slices, files_per_slice=1)
     return path
 
 
