@@ -95,9 +95,10 @@ def write_replay_log(records: DataFrame, path: str, slices: int,
     The file source hands files to micro-batches in modification-time order,
     so slices are appended in batch order (one write job each, a filtered
     pass over ``records``): a replay then sees records in offset order and no
-    event is late. ``files_per_slice`` coalesces each slice (no shuffle) so
-    that ``maxFilesPerTrigger`` maps slices to micro-batches; leave it unset
-    for large slices. ``ts`` becomes a ``timestamp`` because watermarks
+    event is late. ``files_per_slice`` lays each slice out as that many files
+    by topic-partition range (as a Kafka micro-batch has one task per
+    partition), so ``maxFilesPerTrigger = files_per_slice`` replays one slice
+    per micro-batch. ``ts`` becomes a ``timestamp`` because watermarks
     reject ``timestamp_ntz``.
     """
     out = records.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -107,7 +108,7 @@ def write_replay_log(records: DataFrame, path: str, slices: int,
     for start in range(lo, hi + 1, step):
         piece = out.where((F.col("batch_id") >= start) & (F.col("batch_id") < start + step))
         if files_per_slice:
-            piece = piece.coalesce(files_per_slice)
+            piece = piece.repartitionByRange(files_per_slice, "topic", "partition")
         piece.write.mode("append").parquet(path)
 
 
