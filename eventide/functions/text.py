@@ -24,6 +24,7 @@ LOG_FIELD_SEPARATOR = r"\|~\|"   # log line fields: <time>|~|<any>|~|<uri>
 URI_PIECE_SEPARATOR = "[=|&]"    # uri split; piece 1 = user, piece 3 = site
 THREE_FIELD_SEPARATOR = r"\|\|"  # f0||f1||f2
 HOUR_PREFIX_LEN = 13             # yyyy-MM-ddTHH
+USER_PIECE, SITE_PIECE = 1, 3    # positions in the uri pieces
 DAY_PREFIX_LEN = 10              # yyyy-MM-dd
 DATE_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 COMPACT_FORMAT = "yyyyMMddHHmmss"
@@ -74,19 +75,27 @@ def day_key(c: Column | str) -> Column:
     return guarded_prefix(c, DAY_PREFIX_LEN)
 
 
-def log_fields(value: Column | str) -> dict[str, Column]:
-    """Parse ``<time>|~|<any>|~|<uri>`` into hour, user_id and site_id.
+def log_field_array(value: Column | str) -> Column:
+    """``line.split("\\|~\\|", -1)``: every field of a log line, empties kept.
 
-    hour = first 13 characters of field 0 with every ``T`` replaced by ``-``;
-    the uri (field 2) is split on any of ``=``, ``|``, ``&``; piece 1 is the
-    user and piece 3 the site, whatever the parameter names are. A line with
-    a short time, fewer than three fields or fewer than four uri pieces has a
-    null in one of the outputs (the reference drops it). Empty pieces are kept.
+    A log line is ``<time>|~|<any>|~|<uri>``. The record is hour = first 13
+    characters of field 0 with every ``T`` replaced by ``-`` (see
+    :func:`log_hour`); the uri (field 2) is split on any of ``=``, ``|``,
+    ``&`` and piece 1 is the user, piece 3 the site, whatever the parameter
+    names are. A line with a short time, fewer than three fields or fewer
+    than four uri pieces is dropped; empty pieces are kept.
     """
-    fields = F.split(_c(value), LOG_FIELD_SEPARATOR, -1)
-    hour = F.replace(guarded_prefix(F.get(fields, 0), HOUR_PREFIX_LEN), F.lit("T"), F.lit("-"))
-    uri = F.split(F.get(fields, 2), URI_PIECE_SEPARATOR, -1)
-    return {"hour": hour, "user_id": F.get(uri, 1), "site_id": F.get(uri, 3)}
+    return F.split(_c(value), LOG_FIELD_SEPARATOR, -1)
+
+
+def uri_piece_array(uri: Column | str) -> Column:
+    """``uri.split("[=|&]", -1)``."""
+    return F.split(_c(uri), URI_PIECE_SEPARATOR, -1)
+
+
+def log_hour(time_field: Column | str) -> Column:
+    """``time.substring(0, 13).replace("T", "-")``; null when too short."""
+    return F.replace(guarded_prefix(time_field, HOUR_PREFIX_LEN), F.lit("T"), F.lit("-"))
 
 
 def three_fields(value: Column | str) -> list[Column]:

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.text import (DAY_PREFIX_LEN, HOUR_PREFIX_LEN, LOG_FIELD_SEPARATOR,
-                                     URI_PIECE_SEPARATOR, guarded_prefix)
+from eventide.functions.text import (DAY_PREFIX_LEN, SITE_PIECE, USER_PIECE, log_field_array,
+                                     log_hour, uri_piece_array)
 
 # Metric key prefixes of the reference's counters and sets.
 PV_PREFIX = "pv_"
@@ -22,20 +22,18 @@ UV_PREFIX = "uv_"
 def _split_once(records: DataFrame, value: str, keep: tuple[str, ...]) -> DataFrame:
     """Split each line into its field array and uri pieces, in projections of
     their own so every split runs once per line."""
-    f = records.select(*keep, F.split(value, LOG_FIELD_SEPARATOR, -1).alias("_f"))
-    return f.select(*keep, F.get("_f", 0).alias("_f0"),
-                    F.split(F.get("_f", 2), URI_PIECE_SEPARATOR, -1).alias("_u"))
+    f = records.select(*keep, log_field_array(value).alias("_f"))
+    return f.select(*keep, F.get("_f", 0).alias("_f0"), uri_piece_array(F.get("_f", 2)).alias("_u"))
 
 
 def _record_cols():
-    hour = F.replace(guarded_prefix("_f0", HOUR_PREFIX_LEN), F.lit("T"), F.lit("-"))
-    return hour, F.get("_u", 1), F.get("_u", 3)
+    return log_hour("_f0"), F.get("_u", USER_PIECE), F.get("_u", SITE_PIECE)
 
 
 def parse_log(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Log lines to (hour, user_id, site_id), 0 or 1 row per line: malformed lines dropped.
 
-    Semantics as :func:`eventide.functions.text.log_fields`. Plan shape: the
+    Semantics in :func:`eventide.functions.text.log_field_array`. Plan shape: the
     splits are projected once, then a generator emits 0 or 1 row per line.
     (A ``where`` on the parsed columns would be pushed below the projection
     by Catalyst, which copies every split into the filter and parses each
