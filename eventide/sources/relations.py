@@ -52,6 +52,21 @@ def jdbc_table(spark: SparkSession, options: dict[str, str], table: str | None =
     return r.load()
 
 
+def jdbc_partitioned(spark: SparkSession, options: dict[str, str], table: str, column: str,
+                     num_partitions: int) -> DataFrame:
+    """Read a large JDBC table in ``num_partitions`` parallel range slices of
+    ``column`` (numeric, date or timestamp). The bounds come from one
+    ``min``/``max`` query that runs inside the database; only that one row
+    reaches the driver. Rows outside the bounds are still read (Spark's
+    first and last slices are open-ended)."""
+    lo, hi = jdbc_table(spark, options,
+                        query=f"SELECT min({column}) AS lo, max({column}) AS hi FROM {table}").first()
+    if lo is None:  # empty table: a single slice
+        return jdbc_table(spark, options, table=table)
+    return jdbc_table(spark, options, table=table, partition_column=column,
+                      lower=lo, upper=hi, num_partitions=num_partitions)
+
+
 def relation(spark: SparkSession, name: str, sf_dir: str | None = None,
              jdbc: dict[str, str] | None = None, **jdbc_kw) -> DataFrame:
     """A named relation: a JDBC table when options are given, else parquet."""
