@@ -64,6 +64,30 @@ def space_tokens(c: Column | str) -> Column:
              .otherwise(F.split(trimmed, TOKEN_SEPARATOR, -1)))
 
 
+def text_chunks(c: Column | str, min_chars: int) -> Column:
+    """Cut a text into pieces for :func:`chunk_tokens`, token-preserving.
+
+    The text is right-trimmed of spaces (Java's trailing-empty rule), then cut
+    into pieces of at least ``min_chars`` characters that end at a space (the
+    cut space stays at the piece's end); the last piece takes the rest.
+    ``""`` gives ``[""]`` and an all-space text ``[]``, as :func:`space_tokens`.
+    """
+    v = _c(c)
+    trimmed = F.rtrim(v)
+    pattern = f"(?s).{{{int(min_chars)},}}? |.+"
+    return (F.when(v == "", F.array(F.lit("")))
+             .when(trimmed == "", F.array().cast("array<string>"))
+             .otherwise(F.regexp_extract_all(trimmed, F.lit(pattern), 0)))
+
+
+def chunk_tokens(chunk: Column | str) -> Column:
+    """Tokens of one piece of :func:`text_chunks`: drop the cut space, then
+    split keeping every empty token (the text goes on after the cut)."""
+    v = _c(chunk)
+    body = F.when(v.endswith(" "), F.substring(v, F.lit(1), F.length(v) - 1)).otherwise(v)
+    return F.split(body, TOKEN_SEPARATOR, -1)
+
+
 def guarded_prefix(c: Column | str, n: int) -> Column:
     """``s.substring(0, n)``, null where Java would throw (shorter input)."""
     v = _c(c)

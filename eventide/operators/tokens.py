@@ -10,13 +10,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.text import space_tokens
+from eventide.functions.text import chunk_tokens, space_tokens, text_chunks
 
 
 def tokenize(records: DataFrame, value: str = "value",
-             keep: tuple[str, ...] = ()) -> DataFrame:
-    """``flatMap(_.split(" "))``: one row per token, ``word`` column."""
-    return records.select(*keep, F.explode(space_tokens(value)).alias("word"))
+             keep: tuple[str, ...] = (), chunk_chars: int | None = None) -> DataFrame:
+    """``flatMap(_.split(" "))``: one row per token, ``word`` column.
+
+    A row is split by one task. ``chunk_chars`` bounds that work for huge
+    texts: each text is first cut at spaces into pieces of about that many
+    characters, the pieces are spread over the cluster by (source row,
+    piece number), and each piece is split on its own; the tokens are the
+    same (see ``text_chunks``). The spread key is per source row, not the
+    piece text, so many exact copies of one text do not meet in one task.
+    The row id is stable on recompute for a file scan (fixed split order).
+    """
+    if chunk_chars is None:
+        return records.select(*keep, F.explode(space_tokens(value)).alias("word"))
+    pieces = records.select(*keep, F.monotonically_increasing_id().alias("_row"),
+                            F.posexplode(text_chunks(value, chunk_chars))
+                            .alias("_piece_no", "_piece"))
+    if not records.isStreaming:
+        pieces = pieces.repartition("_row", "_piece_no")
+    return pieces.select(*keep, F.explode(chunk_tokens("_piece")).alias("word"))
 
 
 def token_pairs(tokens: DataFrame) -> DataFrame:

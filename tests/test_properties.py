@@ -70,3 +70,14 @@ def test_parse_log_property(spark, parts):
            for r in logs.parse_log(df, keep=("i",)).collect()}
     for i, line in enumerate(lines):
         assert got.get(i) == parse_log_ref(line), line
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="ab \n", max_size=40), min_size=1, max_size=40),
+       st.integers(1, 6))
+def test_chunked_tokenize_equals_whole(spark, values, chunk):
+    from eventide.operators import tokens
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
+    whole = tokens.word_count(tokens.tokenize(df, keep=("i",)), by=("i",))
+    chunked = tokens.word_count(tokens.tokenize(df, keep=("i",), chunk_chars=chunk), by=("i",))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, chunked.collect()))
