@@ -28,7 +28,7 @@ USER_PIECE, SITE_PIECE = 1, 3    # positions in the uri pieces
 DAY_PREFIX_LEN = 10              # yyyy-MM-dd
 DATE_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 COMPACT_FORMAT = "yyyyMMddHHmmss"
-INT_TEXT_PATTERN = r"^[+-]?[0-9]+$"
+INT_TEXT_PATTERN = r"^[+-]?[0-9]+\z"  # \z: `$` would also match before a final newline
 
 
 def _c(c: Column | str) -> Column:

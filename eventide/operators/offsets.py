@@ -17,7 +17,7 @@ from eventide.schemas import LEDGER
 
 # Fixed value: default offset for a partition without a stored position.
 DEFAULT_START_OFFSET = 0
-HASH_FIELD_PATTERN = r"^(.*)-([0-9]+)$"   # split <topic>-<partition> at the LAST '-'
+HASH_FIELD_PATTERN = r"^(.*)-([0-9]+)\z"   # split <topic>-<partition> at the LAST '-'
 
 
 def assign_batches(records: DataFrame, cap: int) -> DataFrame:

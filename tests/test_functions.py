@@ -78,7 +78,7 @@ def test_strict_reading(spark):
     ok = spark.createDataFrame([("2024-01-01 00:00:00", "12"), ("2024-01-01 00:00:01", "-3")],
                                "key string, value string").withColumn("ts", F.lit(None))
     assert [r["reading"] for r in values.readings(ok).collect()] == [12, -3]
-    for bad in [" 12 ", "x", "1.5"]:
+    for bad in [" 12 ", "x", "1.5", "12\n", "\t7"]:
         df = spark.createDataFrame([("2024-01-01 00:00:00", bad)], "key string, value string") \
             .withColumn("ts", F.lit(None))
         with pytest.raises(PySparkException):
