@@ -44,7 +44,8 @@ MARKER_SCHEMA = T.StructType([T.StructField("committed", T.BooleanType(), False)
 class CommitLog:
     """One consumer's (module, group) committed results under ``root``
     (default ``<spark.checkpoint.dir>/commits/<job>``, a shared folder that
-    outlives executors and restarts)."""
+    outlives executors and restarts). One writer per log, as one consumer
+    per group: commit ids are taken as the last committed id + 1."""
 
     def __init__(self, spark: SparkSession, root: str | None = None, job: str | None = None,
                  module: str = "default", grp: str = "default"):
