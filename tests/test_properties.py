@@ -81,3 +81,25 @@ def test_chunked_tokenize_equals_whole(spark, values, chunk):
     whole = tokens.word_count(tokens.tokenize(df, keep=("i",)), by=("i",))
     chunked = tokens.word_count(tokens.tokenize(df, keep=("i",), chunk_chars=chunk), by=("i",))
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, chunked.collect()))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3 * 86400), st.integers(-50, 500)), min_size=1, max_size=80),
+       st.sampled_from([(120, 24), (50, 20), (60, 60), (90, 35), (10, 4)]))
+def test_sliding_mean_equals_native_window(spark, rows, shape):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from eventide.operators import windows
+    length, slide = shape
+    base = dt.datetime(2024, 1, 1)
+    data = [(base + dt.timedelta(seconds=s), r) for s, r in rows]
+    df = (spark.createDataFrame(data, "ts timestamp_ntz, reading int")
+          .withColumn("day", F.date_format("ts", "yyyy-MM-dd")))
+    ours = {(r["window_start"], r["day"]): r["mean"]
+            for r in windows.sliding_mean(df, length, slide).collect()}
+    native = {(r["s"], r["day"]): r["m"] for r in
+              df.groupBy(F.window("ts", f"{length} seconds", f"{slide} seconds").start.alias("s"), "day")
+              .agg(F.avg("reading").alias("m")).collect()}
+    assert ours == native
