@@ -16,10 +16,12 @@ import inspect
 
 from pyspark.sql import DataFrame
 
-from eventide.operators import tokens
+from eventide.operators import offsets, tokens, values
+from eventide.plans import jobs as pj
+from eventide.sinks.commit_log import CommitLog
 from eventide.streaming import jobs as sj
-from eventide.streaming.sources import (kafka_options, kafka_records, max_offsets_per_trigger,
-                                        replay_records)
+from eventide.streaming.sources import (kafka_batch_records, kafka_options, kafka_records,
+                                        max_offsets_per_trigger, replay_records)
 
 # Fixed value: the reference's per-partition rate cap, records per batch.
 DEFAULT_CAP = 500
@@ -44,15 +46,48 @@ JOBS = {
 }
 
 
+# job name -> outputs committed by a catch-up run (results + positions
+# together). Outputs are additive over commits; J3 windows span commits, so
+# J3 runs as a stream only.
+CATCH_UP = {
+    "j1": {"word_counts": pj.j1_word_count},
+    "j2": {"pairs": pj.j2_token_pairs},
+    "j6": {"word_counts": pj.j1_word_count},
+    "j7": {"value_counts": values.value_count_per_batch},
+    "j8": {"fields": values.split_three_fields, "sizes": values.batch_size},
+    "j9": {"ranges": offsets.offset_ranges, "partitions": offsets.partitions_per_batch},
+}
+
+
+def _kafka_opts(args) -> dict[str, str]:
+    return kafka_options(args.bootstrap, topics=args.topics.split(","), starting=args.starting,
+                         max_offsets=max_offsets_per_trigger(args.rate, args.partitions,
+                                                             args.trigger_seconds)
+                         if args.rate else None,
+                         max_poll_records=args.max_poll_records)
+
+
+def catch_up(spark, args) -> int | None:
+    """Process everything after the committed positions once and commit the
+    results together with the new positions (exactly once per record)."""
+    log = CommitLog(spark, root=args.checkpoint, job=args.name, module=args.module, grp=args.group)
+    if args.source == "kafka":
+        parts = {t: args.partitions for t in args.topics.split(",")}
+        records = kafka_batch_records(spark, _kafka_opts(args), log.positions(), parts, args.cap)
+    else:
+        records = spark.read.parquet(args.replay)
+    if args.job == "j4":
+        return pj.catch_up_word_totals(log, records)
+    if args.job in ("j5-pv", "j5-uv"):
+        return pj.catch_up_pv_uv(log, records)
+    if args.job not in CATCH_UP:
+        raise ValueError(f"{args.job} runs as a stream only")
+    return pj.catch_up(log, records, CATCH_UP[args.job])
+
+
 def build(spark, args) -> tuple[DataFrame, str]:
     if args.source == "kafka":
-        opts = kafka_options(args.bootstrap, topics=args.topics.split(","),
-                             starting=args.starting,
-                             max_offsets=max_offsets_per_trigger(args.rate, args.partitions,
-                                                                 args.trigger_seconds)
-                             if args.rate else None,
-                             max_poll_records=args.max_poll_records)
-        records = kafka_records(spark, opts, args.cap)
+        records = kafka_records(spark, _kafka_opts(args), args.cap)
     else:
         records = replay_records(spark, args.replay, args.max_files_per_trigger)
     job = JOBS[args.job]
@@ -86,10 +121,17 @@ def main(argv=None, spark=None):
     p.add_argument("--checkpoint")
     p.add_argument("--trigger-seconds", type=float, default=sj.BATCH_INTERVAL_S)
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--catch-up", action="store_true",
+                   help="one bounded run from the committed positions, results and positions "
+                        "committed together (commit log under the checkpoint)")
+    p.add_argument("--module", default="default")
+    p.add_argument("--group", default="default")
     args = p.parse_args(argv)
     if spark is None:
         from eventide.session import build_session
         spark = build_session(master=None)  # the master comes from spark-submit
+    if args.catch_up:
+        return catch_up(spark, args)
     df, mode = build(spark, args)
     trigger = {"availableNow": True} if args.available_now else \
         {"processingTime": f"{args.trigger_seconds} seconds"}

@@ -77,9 +77,7 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
     return o
 
 
-def kafka_records(spark: SparkSession, options: dict[str, str], cap: int) -> DataFrame:
-    """Kafka source as the record envelope (key/value cast to text)."""
-    raw = spark.readStream.format("kafka").options(**options).load()
+def _kafka_envelope(raw: DataFrame, cap: int) -> DataFrame:
     return raw.select(
         "topic", "partition", "offset",
         F.expr(f"`offset` div {int(cap)}").alias("batch_id"),
@@ -88,6 +86,33 @@ def kafka_records(spark: SparkSession, options: dict[str, str], cap: int) -> Dat
         F.col("value").cast("string").alias("value"))
 
 
+def kafka_records(spark: SparkSession, options: dict[str, str], cap: int) -> DataFrame:
+    """Kafka source as the record envelope (key/value cast to text)."""
+    return _kafka_envelope(spark.readStream.format("kafka").options(**options).load(), cap)
+
+
+# options that only a streaming Kafka read accepts
+_STREAM_ONLY = ("maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay")
+
+
+def kafka_batch_options(options: dict[str, str], positions: DataFrame,
+                        partitions: dict[str, int]) -> dict[str, str]:
+    """Options for a bounded read of everything after the committed
+    positions, up to the log end at read time (``endingOffsets=latest``)."""
+    o = {k: v for k, v in options.items() if k not in _STREAM_ONLY}
+    o["startingOffsets"] = starting_offsets(positions, partitions)
+    o["endingOffsets"] = "latest"
+    return o
+
+
+def kafka_batch_records(spark: SparkSession, options: dict[str, str], positions: DataFrame,
+                        partitions: dict[str, int], cap: int) -> DataFrame:
+    """The pending records of a consumer as one bounded DataFrame: the input
+    of a catch-up commit (results and positions stored together)."""
+    opts = kafka_batch_options(options, positions, partitions)
+    return _kafka_envelope(spark.read.format("kafka").options(**opts).load(), cap)
+
+
 def write_replay_log(records: DataFrame, path: str, slices: int,
                      files_per_slice: int | None = None) -> None:
     """Lay a bounded envelope out as a replay log of ``slices`` appends.

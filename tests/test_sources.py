@@ -81,3 +81,12 @@ def test_jdbc_options_from_session(spark, monkeypatch):
         assert relations.jdbc_options(spark) == {"url": "jdbc:mysql://db/test", "user": "u"}
     finally:
         spark.conf.unset("eventide.jdbc.user")
+
+
+def test_kafka_batch_options_start_at_positions(spark):
+    ledger = spark.createDataFrame([("m", "g", "views", 1, 40)], LEDGER)
+    base = ks.kafka_options("b:9092", topics=["views"], max_offsets=2000)
+    o = ks.kafka_batch_options(base, ledger, {"views": 2})
+    assert "maxOffsetsPerTrigger" not in o and o["endingOffsets"] == "latest"
+    assert json.loads(o["startingOffsets"]) == {"views": {"0": -2, "1": 40}}
+    assert o["subscribe"] == "views"

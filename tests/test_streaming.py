@@ -249,3 +249,16 @@ def test_progress_offsets_and_console_sink(spark, reading_log, tmp_dir):
     rep = jobs.progress_offsets(q)
     assert rep and sum(r["rows"] for r in rep) == 10000
     assert all(r["end"] is not None for r in rep)
+
+
+def test_run_cli_catch_up_commits_once(spark, doc_log, tmp_dir):
+    from eventide.plans import run
+    from eventide.schemas import WORD_TOTAL
+    from eventide.sinks.commit_log import CommitLog
+    argv = ["j4", "--source", "replay", "--replay", doc_log, "--name", "wc",
+            "--checkpoint", os.path.join(tmp_dir, "log"), "--catch-up"]
+    assert run.main(argv, spark=spark) == 1
+    assert run.main(argv, spark=spark) is None  # nothing pending: applied once
+    totals = CommitLog(spark, os.path.join(tmp_dir, "log")).latest("totals", WORD_TOTAL)
+    batch = tokens.running_total(tokens.tokenize(documents_envelope(spark, SF01)))
+    assert _same(totals, batch)
