@@ -128,6 +128,8 @@ def write_replay_log(records: DataFrame, path: str, slices: int,
     """
     out = records.withColumn("ts", F.col("ts").cast("timestamp"))
     lo_hi = out.agg(F.min("batch_id"), F.max("batch_id")).first()
+    if lo_hi[0] is None:  # no records: nothing to replay
+        return
     lo, hi = int(lo_hi[0]), int(lo_hi[1])
     step = max(1, -(-(hi - lo + 1) // slices))
     for start in range(lo, hi + 1, step):
