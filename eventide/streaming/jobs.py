@@ -199,6 +199,9 @@ def start(df: DataFrame, mode: str, sink: str, checkpoint: str | None = None,
     it committed. ``trigger`` defaults to the reference's 6 s interval;
     replays pass ``{"availableNow": True}``.
     """
+    if sink == "parquet" and mode != "append":
+        raise ValueError(f"the parquet file sink is append-only; a {mode}-mode job goes to "
+                         "console/memory, or runs as a catch-up commit (--catch-up)")
     if checkpoint is None:
         if not name:
             raise ValueError("a stream needs a name or an explicit checkpoint location")

@@ -262,3 +262,9 @@ def test_run_cli_catch_up_commits_once(spark, doc_log, tmp_dir):
     totals = CommitLog(spark, os.path.join(tmp_dir, "log")).latest("totals", WORD_TOTAL)
     batch = tokens.running_total(tokens.tokenize(documents_envelope(spark, SF01)))
     assert _same(totals, batch)
+
+
+def test_update_mode_job_rejects_file_sink(spark, doc_log, tmp_dir):
+    df, mode = jobs.running_totals(replay_records(spark, doc_log))
+    with pytest.raises(ValueError, match="append-only"):
+        jobs.start(df, mode, "parquet", os.path.join(tmp_dir, "ck"), path=os.path.join(tmp_dir, "o"))
