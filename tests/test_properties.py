@@ -103,3 +103,19 @@ def test_sliding_mean_equals_native_window(spark, rows, shape):
               df.groupBy(F.window("ts", f"{length} seconds", f"{slide} seconds").start.alias("s"), "day")
               .agg(F.avg("reading").alias("m")).collect()}
     assert ours == native
+
+
+def parse_int_ref(s: str):
+    """``Integer.parseInt``: optional sign, ASCII digits, 32-bit range; else None."""
+    if not re.fullmatch(r"[+-]?[0-9]+", s):
+        return None
+    v = int(s)
+    return v if -2**31 <= v <= 2**31 - 1 else None
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.text(alphabet="+-0123456789 x\n\t", max_size=12),
+                          st.integers(-2**33, 2**33).map(str)), min_size=1, max_size=60))
+def test_lenient_int_matches_parse_int(spark, values):
+    got = _eval(spark, values, text.strict_int("v", strict=False))
+    assert got == [parse_int_ref(v) for v in values]
