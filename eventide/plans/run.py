@@ -28,6 +28,7 @@ DEFAULT_CAP = 500
 
 
 def _j2(records: DataFrame):
+    """J2: (word, 1) per token, appended as records arrive."""
     return tokens.token_pairs(tokens.tokenize(records)), "append"
 
 

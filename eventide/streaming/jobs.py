@@ -82,6 +82,7 @@ def _per_batch(records: DataFrame, clock: str, interval_s: int, lateness_batches
 
 def word_count_per_batch(records: DataFrame, lateness_batches: int = 1, clock: str = "offset",
                          interval_s: int = BATCH_INTERVAL_S) -> tuple[DataFrame, str]:
+    """J1/J6: word count per batch, emitted when the batch closes."""
     r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches)
     clock_cols = ("batch_ts", "batch_id") if clock == "offset" else ("ts",)
     t = tokens.tokenize(r, keep=clock_cols)
@@ -91,6 +92,7 @@ def word_count_per_batch(records: DataFrame, lateness_batches: int = 1, clock: s
 
 def value_count_per_batch(records: DataFrame, lateness_batches: int = 1, clock: str = "offset",
                           interval_s: int = BATCH_INTERVAL_S) -> tuple[DataFrame, str]:
+    """J7: count of identical whole values per batch, emitted when it closes."""
     r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches)
     out = r.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     return finish(out), "append"
