@@ -7,6 +7,12 @@
 
 The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``, so a
 restart with the same name resumes where the last run committed.
+
+    python -m eventide.plans.run j4 --source kafka --bootstrap host:9092 --topics test \
+        --partitions 4 --catch-up --name word-totals --module m1 --group g1
+
+``--catch-up`` instead reads everything after the committed positions once
+(a bounded Kafka read) and commits results and new positions together.
 """
 
 from __future__ import annotations
