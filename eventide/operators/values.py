@@ -29,10 +29,15 @@ def split_three_fields(records: DataFrame, value: str = "value") -> DataFrame:
 def readings(records: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(key.substring(0, 10), value.toInt)``: (day, reading) per record.
 
-    strict=True fails on a non-integer reading (as the reference does);
-    strict=False drops such records and records with a short key.
+    strict=True fails on a non-integer reading or a key shorter than 10
+    characters (as the reference does); strict=False drops such records.
     """
-    out = records.select(*keep, "ts", day_key("key").alias("day"),
+    day = day_key("key")
+    if strict:  # a short or missing key fails like substring(0, 10) does
+        day = F.when(day.isNotNull(), day).otherwise(F.raise_error(
+            F.concat(F.lit("record key shorter than 10 characters: "),
+                     F.coalesce(F.col("key"), F.lit("null")))).cast("string"))
+    out = records.select(*keep, "ts", day.alias("day"),
                          strict_int("value", strict).alias("reading"))
     if not strict:
         out = out.where(F.col("reading").isNotNull() & F.col("day").isNotNull())

@@ -86,10 +86,12 @@ def test_strict_reading(spark):
         assert values.readings(df, strict=False).count() == 0
 
 
-def test_short_key_has_no_day(spark):
-    df = spark.createDataFrame([("2024-01", "5")], "key string, value string").withColumn("ts", F.lit(None))
-    assert values.readings(df).first()["day"] is None
-    assert values.readings(df, strict=False).count() == 0
+def test_short_key_fails_strict_and_drops_lenient(spark):
+    for key in ["2024-01", None]:
+        df = spark.createDataFrame([(key, "5")], "key string, value string").withColumn("ts", F.lit(None))
+        with pytest.raises(PySparkException):
+            values.readings(df).collect()
+        assert values.readings(df, strict=False).count() == 0
 
 
 def test_fixed_position_split(spark):
