@@ -70,3 +70,10 @@ def test_scans_prune_columns_and_push_filters(spark):
     _, full = plan_of(spark, "word_count")
     # text plus the id the single-split scan is spread by; no other column
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in full
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_no_python_in_any_plan(spark, key):
+    """Every registered query stays in the JVM: no Python UDF evaluation."""
+    _, full = plan_of(spark, key)
+    assert not re.search(r"(Batch|Arrow)EvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", full)
