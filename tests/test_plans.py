@@ -73,7 +73,9 @@ def test_scans_prune_columns_and_push_filters(spark):
 
 
 @pytest.mark.parametrize("key", sorted(entry.queries()))
-def test_no_python_in_any_plan(spark, key):
-    """Every registered query stays in the JVM: no Python UDF evaluation."""
+def test_no_python_and_no_cross_join_in_any_plan(spark, key):
+    """Every registered query stays in the JVM (no Python UDF evaluation) and
+    never pairs rows without a key (no cartesian or nested-loop join)."""
     _, full = plan_of(spark, key)
     assert not re.search(r"(Batch|Arrow)EvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", full)
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", full)
