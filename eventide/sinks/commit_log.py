@@ -82,11 +82,13 @@ class CommitLog:
         return self.markers().agg(F.max("commit_id")).first()[0]
 
     def latest(self, name: str, schema: T.StructType) -> DataFrame:
-        """Rows of the newest committed version of a full-state table."""
+        """Rows of the newest committed version of a full-state table. Only
+        that version's directory is listed, however many commits exist."""
         last = self.last_commit()
         if last is None:
             return self.spark.createDataFrame([], schema)
-        return self._read(name).where(F.col("commit_id") == last).select(*schema.fieldNames())
+        return (self.spark.read.schema(schema)
+                .parquet(os.path.join(self.root, name, f"commit_id={last}")))
 
     def positions(self) -> DataFrame:
         """Committed positions: next offset to read per topic-partition.
