@@ -90,3 +90,44 @@ def test_kafka_batch_options_start_at_positions(spark):
     assert "maxOffsetsPerTrigger" not in o and o["endingOffsets"] == "latest"
     assert json.loads(o["startingOffsets"]) == {"views": {"0": -2, "1": 40}}
     assert o["subscribe"] == "views"
+
+
+class _Rows:
+    def __init__(self, row):
+        self.row = row
+
+    def first(self):
+        return self.row
+
+
+def test_jdbc_partitioned_reads_bounds_then_slices(monkeypatch, spark):
+    calls = []
+
+    def fake(spark_, options, table=None, query=None, **kw):
+        calls.append({"table": table, "query": query, **kw})
+        return _Rows((5, 905)) if query else "relation"
+
+    monkeypatch.setattr(relations, "jdbc_table", fake)
+    out = relations.jdbc_partitioned(spark, {"url": "jdbc:x"}, "events", "event_id", 8)
+    assert out == "relation"
+    assert calls[0]["query"] == "SELECT min(event_id) AS lo, max(event_id) AS hi FROM events"
+    assert calls[1] == {"table": "events", "query": None, "partition_column": "event_id",
+                        "lower": 5, "upper": 905, "num_partitions": 8}
+
+
+def test_jdbc_partitioned_empty_table_single_slice(monkeypatch, spark):
+    calls = []
+
+    def fake(spark_, options, table=None, query=None, **kw):
+        calls.append(kw)
+        return _Rows((None, None)) if query else "relation"
+
+    monkeypatch.setattr(relations, "jdbc_table", fake)
+    assert relations.jdbc_partitioned(spark, {}, "t", "id", 8) == "relation"
+    assert calls[1] == {}
+
+
+def test_relation_chooses_jdbc_when_options_given(monkeypatch, spark):
+    monkeypatch.setattr(relations, "jdbc_table", lambda s, o, table=None, **kw: ("jdbc", table, o))
+    assert relations.relation(spark, "events", jdbc={"url": "u"}) == ("jdbc", "events", {"url": "u"})
+    assert relations.relation(spark, "events", SF01).columns[0] == "event_id"
