@@ -161,3 +161,19 @@ def test_generic_catch_up_per_batch_counts(spark, tmp_dir):
     expect = values.value_count_per_batch(recs)
     assert got.exceptAll(expect.select(got.columns)).count() == 0
     assert expect.select(got.columns).exceptAll(got).count() == 0
+
+
+def test_staged_merge_stages_then_merges_in_one_guarded_commit(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(jdbc, "stage", lambda df, options, staging, column_types=None:
+                        seen.update(staged=(df, staging, column_types)))
+    monkeypatch.setattr(jdbc, "commit_batch", lambda connect, batch_id, stmts:
+                        seen.update(commit=(batch_id, list(stmts))) or True)
+    ok = jdbc.staged_merge("DF", {"url": "u"}, "wordcount", "wordcount_stage", ["word"], ["cnt"],
+                           connect=None, batch_id=3, column_types="word VARCHAR(512)",
+                           extra_statements=["UPDATE ledger SET until_offset = 9"])
+    assert ok is True
+    assert seen["staged"] == ("DF", "wordcount_stage", "word VARCHAR(512)")
+    batch_id, stmts = seen["commit"]
+    assert batch_id == 3 and stmts[0].startswith("MERGE INTO wordcount t USING wordcount_stage s")
+    assert stmts[1] == "UPDATE ledger SET until_offset = 9"
