@@ -26,19 +26,26 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
+LOCAL_SHUFFLE_PARTITIONS = 8
+
+
+def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = None,
                   app_name: str = "eventide", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.
 
-    ``master=None`` leaves the master to spark-submit (cluster runs).
-    ``shuffle_partitions`` should be sized to the cluster: roughly total input
-    bytes of the widest shuffle / 128 MB; AQE then coalesces small ones.
+    ``master=None`` leaves the master to spark-submit (cluster runs) and
+    also leaves ``spark.sql.shuffle.partitions`` to it (builder options would
+    override ``--conf``): size it to the widest shuffle's bytes / 128 MB; AQE
+    then coalesces small partitions. Local runs default to 8.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is None and master:
+        shuffle_partitions = LOCAL_SHUFFLE_PARTITIONS
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
