@@ -115,7 +115,8 @@ def main(argv=None, spark=None):
     p.add_argument("--topics")
     p.add_argument("--starting", default="earliest")
     p.add_argument("--rate", type=int, default=0, help="records/s/partition cap (0: none)")
-    p.add_argument("--partitions", type=int, default=1, help="partitions, for the rate cap")
+    p.add_argument("--partitions", type=int,
+                   help="partitions per topic (needed for --rate and a Kafka --catch-up)")
     p.add_argument("--max-poll-records", type=int)
     p.add_argument("--cap", type=int, default=DEFAULT_CAP, help="records per partition per batch_id")
     p.add_argument("--clock", choices=["time", "offset"],
@@ -134,6 +135,8 @@ def main(argv=None, spark=None):
     p.add_argument("--module", default="default")
     p.add_argument("--group", default="default")
     args = p.parse_args(argv)
+    if args.source == "kafka" and (args.rate or args.catch_up) and not args.partitions:
+        p.error("--partitions is needed with --rate and with a Kafka --catch-up")
     if spark is None:
         from eventide.session import build_session
         spark = build_session(master=None)  # the master comes from spark-submit

@@ -131,3 +131,10 @@ def test_relation_chooses_jdbc_when_options_given(monkeypatch, spark):
     monkeypatch.setattr(relations, "jdbc_table", lambda s, o, table=None, **kw: ("jdbc", table, o))
     assert relations.relation(spark, "events", jdbc={"url": "u"}) == ("jdbc", "events", {"url": "u"})
     assert relations.relation(spark, "events", SF01).columns[0] == "event_id"
+
+
+def test_cli_requires_partitions_for_kafka_catch_up():
+    from eventide.plans import run
+    with pytest.raises(SystemExit):
+        run.main(["j4", "--source", "kafka", "--bootstrap", "b:9092", "--topics", "t",
+                  "--catch-up", "--name", "x"], spark=object())
