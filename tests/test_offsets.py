@@ -118,3 +118,11 @@ def test_none_policy_requires_every_position(spark):
     assert offsets.require_positions(parts, full).count() == 2
     with pytest.raises(ValueError):
         offsets.require_positions(parts, full.where("partition = 0"))
+
+
+def test_assign_batches_caps_records_per_partition(spark):
+    recs = _records(spark, [("t", p, o, -1) for p in range(2) for o in range(7)])
+    got = offsets.assign_batches(recs, cap=3)
+    per = {(r["partition"], r["batch_id"]): r["n"]
+           for r in got.groupBy("partition", "batch_id").count().withColumnRenamed("count", "n").collect()}
+    assert per == {(p, b): n for p in range(2) for b, n in [(0, 3), (1, 3), (2, 1)]}
