@@ -104,6 +104,11 @@ def build(spark, args) -> tuple[DataFrame, str]:
         # time clock; a replay of the envelope may use the offset clock.
         kw["clock"] = getattr(args, "clock", None) or ("time" if args.source == "kafka" else "offset")
         kw["interval_s"] = int(getattr(args, "trigger_seconds", sj.BATCH_INTERVAL_S))
+    params = inspect.signature(job).parameters
+    if getattr(args, "lateness", None) and "lateness" in params:
+        kw["lateness"] = args.lateness
+    if getattr(args, "lateness_batches", None) and "lateness_batches" in params:
+        kw["lateness_batches"] = args.lateness_batches
     return job(sj.observed(records, "records"), **kw)
 
 
@@ -121,6 +126,10 @@ def main(argv=None, spark=None):
     p.add_argument("--cap", type=int, default=DEFAULT_CAP, help="records per partition per batch_id")
     p.add_argument("--clock", choices=["time", "offset"],
                    help="per-batch clock (default: time for kafka, offset for replay)")
+    p.add_argument("--lateness", help="event-time slack before a window closes, e.g. '2 minutes' "
+                                      "(J3, J5; default 1 hour)")
+    p.add_argument("--lateness-batches", type=int,
+                   help="batches a per-batch result waits for late records (default 1)")
     p.add_argument("--replay")
     p.add_argument("--max-files-per-trigger", type=int, default=1)
     p.add_argument("--sink", choices=["console", "parquet", "memory"], default="console")

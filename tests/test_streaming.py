@@ -268,3 +268,13 @@ def test_update_mode_job_rejects_file_sink(spark, doc_log, tmp_dir):
     df, mode = jobs.running_totals(replay_records(spark, doc_log))
     with pytest.raises(ValueError, match="append-only"):
         jobs.start(df, mode, "parquet", os.path.join(tmp_dir, "ck"), path=os.path.join(tmp_dir, "o"))
+
+
+def test_run_cli_passes_lateness(spark, reading_log, tmp_dir):
+    from eventide.plans import run
+    out = os.path.join(tmp_dir, "out")
+    run.main(["j3", "--source", "replay", "--replay", reading_log, "--sink", "parquet", "--out", out,
+              "--name", "j3", "--checkpoint", os.path.join(tmp_dir, "ck"), "--available-now",
+              "--lateness", "2 minutes"], spark=spark)
+    # a short lateness closes more windows of the last slice than the 1 hour default
+    assert spark.read.parquet(out).count() > 40134
