@@ -230,10 +230,16 @@ def test_time_clock_per_batch_counts(spark, tmp_dir):
 def test_pv_counter_state_stays_bounded(spark, weblog, tmp_dir):
     """Closed hours leave the state store: 720 hours x 6 keys went through,
     only the hours still inside the lateness stay."""
-    df, mode = jobs.pv_counters(replay_records(spark, weblog))
-    name = "pvstate_" + uuid.uuid4().hex[:8]
-    q = jobs.start(df, mode, "memory", os.path.join(tmp_dir, "ck"), name=name, trigger=AVAILABLE_NOW)
-    q.awaitTermination()
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    spark.conf.set(key, "true")  # the row count is off by default (a metric only)
+    try:
+        df, mode = jobs.pv_counters(replay_records(spark, weblog))
+        name = "pvstate_" + uuid.uuid4().hex[:8]
+        q = jobs.start(df, mode, "memory", os.path.join(tmp_dir, "ck"), name=name,
+                       trigger=AVAILABLE_NOW)
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, "false")
     ops = q.recentProgress[-1]["stateOperators"]
     assert ops and ops[0]["numRowsTotal"] < 50
     assert spark.table(name).select("hour").distinct().count() == 720
