@@ -284,3 +284,15 @@ def test_run_cli_passes_lateness(spark, reading_log, tmp_dir):
               "--lateness", "2 minutes"], spark=spark)
     # a short lateness closes more windows of the last slice than the 1 hour default
     assert spark.read.parquet(out).count() > 40134
+
+
+def test_alert_stream_general_window_shape(spark, reading_log, tmp_dir):
+    """Length not a multiple of the slide (gcd buckets, window_time re-windowing)."""
+    df, mode = jobs.windowed_alert(replay_records(spark, reading_log), length=50, slide=20)
+    out = _run_parquet(spark, df, mode, tmp_dir)
+    reads = values.readings(events_envelope(spark, SF01, "reading", keep=()))
+    batch = windows.windowed_alert(windows.sliding_mean(reads, 50, 20))
+    last = out.agg(F.max("window_start")).first()[0]
+    out_ntz = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    assert out.count() > 20000  # 50 s windows sliding by 20 s: ~2.5 windows per event
+    assert _same(out_ntz, batch.where(F.col("window_start") <= F.lit(last).cast("timestamp_ntz")))
