@@ -238,7 +238,7 @@ def _near_pairs(threshold: int):
         size = table.column("n").to_numpy()
         side = table.column("side").to_numpy()
         key = table.column("set_key").to_pylist()
-        bits = table.column("parity").combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS)
+        bits = table.column("parity").combine_chunks().flatten().to_numpy().view(_U).reshape(-1, PARITY_WORDS)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         out_a, out_b = [], []

@@ -40,7 +40,8 @@ SAMPLE_ROWS = 20_000      # labelled rows the lexicon is learned from, at most
 CANDIDATES = 3_000        # terms the greedy choice looks at, at most
 LEXICON = 300             # terms kept, at most
 MIN_SUPPORT = 3           # toxic documents a term must stand in
-MIN_GAIN = 8.0            # log-likelihood a term must add
+MIN_GAIN = 6.5            # log-likelihood a term must add
+COVER = 3                 # terms that may explain one document
 STEM = range(3, 11)       # letters of a stem
 MIN_FUZZY = 5             # letters from which a misspelling counts
 NEAR_CHARS, NEAR_WORDS = 80, 6
@@ -231,8 +232,8 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, bool, bool]]:
 
 
 def choose_terms(rows: list[tuple[int, list[str], int]]) -> list[tuple[str, bool, bool]]:
-    """Greedy cover: each step takes the term that best tells the rows left
-    over apart; of stems with equal support the longest, a whole word before a
+    """Greedy cover: each step takes the term that best tells apart the rows
+    that fewer than ``COVER`` terms hold; of stems with equal support the longest, a whole word before a
     stem."""
     pos, neg = Counter(), Counter()
     holders = defaultdict(list)
@@ -243,20 +244,24 @@ def choose_terms(rows: list[tuple[int, list[str], int]]) -> list[tuple[str, bool
     left_pos = sum(n for y, _, n in rows if y)
     left_neg = sum(n for y, _, n in rows if not y)
     base = (left_pos + 0.5) / (left_pos + left_neg + 1)
-    done, chosen = set(), []
+    held, chosen = Counter(), []
+
+    def covered(t):  # a chosen term begins with it, or the other way round
+        bare = t.rstrip("$")
+        return any(c.startswith(bare) or bare.startswith(c) for c in (x.rstrip("$") for x in chosen))
     while len(chosen) < LEXICON:
         def gain(t):
             p, n = pos[t], neg[t]
             rate = (p + 0.1) / (p + n + 0.2)
             return p * math.log(rate / base) + n * math.log((1 - rate) / (1 - base)) if p >= MIN_SUPPORT else 0.0
-        scored = [(round(gain(t), 6), t.endswith("$"), len(t), t) for t in holders if t not in chosen]
+        scored = [(round(gain(t), 6), t.endswith("$"), len(t), t) for t in holders if not covered(t)]
         if not scored or (top := max(scored))[0] < MIN_GAIN:
             break
         term = top[3]
         chosen.append(term)
         for i in holders[term]:
-            if i not in done:
-                done.add(i)
+            held[i] += 1
+            if held[i] == COVER:
                 y, terms, n = rows[i]
                 for t in terms:
                     (pos if y else neg)[t] -= n
