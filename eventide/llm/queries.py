@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontaminate, line_dedup, minhash, packing, toxicity
+from eventide.llm import (credentials, decontaminate, html_extract, line_dedup, minhash, packing, pii,
+                          preference, topk, toxicity)
 from eventide.sources.records import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +89,48 @@ def op7_toxicity(spark, sf):
 @query("op8_minhash")
 def op8_minhash(spark, sf):
     return minhash.near_duplicates(read_table(spark, sf, "documents"))
+
+
+@query("op2_preference")
+def op2_preference(spark, sf):
+    return preference.neighbour_preferences(read_table(spark, sf, "conversations"))
+
+
+@query("op5_html_extract")
+def op5_html_extract(spark, sf):
+    return html_extract.extract(read_table(spark, sf, "pages"))
+
+
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
+
+@query("op6_top_k", TOP_K_SQL)
+def op6_top_k(spark, sf):
+    return topk.top_k(read_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op9_pii")
+def op9_pii(spark, sf):
+    got = pii.pseudonymize(read_table(spark, sf, "documents").select("doc_id", "text"), pii.QUERY_KEY)
+    found = sum((F.col(f"n_{k}") for k in pii.KINDS[1:]), F.col(f"n_{pii.KINDS[0]}"))
+    return got.withColumn("n_found", found)
+
+
+@query("op10_secrets")
+def op10_secrets(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    got = credentials.find_secrets(docs, credentials.learn(docs))
+    count = (lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long"))
+    written_out = (lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","))
+    return got.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                      count("hex").alias("n_hex"),
+                      F.sha2(written_out(F.filter("spans", lambda s: s["kind"] != "format")), 256).alias("base_sha256"),
+                      written_out(F.col("spans")).alias("spans"))
