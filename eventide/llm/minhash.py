@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,7 +153,7 @@ def _set_key(shingles: np.ndarray) -> bytes:
 def _sets(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarray]]:
     """(row, shingles) of a batch, a bounded slice of text at a time."""
     text = batch.column(column).fill_null("").cast(pa.large_string())
-    size = pa.compute.binary_length(text).to_numpy(zero_copy_only=False)
+    size = pc.binary_length(text).to_numpy(zero_copy_only=False)
     lo, n = 0, len(text)
     while lo < n:
         hi = lo + max(1, int(np.searchsorted(np.cumsum(size[lo:]), SLICE_BYTES, "right")))

@@ -1,7 +1,7 @@
 """Packing into length buckets that waste least padding.
 
-A document's length is its number of pre-tokens (runs of letters and digits,
-and single other signs), at least 1; any length column may be given instead.
+A document's length is its number of pre-tokens (runs of ASCII letters and
+digits or non-ASCII characters, and single other visible signs), at least 1; any length column may be given instead.
 The histogram of all lengths gives the bucket boundaries by dynamic
 programming: ``cost[k][j] = min over i of cost[k-1][i] + padding(i, j)``, each
 row by divide and conquer since the best ``i`` never moves back. Up to 4,096
@@ -25,6 +25,8 @@ added ones are replaced.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,11 +40,44 @@ EXACT = 4096
 ADDED = ["n_tokens", "bucket", "padded_tokens", "batch", "slot"]
 
 
-def token_count(text: Column) -> Column:
-    """Pre-tokens of a text: a run of letters, digits or non-ASCII characters,
-    or one other visible character."""
-    n = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+|[!-~]"))
-    return F.greatest(n, F.lit(1)).cast("long")
+_WORD = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
+_SIGN = np.array([33 <= c <= 126 and not chr(c).isalnum() for c in range(256)])
+SLICE_BYTES = 1 << 22
+
+
+def count_tokens(texts: pa.Array) -> np.ndarray:
+    """Pre-tokens of each text: runs of ASCII letters and digits or non-ASCII
+    characters, and single other visible characters; at least 1."""
+    out = []
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(size[lo:]), SLICE_BYTES, "right")))
+        raw = "".join(t or "" for t in texts.slice(lo, hi - lo).to_pylist()).encode()
+        data = np.frombuffer(raw, np.uint8)
+        ends = np.cumsum(size[lo:hi])
+        begins = ends - size[lo:hi]
+        word = _WORD[data]
+        first = word.copy()
+        first[1:] &= ~word[:-1]
+        edge = begins[begins < len(data)]
+        first[edge] = word[edge]
+        total = np.concatenate(([0], np.cumsum(first | _SIGN[data])))
+        out.append(total[ends] - total[begins])
+        lo = hi
+    return np.maximum(1, np.concatenate(out)) if out else np.zeros(0, np.int64)
+
+
+def token_lengths(documents: DataFrame) -> DataFrame:
+    """doc_id, key (digest of the text), n_tokens per row."""
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("key"), pa.array(count_tokens(b.column("text")), pa.int64())],
+                ["doc_id", "key", "n_tokens"])
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return documents.select("doc_id", text_key(F.col("text")).alias("key"), "text").mapInArrow(
+        run, f"doc_id {kind}, key binary, n_tokens long")
 
 
 def bin_of(length: Column) -> Column:
@@ -126,9 +161,11 @@ def pack(documents: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN
          length: Column | None = None) -> DataFrame:
     """One row per document row: doc_id, text_key (digest that tells apart rows
     with one id), n_tokens, bucket, padded_tokens, batch, slot."""
-    n = token_count(F.col("text")) if length is None else F.greatest(
-        F.coalesce(length.cast("long"), F.lit(1).cast("long")), F.lit(1).cast("long"))
-    one = documents.select("doc_id", text_key(F.col("text")).alias("key"), n.alias("n_tokens"))
+    if length is None:
+        one = token_lengths(documents)
+    else:
+        one = documents.select("doc_id", text_key(F.col("text")).alias("key"), F.greatest(
+            F.coalesce(length.cast("long"), F.lit(1).cast("long")), F.lit(1).cast("long")).alias("n_tokens"))
     lengths = written(one.withColumn("seq", F.monotonically_increasing_id()), "packing-lengths")
     bounds = boundaries_of(lengths, buckets)
     if not bounds:

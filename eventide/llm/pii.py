@@ -47,6 +47,7 @@ _FIND = re.compile(r"""
  |(?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.[0-9]))
  |(?P<card>(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|-[0-9]))
 """, re.X | re.A)
+_MAY = re.compile(r"[0-9@]")  # every kind holds one of these
 
 
 def _word(key: bytes, tweak: str, n: int, half: int) -> int:
@@ -259,14 +260,15 @@ def pseudonymize(documents: DataFrame, key: bytes, column: str = "text") -> Data
 
     def run(batches):
         rule = functools.lru_cache(100_000)(pseudonym)
+        none = dict.fromkeys(KINDS, 0)
         for b in batches:
             texts, counts = [], []
             for t in b.column(column).to_pylist():
                 if t is None:
                     texts.append(None)
-                    counts.append(dict.fromkeys(KINDS, 0))
+                    counts.append(none)
                     continue
-                new, found = replace(t, key, rule=rule)
+                new, found = replace(t, key, rule=rule) if _MAY.search(t) else (t, none)
                 texts.append(new)
                 counts.append(found)
             at = b.schema.get_field_index(column)

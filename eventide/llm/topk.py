@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def quantized(vector: Column) -> Column:
 
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
-    sizes = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = lists.flatten().to_numpy()
     out = np.zeros((len(sizes), int(sizes.max(initial=0))), np.int64)
     out[np.repeat(np.arange(len(sizes)), sizes),
