@@ -80,8 +80,8 @@ def op4_line_dedup(spark, sf):
 @query("op7_toxicity")
 def op7_toxicity(spark, sf):
     docs = read_table(spark, sf, "documents")
-    terms, weights = toxicity.train(docs, read_table(spark, sf, "labels"))
-    got = toxicity.score(docs, terms, weights)
+    _, weights, counts = toxicity.train(docs, read_table(spark, sf, "labels"))
+    got = toxicity.score(counts, weights)
     return got.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

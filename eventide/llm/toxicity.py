@@ -188,12 +188,19 @@ def _binned(counts) -> np.ndarray:
     return np.minimum(counts, TOP_BIN)
 
 
-def labelled_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the training rows."""
-    lab = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"))
-    return documents.select("doc_id", "text").join(
-        lab.where(~held_out(F.col("doc_id"))), "doc_id").select("doc_id", "text", "toxic")
+def training_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the documents that may be learned from."""
+    return labels.where("toxic is not null and doc_id is not null").where(
+        ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def sampled_rows(documents: DataFrame, training: DataFrame, sample_rows: int) -> DataFrame:
+    """(text, toxic) of at most ``sample_rows`` labelled ids, those with the
+    smallest hashes. The ids, bounded so, are broadcast: no text is shuffled
+    but the sample's own."""
+    ids = written(training.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows), "toxic-ids")
+    return written(documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+                   .repartition(max(8, sample_rows // 1000), "doc_id"), "toxic-sample")
 
 
 def _terms_of(words: set[str]) -> set[str]:
@@ -324,27 +331,27 @@ def fit_weights(cells: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
 
 
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
-    """(terms, weights) learned from the training rows."""
-    rows = written(labelled_rows(documents, labels), "toxic-train")
-    sample = written(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-                     .repartition(max(8, sample_rows // 1000), "doc_id"), "toxic-sample")
+    """(terms, weights, counts): lexicon, weights, and the match counts of
+    every document row, which the weights of all training rows come from."""
+    training = training_labels(labels)
+    sample = sampled_rows(documents, training, sample_rows)
     terms = trusted_misspellings(sample, learn_lexicon(sample))
-    cells = _counts(rows, terms, "toxic").groupBy("toxic", "c0", "c1", "c2", "c3").count().collect()
+    counts = written(_counts(documents, terms, "doc_id"), "toxic-counts")
+    cells = counts.join(training, "doc_id").groupBy("toxic", "c0", "c1", "c2", "c3").count().collect()
     weights = fit_weights([(np.array([r["c0"], r["c1"], r["c2"], r["c3"]], float),
                             int(r["toxic"] > 0), r["count"]) for r in cells])
-    return terms, weights
+    return terms, weights, counts
 
 
-def score(documents: DataFrame, terms, weights: np.ndarray) -> DataFrame:
-    """doc_id, score per document row."""
-    got = _counts(documents, terms, "doc_id")
+def score(counts: DataFrame, weights: np.ndarray) -> DataFrame:
+    """doc_id, score per row of match counts."""
     z = sum((F.lit(float(w)) * F.col(f"c{i}") for i, w in enumerate(weights[1:])), F.lit(float(weights[0])))
-    return got.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+    return counts.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows that score under ``threshold``, with all their columns."""
-    terms, weights = train(documents, labels)
+    terms, weights, _ = train(documents, labels)
     schema = documents.schema
 
     def run(batches):
