@@ -17,6 +17,8 @@ from eventide.schemas import LEDGER
 
 # Fixed value: default offset for a partition without a stored position.
 DEFAULT_START_OFFSET = 0
+# Most stored positions that are listed in a Kafka option.
+MAX_POSITIONS = 1_000_000
 HASH_FIELD_PATTERN = r"^(.*)-([0-9]+)\z"   # split <topic>-<partition> at the LAST '-'
 
 
@@ -123,10 +125,11 @@ def resume_scan(records: DataFrame, positions: DataFrame) -> DataFrame:
     ``positions`` is (topic, partition, until_offset) with at most one row per
     topic-partition; a partition without a row is read from offset 0, so an
     empty ledger is the first-run case (all records). The position table is
-    one row per topic-partition; :func:`bounded_broadcast` checks that before
-    hinting a broadcast, otherwise the join is left to AQE.
+    one row per topic-partition: as a stored table (:func:`eventide.session.stored`)
+    its size is known and the planner broadcasts it under its own threshold;
+    no job runs while the plan is built here.
     """
-    pos = bounded_broadcast(positions.select("topic", "partition", "until_offset"))
+    pos = positions.select("topic", "partition", "until_offset")
     return (records.join(pos, ["topic", "partition"], "left")
             .where(F.col("offset") >= F.coalesce("until_offset", F.lit(DEFAULT_START_OFFSET)))
             .drop("until_offset"))
@@ -165,21 +168,3 @@ def require_positions(partitions: DataFrame, positions: DataFrame) -> DataFrame:
     if missing:
         raise ValueError(f"auto.offset.reset=none: {missing} partition(s) have no stored position")
     return positions
-
-
-# Largest position table broadcast to every task: one row per topic-partition
-# is far below this for any real topic set.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows. Beyond the bound the plain
-    DataFrame is returned and the join is planned by size (AQE may still pick
-    a broadcast from runtime statistics, or a sort-merge join).
-    """
-    if df.isStreaming:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

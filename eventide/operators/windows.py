@@ -54,7 +54,9 @@ def sliding_mean(reads: DataFrame, length: int = WINDOW_SECONDS, slide: int = SL
     fanned = (buckets.select("day", "s", "c", "bucket",
                              F.explode(starts).alias("window_start"))
               .where(F.col("window_start") + _seconds(F.lit(length)) > F.col("bucket")))
-    return (fanned.groupBy("window_start", "day")
+    # hashed by the window alone: the aggregate per day and the one per window
+    # that may follow both keep this partitioning
+    return (fanned.repartition("window_start").groupBy("window_start", "day")
             .agg((F.sum("s") / F.sum("c")).alias("mean")))
 
 

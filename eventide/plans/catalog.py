@@ -2,7 +2,7 @@
 
 Each query takes ``(spark, sf_dir)`` and reads the given tables in full;
 derived inputs (the ledger, stored totals) are computed from the same tables.
-The oracle SQL restates the semantics directly over the raw tables for DuckDB,
+The oracle SQL restates the semantics directly over the raw columns for DuckDB,
 without going through the text payloads the Spark side parses.
 """
 
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from eventide.functions.text import text_to_compact, text_to_epoch_millis
 from eventide.operators import logs, offsets, tokens, values, windows
-from eventide.plans.replay import consumer_ledger, split_newest
+from eventide.plans.replay import consumer_ledger, with_newest
+from eventide.session import stored
 from eventide.sources.records import documents_envelope, events_envelope
 from eventide.sources.relations import param_query as _param_query
 from eventide.sources.relations import relation, scalar_query as _scalar_query
@@ -34,10 +35,9 @@ def query(name: str, sql: str | None):
     return deco
 
 
-# Shared oracle relations (DuckDB). r: record envelope over events; lines: the
-# log-line payload (FIXTURES.md), parsed by DuckDB's own string functions into
-# g; t: tokens of documents; l: ledger the consumers left behind; w: 120 s /
-# 24 s sliding means per day.
+# Shared oracle relations (DuckDB). r: record envelope over events; g: page views
+# straight from the events' columns; t: tokens of documents; l: ledger the
+# consumers left behind; w: 120 s / 24 s sliding means per day.
 ORACLE_PREFIX = """
 WITH r AS (
   SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
@@ -45,19 +45,8 @@ WITH r AS (
          strftime(ts, '%Y-%m-%d %H:%M:%S') AS "key",
          CAST(trunc(value) AS INTEGER) AS reading, event_id, user_id, event_type
   FROM events),
-lines AS (
-  SELECT batch_id, concat_ws('|~|', strftime(ts, '%Y-%m-%dT%H:%M:%S'), '0.0.0.0',
-           CASE WHEN event_id % 97 = 0 THEN '/bad'
-                ELSE concat('/e?uid=', user_id, '&sid=', event_type) END) AS line
-  FROM r),
-pieces AS (
-  SELECT batch_id, f, regexp_split_to_array(f[3], '[=|&]') AS u
-  FROM (SELECT batch_id, string_split(line, '|~|') AS f FROM lines)),
-parsed AS (
-  SELECT batch_id, replace(left(f[1], 13), 'T', '-') AS hour, u[2] AS user_id, u[4] AS site_id,
-         coalesce(length(f[1]) >= 13 AND len(f) >= 3 AND len(u) >= 4, false) AS ok
-  FROM pieces),
-g AS (SELECT batch_id, hour, user_id, site_id FROM parsed WHERE ok),
+g AS (SELECT batch_id, strftime(ts, '%Y-%m-%d-%H') AS hour, CAST(user_id AS VARCHAR) AS user_id,
+        event_type AS site_id FROM r),
 t AS (
   SELECT doc_id, doc_id // 4 // 50 AS batch_id,
          unnest(CASE WHEN text = '' THEN ['']
@@ -91,7 +80,8 @@ def _tokens(spark, sf, keep=("doc_id", "batch_id")):
 
 
 def _ledger(spark, sf):
-    return consumer_ledger(_events(spark, sf, "type"))
+    """The ledger, aggregated once and stored."""
+    return stored(consumer_ledger(_events(spark, sf, "type")), "ledger")
 
 
 def _reads(spark, sf):
@@ -115,7 +105,7 @@ def record_scan(spark, sf):
   WHERE r."offset" >= coalesce(x.until_offset, 0)""")
 def resume_scan(spark, sf):
     recs = _events(spark, sf, "type")
-    pos = offsets.ledger_for(consumer_ledger(recs), "m1", "g1")
+    pos = offsets.ledger_for(_ledger(spark, sf), "m1", "g1")
     return offsets.resume_scan(recs, pos).select("partition", "offset")
 
 
@@ -125,7 +115,7 @@ def resume_scan(spark, sf):
   WHERE r."offset" >= coalesce(x.until_offset, 0)""")
 def resume_scan_by_group(spark, sf):
     recs = _events(spark, sf, "type")
-    pos = offsets.ledger_for(consumer_ledger(recs), "m2", "g1", ["events"])
+    pos = offsets.ledger_for(_ledger(spark, sf), "m2", "g1", ["events"])
     return offsets.resume_scan(recs, pos).select("partition", "offset")
 
 
@@ -136,7 +126,7 @@ def resume_scan_by_group(spark, sf):
 def first_run_scan(spark, sf):
     # a group with no stored position: the ledger lookup is empty -> all records
     recs = _events(spark, sf, "type")
-    pos = offsets.ledger_for(consumer_ledger(recs), grp="never-committed")
+    pos = offsets.ledger_for(_ledger(spark, sf), grp="never-committed")
     return offsets.resume_scan(recs, pos).select("partition", "offset")
 
 
@@ -147,7 +137,7 @@ def first_run_scan(spark, sf):
 def start_latest_scan(spark, sf):
     # consumer started with auto.offset.reset=latest when the log held batches 0-1
     recs = _events(spark, sf, "type")
-    pos = offsets.start_positions(recs, "latest", log_end_batch=1)
+    pos = stored(offsets.start_positions(recs, "latest", log_end_batch=1), "log-ends")
     return offsets.resume_scan(recs, pos).select("partition", "offset")
 
 
@@ -163,7 +153,7 @@ def batch_plan(spark, sf):
 def ledger_load_flat(spark, sf):
     recs = _events(spark, sf, "type")
     parts = recs.select("topic", "partition").distinct()
-    return offsets.ledger_load_flat(parts, offsets.ledger_for(consumer_ledger(recs), "m1"))
+    return offsets.ledger_load_flat(parts, offsets.ledger_for(_ledger(spark, sf), "m1"))
 
 
 @query("ledger_load_hash", """SELECT topic, "partition", until_offset AS from_offset
@@ -202,7 +192,7 @@ def scalar_query(spark, sf):
 
 @query("value_projection", "SELECT text AS value FROM documents")
 def value_projection(spark, sf):
-    return values.value_projection(documents_envelope(spark, sf, spread_scan=False))
+    return values.value_projection(documents_envelope(spark, sf))
 
 
 @query("key_value_projection", 'SELECT "key", CAST(reading AS VARCHAR) AS value FROM r')
@@ -260,9 +250,9 @@ def metric_keys(spark, sf):
     return logs.metric_keys(_parsed(spark, sf))
 
 
-@query("malformed_lines", "SELECT ok AS parsed, count(*) AS n FROM parsed GROUP BY 1")
+@query("malformed_lines", "SELECT event_id % 97 <> 0 AS parsed, count(*) AS n FROM r GROUP BY 1")
 def malformed_lines(spark, sf):
-    return logs.malformed_lines(_events(spark, sf, "log", keep=()))
+    return logs.malformed_lines(_events(spark, sf, "log_with_bad", keep=()))
 
 
 @query("threshold_flag", "SELECT window_start, day, mean > 22 AS flag FROM w")
@@ -280,9 +270,10 @@ def point_lookup(spark, sf):
 @query("merge_running_total", "SELECT word, count(*) AS cnt FROM t GROUP BY 1")
 def merge_running_total(spark, sf):
     # stored totals of all earlier batches, upserted with the newest batch
-    before, newest = split_newest(documents_envelope(spark, sf))
-    state = tokens.running_total(tokens.tokenize(before))
-    delta = tokens.running_total(tokens.tokenize(newest))
+    recs = with_newest(documents_envelope(spark, sf))
+    counts = stored(tokens.tokenize(recs, keep=("newest",)).groupBy("word", "newest").agg(
+        F.count(F.lit(1)).alias("cnt")), "totals")  # the texts are read once
+    state, delta = counts.where("not newest"), counts.where("newest")
     return tokens.merge_totals(state, delta)
 
 
@@ -388,9 +379,11 @@ def top_words(spark, sf):
 @query("uv_members_merge", "SELECT DISTINCT substr(hour, 1, 10) AS day, user_id FROM g")
 def uv_members_merge(spark, sf):
     # stored day sets (all earlier batches) merged with the newest batch's members
-    before, newest = split_newest(_events(spark, sf, "log", keep=()))
-    stored = logs.uv_members(logs.parse_log(before))
-    return logs.merge_members(stored, logs.uv_members(logs.parse_log(newest)))
+    recs = with_newest(_events(spark, sf, "log", keep=()))
+    seen = stored(logs.with_day(logs.parse_log(recs, keep=("newest",))).select(
+        "day", "user_id", "newest").distinct(), "members")  # the lines are read once
+    side = (lambda cond: seen.where(cond).select("day", "user_id"))
+    return logs.merge_members(side("not newest"), side("newest"))
 
 
 # ------------------------------------------------------------ functions
@@ -420,7 +413,7 @@ def time_to_compact(spark, sf):
 def ledger_update(spark, sf):
     # m1/g1 resumes from its positions, consumes the rest of the log, commits
     recs = _events(spark, sf, "type", keep=())
-    mine = offsets.ledger_for(consumer_ledger(recs), "m1", "g1")
+    mine = offsets.ledger_for(_ledger(spark, sf), "m1", "g1")
     ranges = offsets.offset_ranges(offsets.resume_scan(recs, mine))
     return offsets.ledger_update(mine, ranges, "m1", "g1")
 

@@ -42,7 +42,6 @@ def newest_batch(records: DataFrame):
     return records.select(F.max("batch_id")).scalar()
 
 
-def split_newest(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(everything before the newest batch, the newest batch)."""
-    last = newest_batch(records)
-    return records.where(F.col("batch_id") < last), records.where(F.col("batch_id") == last)
+def with_newest(records: DataFrame) -> DataFrame:
+    """Adds ``newest``: whether a record is of the newest batch."""
+    return records.withColumn("newest", F.col("batch_id") == newest_batch(records))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE coalesces the many small post-aggregate
 # shuffle partitions and splits skewed ones at runtime; UTC keeps text/instant
@@ -37,14 +37,14 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int | Non
 
     ``master=None`` leaves the master to spark-submit (cluster runs) and
     also leaves ``spark.sql.shuffle.partitions`` to it (builder options would
-    override ``--conf``): size it to the widest shuffle's bytes / 128 MB; AQE
-    then coalesces small partitions. Local runs default to 8.
+    override ``--conf``; so does a cluster master): size it to the widest shuffle's bytes / 128 MB; AQE
+    then coalesces small partitions. Local masters default to 8.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
-    if shuffle_partitions is None and master:
+    if shuffle_partitions is None and master and is_local(master):
         shuffle_partitions = LOCAL_SHUFFLE_PARTITIONS
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -56,16 +56,23 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int | Non
     return spark
 
 
+def is_local(master: str) -> bool:
+    """One JVM, whose temporary folder every task shares."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and committed tables.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared filesystem folder and
-    is used as is. Only when it is unset (local tests) a fresh scratch folder
-    is created and recorded in the session.
+    ``spark.checkpoint.dir`` names it. Where that is unset, a local master gets
+    a fresh scratch folder; on a cluster it is an error, since executors and
+    driver share no local folder.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="eventide-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -75,3 +82,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back: it is
+    computed once however often it is used, and the planner knows its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -63,8 +63,8 @@ class CommitLog:
         path = os.path.join(self.root, name)
         try:
             return self.spark.read.parquet(path)
-        except AnalysisException:
-            if schema is None:
+        except AnalysisException as e:
+            if schema is None or e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
@@ -128,7 +128,8 @@ class CommitLog:
             os.path.join(self.root, LEDGER_TABLE, f"commit_id={c}"))
         if fail_before_marker:
             raise RuntimeError(f"simulated failure after staging commit {c}")
-        # the marker is one tiny file: it appears atomically at job commit
+        # the marker is one tiny file: it appears atomically at job commit; a
+        # second writer that took the same id fails here
         (self.spark.createDataFrame([(True,)], "committed boolean").coalesce(1)
-         .write.mode("overwrite").parquet(os.path.join(self.root, MARKERS, f"commit_id={c}")))
+         .write.mode("errorifexists").parquet(os.path.join(self.root, MARKERS, f"commit_id={c}")))
         return c

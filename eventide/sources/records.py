@@ -27,36 +27,13 @@ DEFAULT_PARTITIONS = 4
 EVENT_BATCH_CAP = 500        # 100 records/s/partition x 5 s batches
 DOCUMENT_BATCH_CAP = 50
 LOG_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-MALFORMED_EVERY = 97         # every 97th event becomes an unparseable log line
+MALFORMED_EVERY = 97         # of the log_with_bad payload: every 97th line is unparseable
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the cluster has cores.
-
-    A parquet split is at least one row group, so a small table written as a
-    single row group is read by one task and everything fused behind the scan
-    (tokenizing, parsing, partial aggregation) runs on one core. Below the
-    cluster's parallelism the scan is re-spread by hash of its id column
-    (deterministic on retry, unlike round-robin). The extra shuffle moves at
-    most (splits x maxPartitionBytes) bytes; large inputs have far more
-    splits than cores and are returned untouched.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave as is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def _envelope(topic: str, id_name: str, ts: Column, key: Column, value: Column,
               n_partitions: int, cap: int, extra: list[Column]) -> list[Column]:
     # integer division stays in bigint (no double round trip for large ids)
@@ -77,18 +54,20 @@ def event_payload(kind: str) -> Column:
     """Text payload of an event record.
 
     * ``reading``: integer text of the measurement (truncated toward zero)
-    * ``log``: ``<time>|~|<ip>|~|/e?uid=<user>&sid=<type>``; every 97th event
-      carries a malformed uri
+    * ``log``: ``<time>|~|<ip>|~|/e?uid=<user>&sid=<type>``
+    * ``log_with_bad``: the same, but every 97th line has a uri without
+      parameters (input of the malformed-line report only)
     * ``fields``: ``event_id||event_type||user_id``
     * ``type``: the event type alone
     * ``date``: the record key (date text)
     """
     if kind == "reading":
         return F.col("value").cast("int").cast("string")
-    if kind == "log":
-        uri = F.when(F.col("event_id") % MALFORMED_EVERY == 0, F.lit("/bad")).otherwise(
-            F.concat(F.lit("/e?uid="), F.col("user_id").cast("string"),
-                     F.lit("&sid="), F.col("event_type")))
+    if kind in ("log", "log_with_bad"):
+        uri = F.concat(F.lit("/e?uid="), F.col("user_id").cast("string"),
+                       F.lit("&sid="), F.col("event_type"))
+        if kind == "log_with_bad":
+            uri = F.when(F.col("event_id") % MALFORMED_EVERY == 0, F.lit("/bad")).otherwise(uri)
         return F.concat_ws("|~|", F.date_format("ts", LOG_TIME_FORMAT), F.lit("0.0.0.0"), uri)
     if kind == "fields":
         return F.concat_ws("||", F.col("event_id").cast("string"), F.col("event_type"),
@@ -120,19 +99,12 @@ def document_records(documents: DataFrame, topic: str = "documents",
         n_partitions, cap, [F.col(c) for c in keep]))
 
 
-def events_envelope(spark: SparkSession, sf_dir: str, payload: str = "reading",
-                    spread_scan: bool = False, **kw) -> DataFrame:
-    """Events as records. Pass ``spread_scan=True`` when heavy per-row work
-    (log parsing, text dates) follows; plain projections and counts keep the
-    scan as it is."""
-    ev = read_table(spark, sf_dir, "events")
-    return event_records(spread(ev, "event_id") if spread_scan else ev, payload, **kw)
+def events_envelope(spark: SparkSession, sf_dir: str, payload: str = "reading", **kw) -> DataFrame:
+    return event_records(read_table(spark, sf_dir, "events"), payload, **kw)
 
 
-def documents_envelope(spark: SparkSession, sf_dir: str, spread_scan: bool = True,
-                       **kw) -> DataFrame:
-    """Documents as records. Tokenizing whole texts is CPU heavy, so a
-    single-split scan is spread over the cores (``spread_scan``); plain
-    projections pass ``spread_scan=False``."""
-    docs = read_table(spark, sf_dir, "documents")
-    return document_records(spread(docs, "doc_id") if spread_scan else docs, **kw)
+def documents_envelope(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """Documents as records, one task per file split: a table of few row
+    groups is tokenized by few tasks, larger ones by their splits
+    (``spark.sql.files.maxPartitionBytes``). Nothing is shuffled first."""
+    return document_records(read_table(spark, sf_dir, "documents"), **kw)

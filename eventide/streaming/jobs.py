@@ -70,7 +70,10 @@ def _per_batch(records: DataFrame, clock: str, interval_s: int, lateness_batches
         r = batch_clock(records, interval_s, lateness_batches)
         return r, [F.col("batch_ts"), F.col("batch_id")], lambda df: df.drop("batch_ts")
     if clock == "time":
-        r = records.withWatermark("ts", f"{lateness_batches * interval_s} seconds")
+        # a record without a time fits no slice: fail rather than lose it
+        clocked = F.coalesce(F.col("ts"), F.raise_error(F.lit(
+            "the time clock needs a record time; use clock=offset")).cast(records.schema["ts"].dataType))
+        r = records.withColumn("ts", clocked).withWatermark("ts", f"{lateness_batches * interval_s} seconds")
         key = F.window("ts", f"{interval_s} seconds").alias("slice")
 
         def finish(df: DataFrame) -> DataFrame:
@@ -132,16 +135,19 @@ def _hour_time(parsed: DataFrame, lateness: str) -> DataFrame:
     """Event time from the parsed hour text (not the broker's timestamp),
     with a watermark. Grouping by a window over it keeps a group open until
     the watermark passes the window's end, then evicts it: state holds the
-    open hours / days only. A line whose hour text is not a valid time
-    cannot be placed in event time and is dropped."""
-    return (parsed.withColumn("hour_ts", F.try_to_timestamp("hour", F.lit("yyyy-MM-dd-HH")))
+    open hours / days only. A line whose hour text is not a valid time is
+    placed by its record time; its group key stays the text, as in the batch
+    form. A line with neither fails."""
+    own = F.coalesce(F.try_to_timestamp("hour", F.lit("yyyy-MM-dd-HH")), F.col("ts").cast("timestamp"),
+                     F.raise_error(F.lit("a line needs a valid hour or a record time")).cast("timestamp"))
+    return (parsed.withColumn("hour_ts", own)
             .withWatermark("hour_ts", lateness))
 
 
 def pv_counters(records: DataFrame, lateness: str = "1 hour") -> tuple[DataFrame, str]:
     """J5 counters: hourly and site-hourly PV, updated every trigger; a
     closed hour's counters leave the state store ``lateness`` after it ends."""
-    p = _hour_time(logs.parse_log(records), lateness).withColumn(
+    p = _hour_time(logs.parse_log(records, keep=("ts",)), lateness).withColumn(
         "w", F.window("hour_ts", "1 hour"))
     agg = (p.groupingSets([[F.col("w"), F.col("hour")],
                            [F.col("w"), F.col("hour"), F.col("site_id")]],
@@ -157,7 +163,7 @@ def uv_by_day(records: DataFrame, lateness: str = "1 hour") -> tuple[DataFrame,
     day. A day's state is dropped ``lateness`` after the day ends, so it
     stays bounded by the open days.
     """
-    p = _hour_time(logs.with_day(logs.parse_log(records)), lateness)
+    p = _hour_time(logs.with_day(logs.parse_log(records, keep=("ts",))), lateness)
     pairs = p.groupBy(F.window("hour_ts", "1 day").alias("w"), "day", "user_id").agg(
         F.count(F.lit(1)).alias("hits"))
     per_day = pairs.groupBy("w", "day").agg(F.count(F.lit(1)).alias("uv"))
@@ -223,13 +229,15 @@ def start(df: DataFrame, mode: str, sink: str, checkpoint: str | None = None,
 def progress_offsets(query) -> list[dict]:
     """Offset ranges of the query's recent micro-batches from its progress
     reports (``startOffset`` / ``endOffset`` per source): the live form of
-    the offset report. Small metadata only."""
+    the offset report, with the rows that came too late for the watermark
+    (``late_rows``, per batch). Small metadata only."""
     out = []
     for p in query.recentProgress:
+        late = sum(o.get("numRowsDroppedByWatermark", 0) for o in p.get("stateOperators", []))
         for s in p.get("sources", []):
             out.append({"batch_id": p["batchId"], "source": s.get("description"),
                         "start": s.get("startOffset"), "end": s.get("endOffset"),
-                        "rows": s.get("numInputRows")})
+                        "rows": s.get("numInputRows"), "late_rows": late})
     return out
 
 

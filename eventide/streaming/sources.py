@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.operators.offsets import MAX_BROADCAST_ROWS
+from eventide.operators.offsets import MAX_POSITIONS
 
 # Kafka's "earliest" marker in startingOffsets JSON.
 EARLIEST = -2
@@ -25,7 +25,7 @@ def max_offsets_per_trigger(rate_per_partition: int, n_partitions: int, interval
 
 
 def starting_offsets(positions: DataFrame, partitions: dict[str, int],
-                     default: int = EARLIEST, max_rows: int = MAX_BROADCAST_ROWS) -> str:
+                     default: int = EARLIEST, max_rows: int = MAX_POSITIONS) -> str:
     """``startingOffsets`` JSON from ledger rows (topic, partition, until_offset).
 
     Kafka needs every partition listed once specific offsets are given, so
@@ -105,12 +105,27 @@ def kafka_batch_options(options: dict[str, str], positions: DataFrame,
     return o
 
 
+def pinned_end(ends: DataFrame, starting: str) -> str:
+    """``endingOffsets`` JSON: the ends (topic, partition, until_offset) seen
+    once; a partition without new records ends where it starts."""
+    seen = {(r["topic"], int(r["partition"])): int(r["until_offset"]) for r in ends.collect()}
+    return json.dumps({t: {p: seen.get((t, int(p)), at) for p, at in ps.items()}
+                       for t, ps in json.loads(starting).items()})
+
+
 def kafka_batch_records(spark: SparkSession, options: dict[str, str], positions: DataFrame,
-                        partitions: dict[str, int], cap: int) -> DataFrame:
+                        partitions: dict[str, int], cap: int, load=None) -> DataFrame:
     """The pending records of a consumer as one bounded DataFrame: the input
-    of a catch-up commit (results and positions stored together)."""
+    of a catch-up commit (results and positions stored together).
+
+    ``latest`` is resolved anew by every action, so the ends are read once (one
+    row per topic-partition) and every later read gets them as fixed offsets:
+    records that arrive meanwhile belong to the next run."""
+    load = load or (lambda o: spark.read.format("kafka").options(**o).load())
     opts = kafka_batch_options(options, positions, partitions)
-    return _kafka_envelope(spark.read.format("kafka").options(**opts).load(), cap)
+    ends = load(opts).groupBy("topic", "partition").agg((F.max("offset") + 1).alias("until_offset"))
+    opts["endingOffsets"] = pinned_end(ends, opts["startingOffsets"])
+    return _kafka_envelope(load(opts), cap)
 
 
 def write_replay_log(records: DataFrame, path: str, slices: int,

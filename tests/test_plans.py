@@ -9,11 +9,11 @@ import pytest
 
 from conftest import SF01
 
-import __spark_entry__ as entry
+from eventide.plans import catalog
 
 
 def plan_of(spark, key):
-    df = entry.queries()[key](spark, SF01)
+    df = catalog.QUERIES[key](spark, SF01)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
@@ -22,7 +22,8 @@ def plan_of(spark, key):
 
 
 @pytest.mark.parametrize("key", ["record_scan", "batch_plan", "day_key", "cast_reading",
-                                 "split_three_fields", "time_to_compact", "parse_log"])
+                                 "split_three_fields", "time_to_compact", "parse_log", "tokenize",
+                                 "token_pairs"])
 def test_row_level_queries_do_not_shuffle(spark, key):
     tree, _ = plan_of(spark, key)
     assert "Exchange" not in tree
@@ -35,6 +36,12 @@ def test_position_joins_broadcast(spark, key):
     assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree
 
 
+@pytest.mark.parametrize("key", ["windowed_alert", "alert_rows", "sliding_mean"])
+def test_alert_plans_shuffle_twice(spark, key):
+    tree, _ = plan_of(spark, key)
+    assert tree.count("Exchange") == 2
+
+
 def test_metric_keys_scan_once(spark):
     tree, _ = plan_of(spark, "metric_keys")
     assert tree.count("Scan parquet") == 1 and "Expand" in tree
@@ -68,11 +75,10 @@ def test_scans_prune_columns_and_push_filters(spark):
     _, full = plan_of(spark, "param_query")
     assert re.search(r"PushedFilters: \[.*EqualTo\(user_id,42\).*EqualTo\(event_type,click\)", full)
     _, full = plan_of(spark, "word_count")
-    # text plus the id the single-split scan is spread by; no other column
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in full
+    assert "ReadSchema: struct<text:string>" in full
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(catalog.QUERIES))
 def test_no_python_and_no_cross_join_in_any_plan(spark, key):
     """Every registered query stays in the JVM (no Python UDF evaluation) and
     never pairs rows without a key (no cartesian or nested-loop join)."""

@@ -138,3 +138,28 @@ def test_cli_requires_partitions_for_kafka_catch_up():
     with pytest.raises(SystemExit):
         run.main(["j4", "--source", "kafka", "--bootstrap", "b:9092", "--topics", "t",
                   "--catch-up", "--name", "x"], spark=object())
+
+
+def test_catch_up_reads_a_growing_topic_to_one_end(spark):
+    """Records that arrive between two actions are beyond the pinned end."""
+    from eventide.streaming import sources
+    log = [("t", 0, o) for o in range(5)]
+
+    def load(options):
+        end = options["endingOffsets"]
+        upto = None if end == "latest" else json.loads(end)["t"]["0"]
+        df = spark.createDataFrame([r for r in log if upto is None or r[2] < upto],
+                                   "topic string, partition int, offset long")
+        for c in ("key", "value"):
+            df = df.withColumn(c, F.lit("x").cast("binary"))
+        log.append(("t", 0, len(log)))  # one more after every read
+        return df.withColumn("timestamp", F.current_timestamp())
+    none = spark.createDataFrame([], "topic string, partition int, until_offset long")
+    got = sources.kafka_batch_records(spark, {}, none, {"t": 2}, 500, load=load)
+    assert got.agg(F.max("offset")).first()[0] == 4 and got.count() == 5
+
+
+def test_cluster_masters_need_a_shared_folder():
+    from eventide.session import is_local
+    assert is_local("local[8]") and is_local("local") and not is_local("local-cluster[3,2,1000]")
+    assert not is_local("spark://host:7077")

@@ -174,7 +174,8 @@ def test_run_cli_replay_to_parquet(spark, reading_log, tmp_dir):
               "--out", out, "--name", "j9-test", "--checkpoint", os.path.join(tmp_dir, "ck"),
               "--available-now"], spark=spark)
     got = spark.read.parquet(out)
-    assert got.count() == 16  # 4 partitions x 4 closed batches
+    assert got.count() == 20  # 4 partitions x 5 batches
+    assert spark.read.parquet(out + "_partitions").count() == 5
     assert set(run.JOBS) >= {"j1", "j2", "j3", "j4", "j5-pv", "j5-uv", "j6", "j7", "j8", "j9"}
 
 
@@ -296,3 +297,52 @@ def test_alert_stream_general_window_shape(spark, reading_log, tmp_dir):
     out_ntz = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     assert out.count() > 20000  # 50 s windows sliding by 20 s: ~2.5 windows per event
     assert _same(out_ntz, batch.where(F.col("window_start") <= F.lit(last).cast("timestamp_ntz")))
+
+
+def test_bounded_run_of_a_per_batch_job_is_whole(spark, doc_log, tmp_dir):
+    """A bounded replay through the command line emits every batch and token."""
+    from eventide.plans import run
+    out = os.path.join(tmp_dir, "out")
+    run.main(["j1", "--source", "replay", "--replay", doc_log, "--sink", "parquet", "--out", out,
+              "--name", "j1", "--checkpoint", os.path.join(tmp_dir, "ck"), "--available-now"], spark=spark)
+    got = spark.read.parquet(out)
+    assert sorted(r[0] for r in got.select("batch_id").distinct().collect()) == [0, 1, 2, 3, 4]
+    assert got.agg(F.sum("n")).first()[0] == tokens.tokenize(documents_envelope(spark, SF01)).count()
+
+
+def test_bounded_run_keeps_unevenly_advancing_partitions(spark, tmp_dir):
+    from eventide.plans import run
+    recs = events_envelope(spark, SF01, "type", keep=())
+    skewed = recs.withColumn("offset", F.when(F.col("partition") == 0, F.col("offset") * 1000)
+                             .otherwise(F.col("offset"))).withColumn("batch_id", F.expr("`offset` div 500"))
+    path, out = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "out")
+    write_replay_log(skewed, path, 5)
+    run.main(["j7", "--source", "replay", "--replay", path, "--sink", "parquet", "--out", out,
+              "--name", "j7", "--checkpoint", os.path.join(tmp_dir, "ck"), "--available-now"], spark=spark)
+    assert spark.read.parquet(out).agg(F.sum("n")).first()[0] == skewed.count()
+
+
+def test_time_clock_without_record_times_fails(spark, doc_log, tmp_dir):
+    df, mode = jobs.word_count_per_batch(replay_records(spark, doc_log), clock="time")
+    with pytest.raises(Exception, match="needs a record time"):
+        _run_parquet(spark, df, mode, tmp_dir)
+
+
+def test_odd_hours_stay_in_the_stream(spark, tmp_dir):
+    rows = [("t", 0, i, 0, f"2024-01-01T{h}:00:00|~|0.0.0.0|~|/e?uid=u&sid=s") for i, h in
+            enumerate(["05", "9X", "25"])]
+    recs = spark.createDataFrame(rows, "topic string, partition int, offset long, batch_id long, value string") \
+        .withColumn("key", F.lit("k")).withColumn("ts", F.lit("2024-01-01 05:00:00").cast("timestamp"))
+    path = os.path.join(tmp_dir, "log")
+    recs.write.parquet(path)
+    df, mode = jobs.pv_counters(replay_records(spark, path))
+    got = _run_memory(spark, df, mode, tmp_dir)
+    assert _same(got, logs.pv_rollup(logs.parse_log(recs)))
+
+
+def test_progress_reports_late_rows(spark, reading_log, tmp_dir):
+    df, mode = jobs.offset_report(replay_records(spark, reading_log))
+    q = jobs.start(df, mode, "parquet", os.path.join(tmp_dir, "ck"), path=os.path.join(tmp_dir, "o"),
+                   trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    assert all(r["late_rows"] == 0 for r in jobs.progress_offsets(q))
