@@ -100,7 +100,7 @@ def day_key(c: Column | str) -> Column:
 
 
 def log_field_array(value: Column | str) -> Column:
-    """``line.split("\\|~\\|", -1)``: every field of a log line, empties kept.
+    """Every field of a log line, empty ones included.
 
     A log line is ``<time>|~|<any>|~|<uri>``. The record is hour = first 13
     characters of field 0 with every ``T`` replaced by ``-`` (see
@@ -113,17 +113,17 @@ def log_field_array(value: Column | str) -> Column:
 
 
 def uri_piece_array(uri: Column | str) -> Column:
-    """``uri.split("[=|&]", -1)``."""
+    """The pieces of a uri between its separators, empty ones included."""
     return F.split(_c(uri), URI_PIECE_SEPARATOR, -1)
 
 
 def log_hour(time_field: Column | str) -> Column:
-    """``time.substring(0, 13).replace("T", "-")``; null when too short."""
+    """The time up to the hour, date and hour joined by ``-``; null when too short."""
     return F.replace(guarded_prefix(time_field, HOUR_PREFIX_LEN), F.lit("T"), F.lit("-"))
 
 
 def three_fields(value: Column | str) -> list[Column]:
-    """``value.split("\\|\\|")`` then ``(x(0), x(1), x(2))``.
+    """The first three fields of a delimited value.
 
     Plain indexing: with ANSI mode on, a record with fewer than three fields
     raises ``INVALID_ARRAY_INDEX`` and fails the batch, as in the reference.

@@ -15,7 +15,7 @@ from eventide.functions.text import chunk_tokens, space_tokens, text_chunks
 
 def tokenize(records: DataFrame, value: str = "value",
              keep: tuple[str, ...] = (), chunk_chars: int | None = None) -> DataFrame:
-    """``flatMap(_.split(" "))``: one row per token, ``word`` column.
+    """One row per space-separated token, column ``word``.
 
     A row is split by one task. ``chunk_chars`` bounds that work for huge
     texts: each text is first cut at spaces into pieces of about that many
@@ -36,12 +36,12 @@ def tokenize(records: DataFrame, value: str = "value",
 
 
 def token_pairs(tokens: DataFrame) -> DataFrame:
-    """``map((_, 1))``: each token paired with the integer one."""
+    """Each token paired with the integer one."""
     return tokens.select("word", F.lit(1).cast("int").alias("one"))
 
 
 def word_count(tokens: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """``reduceByKey(_ + _)`` over (by..., word); count column ``n``."""
+    """Count ``n`` per (by..., word)."""
     return tokens.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -51,7 +51,7 @@ def word_count_per_batch(tokens: DataFrame) -> DataFrame:
 
 
 def sort_by_count(counts: DataFrame, count_col: str = "n") -> DataFrame:
-    """``sortBy(_._2, false)`` with a deterministic tie-break on the word.
+    """Most frequent first, ties by word.
 
     A global sort is a range-partitioned shuffle (sampled bounds), so it
     scales with the number of distinct words, not with one task.
@@ -60,7 +60,7 @@ def sort_by_count(counts: DataFrame, count_col: str = "n") -> DataFrame:
 
 
 def top_words(counts: DataFrame, k: int = 10, count_col: str = "n") -> DataFrame:
-    """``print()`` preview: the k most frequent words.
+    """Preview: the k most frequent words.
 
     ``orderBy().limit(k)`` plans as TakeOrderedAndProject: each task keeps a
     k-row heap, only k rows per task reach the final merge.

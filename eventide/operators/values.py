@@ -27,7 +27,7 @@ def split_three_fields(records: DataFrame, value: str = "value") -> DataFrame:
 
 
 def readings(records: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(key.substring(0, 10), value.toInt)``: (day, reading) per record.
+    """(day, reading) per record: the key's date and the value as an integer.
 
     strict=True fails on a non-integer reading or a key shorter than 10
     characters (as the reference does); strict=False drops such records.
@@ -51,17 +51,17 @@ def fixed_position_split(records: DataFrame, col: str = "value",
 
 
 def value_count_per_batch(records: DataFrame) -> DataFrame:
-    """``map((_, 1)).reduceByKey(_ + _)`` on whole values, per batch."""
+    """How often each whole value occurs in a batch."""
     return records.groupBy("batch_id", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def batch_size(records: DataFrame) -> DataFrame:
-    """``rdd.count()`` per micro-batch."""
+    """Records per micro-batch."""
     return records.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mean_by_day(reads: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """``groupByKey`` + ``sum * 1.0 / size``, as a partial-aggregating ``avg``.
+    """Mean reading per day, partially aggregated.
 
     ``avg`` keeps (sum, count) per task, so no group's values are ever
     gathered in one place; the 64-bit sum also avoids the reference's 32-bit
@@ -72,7 +72,7 @@ def mean_by_day(reads: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def flag_and_join(means: DataFrame, by: tuple[str, ...] = (),
                   threshold: float = ALERT_THRESHOLD) -> DataFrame:
-    """``reduce((a, b) => (a._1 + "=" + b._1, a._2 && b._2))`` over (day, mean > t).
+    """All days as one text, and whether every mean is above the threshold.
 
     Days are joined in sorted order (the reference's order depends on the
     reduce order). The list per group is bounded by the number of days in the
