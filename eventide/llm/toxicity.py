@@ -17,6 +17,9 @@ counts as quoted; others count as direct. Four counts (direct or quoted, exact
 or misspelled; binned) go through a logistic regression fitted on the bin
 counts of all training rows, with priors under which quotation weighs little.
 
+Texts do not move but for the sample's: match counts are made where a text is
+read, and only those small rows meet the labels.
+
 Defined results: null and empty texts score as texts without a match; labels
 that are null are ignored, of repeated labels the greater counts; without any
 toxic label the lexicon is empty and every score is the base rate. Every row
