@@ -83,6 +83,11 @@ def catch_up(spark, args) -> int | None:
         records = kafka_batch_records(spark, _kafka_opts(args), log.positions(), parts, args.cap)
     else:
         records = spark.read.parquet(args.replay)
+    if args.starting == "none":  # no default: every partition needs a stored position
+        known = spark.createDataFrame([(t, n) for t, k in parts.items() for n in range(k)],
+                                      "topic string, partition int") if args.source == "kafka" \
+            else records.select("topic", "partition").distinct()
+        offsets.require_positions(known, log.positions())
     if args.job == "j4":
         return pj.catch_up_word_totals(log, records)
     if args.job in ("j5-pv", "j5-uv"):
@@ -132,7 +137,9 @@ def main(argv=None, spark=None):
     p.add_argument("--source", choices=["kafka", "replay"], default="kafka")
     p.add_argument("--bootstrap")
     p.add_argument("--topics")
-    p.add_argument("--starting", default="earliest")
+    p.add_argument("--starting", default="earliest",
+                   help="Kafka start of a stream; with --catch-up: where partitions without a stored "
+                        "position start (earliest), or none to refuse them")
     p.add_argument("--rate", type=int, default=0, help="records/s/partition cap (0: none)")
     p.add_argument("--partitions", type=int,
                    help="partitions per topic (needed for --rate and a Kafka --catch-up)")
@@ -160,6 +167,12 @@ def main(argv=None, spark=None):
     args = p.parse_args(argv)
     if args.source == "kafka" and (args.rate or args.catch_up) and not args.partitions:
         p.error("--partitions is needed with --rate and with a Kafka --catch-up")
+    if args.catch_up and args.rate:
+        p.error("--rate caps a stream; a --catch-up reads everything pending")
+    if args.catch_up and args.starting not in ("earliest", "none"):
+        p.error("--catch-up starts from the stored positions: --starting earliest or none")
+    if not args.catch_up and args.starting == "none":
+        p.error("--starting none needs stored positions: use it with --catch-up")
     if spark is None:
         from eventide.session import build_session
         spark = build_session(master=None)  # the master comes from spark-submit

@@ -346,3 +346,16 @@ def test_progress_reports_late_rows(spark, reading_log, tmp_dir):
                    trigger=AVAILABLE_NOW)
     q.awaitTermination()
     assert all(r["late_rows"] == 0 for r in jobs.progress_offsets(q))
+
+
+def test_start_policy_none_and_ignored_options(spark, doc_log, tmp_dir):
+    from eventide.plans import run
+    base = ["j4", "--source", "replay", "--replay", doc_log, "--name", "wc",
+            "--checkpoint", os.path.join(tmp_dir, "log")]
+    with pytest.raises(ValueError, match="no stored position"):
+        run.main([*base, "--catch-up", "--starting", "none"], spark=spark)
+    assert run.main([*base, "--catch-up"], spark=spark) == 1
+    assert run.main([*base, "--catch-up", "--starting", "none"], spark=spark) is None
+    for extra in (["--catch-up", "--rate", "5"], ["--catch-up", "--starting", "latest"], ["--starting", "none"]):
+        with pytest.raises(SystemExit):
+            run.main([*base, *extra], spark=spark)
