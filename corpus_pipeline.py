@@ -27,9 +27,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_common_lines(docs)
+    # names of its own: documents may have columns of the operator's names
+    out = line_dedup.drop_common_lines(docs, counts=("_pl_lines", "_pl_dropped"))
     # texts that lost no line keep their row as it is
-    out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long"))
+    out = out.withColumn("n_chars", F.when(F.col("_pl_dropped") > 0, F.length("text").cast("long"))
                          .otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 

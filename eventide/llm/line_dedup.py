@@ -15,8 +15,9 @@ execution splits the partitions of hot lines.
 Defined results: a null or empty text is one empty line and is never dropped
 (its key is empty); every row is a document of its own, also if its id is null
 or repeated; a text whose lines all go becomes empty; an empty table stays
-empty. ``drop_common_lines`` keeps all columns and changes ``text`` only; its
-own column names start with ``_ld_``.
+empty. ``drop_common_lines`` keeps all columns and changes ``text`` only; the two
+counts it adds replace columns of their names unless other names are given, and
+its own column names start with ``_ld_``.
 """
 
 from __future__ import annotations
@@ -62,14 +63,16 @@ def common_positions(documents: DataFrame, min_documents: int = MIN_DOCUMENTS,
 
 
 def drop_common_lines(documents: DataFrame, min_documents: int = MIN_DOCUMENTS,
-                      min_chars: int = MIN_KEY_CHARS) -> DataFrame:
-    """``documents`` with the common lines gone from ``text``; adds ``n_lines``
-    (before dropping) and ``n_dropped``. A null text without dropped lines
-    stays null."""
+                      min_chars: int = MIN_KEY_CHARS, counts: tuple[str, str] = ("n_lines", "n_dropped"),
+                      ) -> DataFrame:
+    """``documents`` with the common lines gone from ``text``; adds the two
+    ``counts``, lines before dropping and lines dropped. A null text without
+    dropped lines stays null."""
+    lines, dropped = counts
     gone = common_positions(documents, min_documents, min_chars).select(
         F.col("doc_id").alias("_ld_id"), F.col("text_key").alias("_ld_key"),
         F.col("dropped").alias("_ld_gone"))
-    docs = documents.drop("n_lines", "n_dropped").withColumn("_ld_of", text_key(F.col("text")))
+    docs = documents.drop(*counts).withColumn("_ld_of", text_key(F.col("text")))
     both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_ld_id"])
                      & (docs["_ld_of"] == gone["_ld_key"]), "left")
     kept = bind(lines_of(F.col("text")), lambda ls: F.array_join(F.transform(
@@ -77,7 +80,7 @@ def drop_common_lines(documents: DataFrame, min_documents: int = MIN_DOCUMENTS,
         lambda i: F.get(ls, i)), "\n"))
     n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return both.withColumns({
-        "n_lines": F.coalesce(n_lines, F.lit(1)).cast("long"),
-        "n_dropped": F.coalesce(F.size("_ld_gone"), F.lit(0)).cast("long"),
+        lines: F.coalesce(n_lines, F.lit(1)).cast("long"),
+        dropped: F.coalesce(F.size("_ld_gone"), F.lit(0)).cast("long"),
         "text": F.when(F.col("_ld_gone").isNull(), F.col("text")).otherwise(kept),
     }).drop("_ld_of", "_ld_id", "_ld_key", "_ld_gone")

@@ -23,7 +23,9 @@ read, and only those small rows meet the labels.
 Defined results: null and empty texts score as texts without a match; labels
 that are null are ignored, of repeated labels the greater counts; without any
 toxic label the lexicon is empty and every score is the base rate. Every row
-gets a result, whatever its id.
+gets a result, whatever its id. The filter drops no text without a match, also
+where nearly all labels are toxic and the base rate alone is above the
+threshold.
 """
 
 from __future__ import annotations
@@ -353,7 +355,8 @@ def score(counts: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows that score under ``threshold``, with all their columns."""
+    """The rows that score under ``threshold`` or hold no match, with all their
+    columns."""
     terms, weights, _ = train(documents, labels)
     schema = documents.schema
 
@@ -363,5 +366,5 @@ def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5)
             got = _binned(np.array([match_counts(auto, t or "") for t in b.column("text").to_pylist()],
                                    np.int64).reshape(-1, 4))
             z = weights[0] + got @ weights[1:]
-            yield b.filter(pa.array(1 / (1 + np.exp(-z)) < threshold))
+            yield b.filter(pa.array((1 / (1 + np.exp(-z)) < threshold) | ~got.any(axis=1)))
     return documents.mapInArrow(run, schema)

@@ -419,3 +419,37 @@ def test_pipeline_stages_take_effect(spark):
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF001).count() == 0
+
+
+def test_stages_keep_columns_that_clash(spark):
+    """Nulls in every column, repeated rows, empty and long texts, and extra
+    columns named like the operators' own."""
+    import corpus_pipeline
+    rng = random.Random(11)
+    base = words(60, rng)
+    rows = [(1, base), (1, base), (1, None), (2, ""), (None, base), (None, None), (3, base), (4, base + " tail"),
+            (5, words(30_000, rng)), (6, "x" * 300_000), (7, "\n" * 5_000)]
+    rows += [(100 + i, f"a common line\nown line {i}") for i in range(12)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    extra = ["n_lines", "n_dropped", "toxic", "score", "copy", "keys", "rep", "comp", "n", "start", "words", "h", "k",
+             "seq", "key", "w", "kept", "n_shingles", "component_id", "items", "bands", "pos", "c0", "batch", "bucket"]
+    for name in extra:
+        docs = docs.withColumn(name, F.lit("own " + name))
+    left = {"toxicity": len(rows), "line_dedup": len(rows), "near_dedup": len(rows) - 3, "decontaminate": len(rows)}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF001)
+        assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in docs.schema], name
+        got = out.collect()
+        assert len(got) == left[name], name
+        assert all(r[c] == "own " + c for r in got for c in extra), name
+        if name == "line_dedup":
+            assert {r["text"] for r in got if (r["doc_id"] or 0) >= 100} == {f"own line {i}" for i in range(12)}
+            assert all(r["n_chars"] == len(r["text"]) for r in got if (r["doc_id"] or 0) >= 100)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF001).count() == len(rows)
+
+
+def test_toxic_labels_alone_drop_nothing(spark):
+    docs = docs_of(spark, [(2, "plain words here"), (3, None), (4, "")])
+    labels = spark.createDataFrame([(2, 1, 1), (None, 1, 1), (3, 0, None)], "doc_id long, quality int, toxic int")
+    assert toxicity.drop_toxic(docs, labels).count() == 3
