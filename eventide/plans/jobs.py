@@ -69,15 +69,13 @@ def j9_offset_report(records: DataFrame) -> dict[str, DataFrame]:
 # ------------------------------------------------------------ catch-up runs
 
 def catch_up(log: CommitLog, records: DataFrame,
-             builders: dict[str, Callable[[DataFrame], DataFrame]],
-             fail_before_marker: bool = False) -> int | None:
+             builders: dict[str, Callable[[DataFrame], DataFrame]]) -> int | None:
     """Run ``builders`` over every pending record and commit their outputs
     with the new positions. Per-batch outputs are additive across commits (a
     batch whose partitions arrive unevenly lands in two commits): readers sum
     them by key, e.g. :func:`committed_per_batch`."""
     pend = log.pending(records)
-    return log.commit(pend, {name: build(pend) for name, build in builders.items()},
-                      fail_before_marker=fail_before_marker)
+    return log.commit(pend, {name: build(pend) for name, build in builders.items()})
 
 
 def committed_per_batch(log: CommitLog, name: str, keys: list[str], value: str = "n") -> DataFrame:
@@ -85,8 +83,7 @@ def committed_per_batch(log: CommitLog, name: str, keys: list[str], value: str =
     return log.table(name).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def catch_up_word_totals(log: CommitLog, records: DataFrame,
-                         fail_before_marker: bool = False) -> int | None:
+def catch_up_word_totals(log: CommitLog, records: DataFrame) -> int | None:
     """J4 with replay safety: fold every pending record into the stored
     totals (full outer merge with the newest committed version) and commit
     the new version together with the positions."""
@@ -94,11 +91,10 @@ def catch_up_word_totals(log: CommitLog, records: DataFrame,
 
     def merged(pend: DataFrame) -> DataFrame:
         return tokens.merge_totals(state, tokens.running_total(tokens.tokenize(pend)))
-    return catch_up(log, records, {"totals": merged}, fail_before_marker)
+    return catch_up(log, records, {"totals": merged})
 
 
-def catch_up_pv_uv(log: CommitLog, records: DataFrame,
-                   fail_before_marker: bool = False) -> int | None:
+def catch_up_pv_uv(log: CommitLog, records: DataFrame) -> int | None:
     """J5 with replay safety: the PV increments and UV members of every
     pending record, committed with the positions (the reference's MULTI/EXEC).
 
@@ -106,8 +102,7 @@ def catch_up_pv_uv(log: CommitLog, records: DataFrame,
     both: (hour) and (hour, site_id) rows are PV increments, (day, user_id)
     rows are the day's members.
     """
-    return catch_up(log, records, {"pv_uv": lambda pend: logs.pv_uv_sets(logs.parse_log(pend))},
-                    fail_before_marker)
+    return catch_up(log, records, {"pv_uv": lambda pend: logs.pv_uv_sets(logs.parse_log(pend))})
 
 
 def committed_pv(log: CommitLog) -> DataFrame:

@@ -13,21 +13,30 @@ restart with the same name resumes where the last run committed.
 
 ``--catch-up`` instead reads everything after the committed positions once
 (a bounded Kafka read) and commits results and new positions together.
+
+    python -m eventide.plans.run j4 --source kafka --bootstrap host:9092 --topics test \
+        --partitions 4 --sink jdbc --table wordcount --connect my_db:connect --name word-totals
+
+``--sink jdbc`` (j3, j4) is such a bounded run into a database; its settings
+come from ``eventide.jdbc.*`` or ``EVENTIDE_JDBC_*``.
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import inspect
 
 from pyspark.sql import DataFrame
 
 from eventide.operators import offsets, tokens, values
+from eventide.plans import jdbc_jobs
 from eventide.plans import jobs as pj
 from eventide.sinks.commit_log import CommitLog
+from eventide.sources.relations import jdbc_options
 from eventide.streaming import jobs as sj
 from eventide.streaming.sources import (kafka_batch_records, kafka_options, kafka_records,
-                                        max_offsets_per_trigger, replay_records)
+                                        max_offsets_per_trigger, replay_records, starting_offsets)
 
 # Fixed value: the reference's per-partition rate cap, records per batch.
 DEFAULT_CAP = 500
@@ -66,8 +75,14 @@ CATCH_UP = {
 }
 
 
-def _kafka_opts(args) -> dict[str, str]:
-    return kafka_options(args.bootstrap, topics=args.topics.split(","), starting=args.starting,
+def _topic_partitions(args) -> dict[str, int]:
+    return {t: args.partitions for t in args.topics.split(",")}
+
+
+def _kafka_opts(args, starting: str | None = None) -> dict[str, str]:
+    assign = {t: list(range(n)) for t, n in _topic_partitions(args).items()} if args.assign else None
+    return kafka_options(args.bootstrap, topics=None if assign else args.topics.split(","), assign=assign,
+                         starting=starting or args.starting,
                          max_offsets=max_offsets_per_trigger(args.rate, args.partitions,
                                                              args.trigger_seconds)
                          if args.rate else None,
@@ -79,7 +94,7 @@ def catch_up(spark, args) -> int | None:
     results together with the new positions (exactly once per record)."""
     log = CommitLog(spark, root=args.checkpoint, job=args.name, module=args.module, grp=args.group)
     if args.source == "kafka":
-        parts = {t: args.partitions for t in args.topics.split(",")}
+        parts = _topic_partitions(args)
         records = kafka_batch_records(spark, _kafka_opts(args), log.positions(), parts, args.cap)
     else:
         records = spark.read.parquet(args.replay)
@@ -97,9 +112,32 @@ def catch_up(spark, args) -> int | None:
     return pj.catch_up(log, records, CATCH_UP[args.job])
 
 
+def jdbc_run(spark, args) -> bool:
+    """One bounded run of j3 or j4 into the database that the session's JDBC
+    settings name."""
+    module, _, name = args.connect.partition(":")
+    connect = getattr(importlib.import_module(module), name or "connect")
+    run = jdbc_jobs.Run(spark, jdbc_options(spark), args.name, args.module, args.group)
+    if args.source == "kafka":
+        records = kafka_batch_records(spark, _kafka_opts(args), run.positions, _topic_partitions(args), args.cap)
+    else:
+        records = spark.read.parquet(args.replay)
+    write = {"j3": jdbc_jobs.write_alerts, "j4": jdbc_jobs.write_totals}[args.job]
+    return write(run, records, connect, args.table, args.dialect)
+
+
+def stream_start(spark, args) -> str | None:
+    """``startingOffsets`` of a stream that goes on from the positions of the
+    commit log of its name (``--starting committed``)."""
+    if args.starting != "committed":
+        return None
+    log = CommitLog(spark, job=args.name, module=args.module, grp=args.group)
+    return starting_offsets(log.positions(), _topic_partitions(args))
+
+
 def build(spark, args) -> tuple[DataFrame, str]:
     if args.source == "kafka":
-        records = kafka_records(spark, _kafka_opts(args), args.cap)
+        records = kafka_records(spark, _kafka_opts(args, stream_start(spark, args)), args.cap)
     else:
         records = replay_records(spark, args.replay, args.max_files_per_trigger)
     job = JOBS[args.job]
@@ -138,8 +176,11 @@ def main(argv=None, spark=None):
     p.add_argument("--bootstrap")
     p.add_argument("--topics")
     p.add_argument("--starting", default="earliest",
-                   help="Kafka start of a stream; with --catch-up: where partitions without a stored "
-                        "position start (earliest), or none to refuse them")
+                   help="Kafka start of a new stream: earliest, latest, offsets as JSON, or committed (the "
+                        "positions of --name's catch-up runs); with --catch-up: where partitions without "
+                        "a stored position start (earliest), or none to refuse them")
+    p.add_argument("--assign", action="store_true",
+                   help="read partitions 0 to --partitions - 1 of each topic instead of subscribing")
     p.add_argument("--rate", type=int, default=0, help="records/s/partition cap (0: none)")
     p.add_argument("--partitions", type=int,
                    help="partitions per topic (needed for --rate and a Kafka --catch-up)")
@@ -153,7 +194,10 @@ def main(argv=None, spark=None):
                    help="batches a per-batch result waits for late records (default 1)")
     p.add_argument("--replay")
     p.add_argument("--max-files-per-trigger", type=int, default=1)
-    p.add_argument("--sink", choices=["console", "parquet", "memory"], default="console")
+    p.add_argument("--sink", choices=["console", "parquet", "memory", "jdbc"], default="console")
+    p.add_argument("--table", help="target table of --sink jdbc")
+    p.add_argument("--connect", help="module:function that opens a DB-API connection, for --sink jdbc")
+    p.add_argument("--dialect", choices=["ansi", "mysql"], default="ansi")
     p.add_argument("--out")
     p.add_argument("--name", required=True)
     p.add_argument("--checkpoint")
@@ -165,8 +209,17 @@ def main(argv=None, spark=None):
     p.add_argument("--module", default="default")
     p.add_argument("--group", default="default")
     args = p.parse_args(argv)
-    if args.source == "kafka" and (args.rate or args.catch_up) and not args.partitions:
-        p.error("--partitions is needed with --rate and with a Kafka --catch-up")
+    bounded = args.catch_up or args.sink == "jdbc"
+    if args.source == "kafka" and not args.partitions and (
+            args.rate or bounded or args.assign or args.starting == "committed"):
+        p.error("--partitions is needed with --rate, --assign, --starting committed and a bounded Kafka run")
+    if args.source == "replay" and (args.assign or args.starting == "committed"):
+        p.error("--assign and --starting committed are for Kafka")
+    if args.sink == "jdbc":
+        if args.job not in ("j3", "j4") or not (args.table and args.connect):
+            p.error("--sink jdbc is for j3 and j4 and needs --table and --connect")
+        if args.catch_up or args.available_now or args.rate or args.starting != "earliest":
+            p.error("--sink jdbc is one bounded run from the positions in the database")
     if args.catch_up and args.rate:
         p.error("--rate caps a stream; a --catch-up reads everything pending")
     if args.catch_up and args.starting not in ("earliest", "none"):
@@ -176,6 +229,8 @@ def main(argv=None, spark=None):
     if spark is None:
         from eventide.session import build_session
         spark = build_session(master=None)  # the master comes from spark-submit
+    if args.sink == "jdbc":
+        return jdbc_run(spark, args)
     if args.catch_up:
         return catch_up(spark, args)
     if args.available_now and args.source == "replay" and args.sink == "parquet" and args.job in PER_BATCH:

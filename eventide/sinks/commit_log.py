@@ -105,12 +105,10 @@ class CommitLog:
         """Records at or beyond their partition's committed position."""
         return resume_scan(records, self.positions())
 
-    def commit(self, pending: DataFrame, results: dict[str, DataFrame],
-               fail_before_marker: bool = False) -> int | None:
+    def commit(self, pending: DataFrame, results: dict[str, DataFrame]) -> int | None:
         """Commit ``results`` (computed from ``pending``) together with the
         positions after ``pending``. Returns the commit id, or None when
-        nothing was pending. ``fail_before_marker`` simulates a crash after
-        staging (tests).
+        nothing was pending.
 
         ``pending`` must be a stable snapshot (a file source fixes its file
         list when the DataFrame is created; stage other sources first), so
@@ -126,10 +124,11 @@ class CommitLog:
         ledger = ledger_update(self.positions(), ranges, self.module, self.grp)
         ledger.write.mode("overwrite").parquet(
             os.path.join(self.root, LEDGER_TABLE, f"commit_id={c}"))
-        if fail_before_marker:
-            raise RuntimeError(f"simulated failure after staging commit {c}")
-        # the marker is one tiny file: it appears atomically at job commit; a
-        # second writer that took the same id fails here
+        self._mark(c)
+        return c
+
+    def _mark(self, c: int) -> None:
+        """The marker is one tiny file: it appears atomically at job commit; a
+        second writer that took the same id fails here."""
         (self.spark.createDataFrame([(True,)], "committed boolean").coalesce(1)
          .write.mode("errorifexists").parquet(os.path.join(self.root, MARKERS, f"commit_id={c}")))
-        return c

@@ -1,4 +1,4 @@
-"""JDBC sinks: batched append, staged merge, one-transaction commit.
+"""JDBC sinks: staged insert and merge, one-transaction commit.
 
 The reference opens a connection per partition and issues one SELECT plus
 one UPDATE/INSERT per token, without a transaction, so two partitions holding
@@ -9,7 +9,7 @@ the same word lose updates. Here:
   connection per partition, ``numPartitions`` caps concurrent connections);
 * one MERGE (or the dialect's upsert) folds the staging table into the
   target inside a single transaction, together with the ledger upsert and a
-  ``batch_id`` guard, so a replayed batch has no second effect.
+  guard row, so a replayed run has no second effect.
 
 Statements are executed through a DB-API connection supplied by the caller
 (the database's own Python driver); no credentials live in this repository.
@@ -25,24 +25,6 @@ from pyspark.sql import DataFrame
 DEFAULT_STRING_TYPE = "VARCHAR(512)"
 
 
-def append(df: DataFrame, options: dict[str, str], table: str,
-           column_types: str | None = None, batch_size: int = 1000,
-           num_partitions: int | None = None, isolation: str = "READ_COMMITTED") -> None:
-    """``INSERT`` every row: ``df.write.jdbc`` in append mode.
-
-    ``column_types`` (e.g. ``"word VARCHAR(512)"``) is used when Spark creates
-    the table. ``num_partitions`` bounds concurrent connections (Spark
-    coalesces before writing).
-    """
-    w = (df.write.format("jdbc").options(**options).option("dbtable", table)
-         .option("batchsize", batch_size).option("isolationLevel", isolation).mode("append"))
-    if column_types:
-        w = w.option("createTableColumnTypes", column_types)
-    if num_partitions:
-        w = w.option("numPartitions", num_partitions)
-    w.save()
-
-
 def stage(df: DataFrame, options: dict[str, str], staging: str,
           column_types: str | None = None, **kw) -> None:
     """Replace the staging table's rows (truncate keeps its definition)."""
@@ -82,31 +64,37 @@ def merge_sql(target: str, staging: str, keys: Sequence[str], add: Sequence[str]
             f"VALUES ({', '.join('s.' + c for c in cols)})")
 
 
-def guarded_batch_sql(applied_table: str, batch_id: int) -> tuple[str, str]:
-    """(check, record) statements of the replay guard: a batch id recorded in
-    ``applied_table`` has been applied and must be skipped."""
-    return (f"SELECT COUNT(*) FROM {applied_table} WHERE batch_id = {int(batch_id)}",
-            f"INSERT INTO {applied_table} (batch_id) VALUES ({int(batch_id)})")
+def insert_sql(target: str, staging: str, columns: Sequence[str]) -> str:
+    """Append every staged row to ``target``."""
+    cols = ", ".join(columns)
+    return f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {staging}"
+
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
-def commit_batch(connect: Callable[[], object], batch_id: int, statements: Sequence[str],
-                 applied_table: str = "applied_batches") -> bool:
-    """Run ``statements`` (merges, ledger upsert) in one transaction unless
-    ``batch_id`` was applied already. Returns True when applied now.
 
+def commit_run(connect: Callable[[], object], guard: str, job: str, run_id: int,
+               statements: Sequence[str]) -> bool:
+    """Run ``statements`` in one transaction unless (job, run_id) stands in the
+    ``guard`` table, whose primary key is (job, run_id). Returns True when
+    applied now.
+
+    The guard row is inserted first: of two runs with one number, the second
+    waits for the first's transaction, then fails on the key and rolls back.
     ``connect`` returns a DB-API 2.0 connection with autocommit off.
     """
-    check, record = guarded_batch_sql(applied_table, batch_id)
+    key = f"job = {_literal(job)} AND run_id = {int(run_id)}"
     conn = connect()
     try:
         cur = conn.cursor()
-        cur.execute(check)
+        cur.execute(f"SELECT COUNT(*) FROM {guard} WHERE {key}")
         if cur.fetchone()[0]:
             conn.rollback()
             return False
+        cur.execute(f"INSERT INTO {guard} (job, run_id) VALUES ({_literal(job)}, {int(run_id)})")
         for s in statements:
             cur.execute(s)
-        cur.execute(record)
         conn.commit()
         return True
     except Exception:
@@ -116,13 +104,13 @@ def commit_batch(connect: Callable[[], object], batch_id: int, statements: Seque
         conn.close()
 
 
-def staged_merge(df: DataFrame, options: dict[str, str], target: str, staging: str,
-                 keys: Sequence[str], add: Sequence[str], connect: Callable[[], object],
-                 batch_id: int, column_types: str | None = None,
-                 extra_statements: Sequence[str] = (), dialect: str = "ansi") -> bool:
-    """Upsert-accumulate ``df`` (one row per key) into ``target``: stage with
-    Spark's JDBC writer, then merge (plus ``extra_statements``, e.g. the
-    ledger upsert) in one guarded transaction."""
-    stage(df, options, staging, column_types)
-    stmts = [merge_sql(target, staging, keys, add=add, dialect=dialect), *extra_statements]
-    return commit_batch(connect, batch_id, stmts)
+def drop_tables(connect: Callable[[], object], tables: Sequence[str]) -> None:
+    """Drop a run's staging tables, in a transaction of their own."""
+    conn = connect()
+    try:
+        cur = conn.cursor()
+        for t in tables:
+            cur.execute(f"DROP TABLE {t}")
+        conn.commit()
+    finally:
+        conn.close()

@@ -4,14 +4,16 @@ No database is started: the commit log lives in the test's scratch
 checkpoint folder; JDBC statements are checked as text.
 """
 
+import argparse
+import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
-from eventide.operators import logs, tokens
-from eventide.plans import jobs
+from eventide.operators import logs, tokens, values, windows
+from eventide.plans import jdbc_jobs, jobs
 from eventide.schemas import WORD_TOTAL
 from eventide.sinks import jdbc
 from eventide.sinks.commit_log import CommitLog
@@ -64,13 +66,16 @@ def test_same_records_applied_twice_have_one_effect(spark, tmp_dir):
     assert _totals(log) == before
 
 
-def test_failure_after_staging_changes_nothing_and_retry_succeeds(spark, tmp_dir):
+def test_failure_after_staging_changes_nothing_and_retry_succeeds(spark, tmp_dir, monkeypatch):
     log = _log(spark, tmp_dir)
     docs = _docs(spark)
     jobs.catch_up_word_totals(log, docs.where("batch_id = 0"))
     before, pos_before = _totals(log), sorted(tuple(r) for r in log.positions().collect())
-    with pytest.raises(RuntimeError):
-        jobs.catch_up_word_totals(log, docs, fail_before_marker=True)
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        def crash(self, c):
+            raise RuntimeError("executor lost")
+        m.setattr(CommitLog, "_mark", crash)
+        jobs.catch_up_word_totals(log, docs)
     assert _totals(log) == before
     assert sorted(tuple(r) for r in log.positions().collect()) == pos_before
     assert jobs.catch_up_word_totals(log, docs) == 2  # the retry reuses the commit id
@@ -104,47 +109,52 @@ def test_merge_sql_dialects():
         jdbc.merge_sql("a", "b", ["k"], dialect="other")
 
 
-class _FakeCursor:
-    def __init__(self, db):
-        self.db, self.last = db, None
+class _Database:
+    """Records statements; stands in for a DB-API driver. Knows the guard
+    rows, which it keeps at commit."""
 
-    def execute(self, sql):
-        self.db.log.append(sql)
-        self.last = sql
+    def __init__(self):
+        self.log, self.guard, self.new, self.ended = [], set(), set(), []
 
-    def fetchone(self):
-        bid = int(self.last.rsplit("=", 1)[1])
-        return (1 if bid in self.db.applied else 0,)
+    def connect(self):
+        self.new = set()
+        return self
 
+    cursor = connect
 
-class _FakeConn:
-    """Records statements; stands in for a DB-API connection."""
-    def __init__(self, db):
-        self.db = db
+    def execute(self, sql):
+        self.log.append(sql)
+        if sql.startswith("SELECT COUNT(*) FROM applied_runs WHERE "):
+            self.found = sql.split("WHERE ")[1] in self.guard
+        elif sql.startswith("INSERT INTO applied_runs"):
+            job, run = sql.split("VALUES (")[1].rstrip(")").rsplit(", ", 1)
+            self.new.add(f"job = {job} AND run_id = {run}")
+        elif "boom" in sql:
+            raise RuntimeError(sql)
 
-    def cursor(self):
-        return _FakeCursor(self.db)
+    def fetchone(self):
+        return (int(self.found),)
 
     def commit(self):
-        for s in self.db.log:
-            if s.startswith("INSERT INTO applied_batches"):
-                self.db.applied.add(int(s.split("VALUES (")[1].rstrip(")")))
-        self.db.commits += 1
+        self.guard |= self.new
+        self.ended.append("commit")
 
     def rollback(self):
-        self.db.rollbacks += 1
+        self.ended.append("rollback")
 
     def close(self):
         pass
 
 
-def test_commit_batch_guard_skips_replayed_batch():
-    class DB:
-        log, applied, commits, rollbacks = [], set(), 0, 0
-    db = DB()
-    assert jdbc.commit_batch(lambda: _FakeConn(db), 7, ["MERGE ..."]) is True
-    assert jdbc.commit_batch(lambda: _FakeConn(db), 7, ["MERGE ..."]) is False
-    assert db.commits == 1 and db.rollbacks == 1
+def test_commit_run_applies_a_run_once_and_guards_first():
+    db = _Database()
+    assert jdbc.commit_run(db.connect, "applied_runs", "it's", 7, ["MERGE ..."]) is True
+    assert db.log[1:] == ["INSERT INTO applied_runs (job, run_id) VALUES ('it''s', 7)", "MERGE ..."]
+    assert jdbc.commit_run(db.connect, "applied_runs", "it's", 7, ["MERGE ..."]) is False
+    with pytest.raises(RuntimeError):
+        jdbc.commit_run(db.connect, "applied_runs", "it's", 8, ["boom"])
+    assert db.ended == ["commit", "rollback", "rollback"]
+    assert len(db.guard) == 1
 
 
 def test_generic_catch_up_per_batch_counts(spark, tmp_dir):
@@ -163,17 +173,85 @@ def test_generic_catch_up_per_batch_counts(spark, tmp_dir):
     assert expect.select(got.columns).exceptAll(got).count() == 0
 
 
-def test_staged_merge_stages_then_merges_in_one_guarded_commit(monkeypatch):
+@pytest.fixture()
+def database(spark, monkeypatch):
+    """Relations as DataFrames, staged tables kept: no database is started."""
+    db = _Database()
+    db.staged, db.runs, db.positions = {}, [], []
+
+    def table(session, options, table=None, **kw):
+        if table == jdbc_jobs.GUARD:
+            return spark.createDataFrame(db.runs, "job string, run_id long")
+        return spark.createDataFrame(db.positions, "module string, grp string, topic string, partition_id int, "
+                                                   "until_offset long")
+    monkeypatch.setattr(jdbc_jobs.relations, "jdbc_table", table)
+    monkeypatch.setattr(jdbc, "stage", lambda df, options, staging, column_types=None, **kw:
+                        db.staged.update({staging: [tuple(r) for r in df.collect()]}))
+    return db
+
+
+def _apply(db, run):
+    """What the database would hold after the run's statements."""
+    db.runs.append((run.job, run.run_id))
+    db.positions[:] = db.staged[run.staging(jdbc_jobs.LEDGER)]
+
+
+def test_totals_into_a_database_in_two_runs(spark, database):
+    docs = _docs(spark)
+    total = {}
+    for run_id, part in ((1, docs.where("batch_id <= 1")), (2, docs)):
+        run = jdbc_jobs.Run(spark, {"url": "u"}, "totals", "m", "g")
+        assert run.run_id == run_id
+        database.log.clear()
+        assert jdbc_jobs.write_totals(run, part, database.connect) is True
+        at, ledger = run.staging("wordcount"), run.staging(jdbc_jobs.LEDGER)
+        assert database.log[1].startswith("INSERT INTO applied_runs")
+        assert database.log[2].startswith(f"MERGE INTO wordcount t USING {at} s ON t.word = s.word")
+        assert database.log[3].startswith(f"MERGE INTO consumer_ledger t USING {ledger} s")
+        assert database.log[4:] == [f"DROP TABLE {at}", f"DROP TABLE {ledger}"]
+        for word, n in database.staged[at]:
+            total[word] = total.get(word, 0) + n
+        _apply(database, run)
+    assert total == _expected_totals(docs)
+    assert jdbc_jobs.write_totals(jdbc_jobs.Run(spark, {}, "totals", "m", "g"), docs, database.connect) is False
+
+
+def test_alerts_into_a_database_write_each_closed_window_once(spark, database):
+    recs = events_envelope(spark, SF01, "reading", keep=()).withColumn("ts", F.col("ts").cast("timestamp"))
+    cut = recs.agg(F.timestamp_seconds(F.expr("percentile(unix_seconds(ts), 0.5)"))).first()[0]
+    rows = []
+    for part in (recs.where(F.col("ts") < F.lit(cut)), recs):
+        run = jdbc_jobs.Run(spark, {}, "alerts", "m", "g")
+        assert jdbc_jobs.write_alerts(run, part, database.connect) is True
+        assert database.log[2].startswith("INSERT INTO alerts (data, result) SELECT data, result FROM alerts_")
+        database.log.clear()
+        rows += database.staged[run.staging("alerts")]
+        _apply(database, run)
+    assert jdbc_jobs.write_alerts(jdbc_jobs.Run(spark, {}, "alerts", "m", "g"), recs, database.connect) is False
+    newest = recs.agg(F.unix_seconds(F.max("ts"))).first()[0]
+    closed = windows.sliding_mean(values.readings(recs)).where(
+        F.unix_seconds("window_start") + windows.WINDOW_SECONDS <= newest)
+    assert sorted(rows) == sorted(tuple(r) for r in windows.alert_rows(closed).collect())
+
+
+def test_run_options_of_bounded_and_seeded_reads(spark, tmp_dir, monkeypatch):
+    from eventide.plans import run as cli
     seen = {}
-    monkeypatch.setattr(jdbc, "stage", lambda df, options, staging, column_types=None:
-                        seen.update(staged=(df, staging, column_types)))
-    monkeypatch.setattr(jdbc, "commit_batch", lambda connect, batch_id, stmts:
-                        seen.update(commit=(batch_id, list(stmts))) or True)
-    ok = jdbc.staged_merge("DF", {"url": "u"}, "wordcount", "wordcount_stage", ["word"], ["cnt"],
-                           connect=None, batch_id=3, column_types="word VARCHAR(512)",
-                           extra_statements=["UPDATE ledger SET until_offset = 9"])
-    assert ok is True
-    assert seen["staged"] == ("DF", "wordcount_stage", "word VARCHAR(512)")
-    batch_id, stmts = seen["commit"]
-    assert batch_id == 3 and stmts[0].startswith("MERGE INTO wordcount t USING wordcount_stage s")
-    assert stmts[1] == "UPDATE ledger SET until_offset = 9"
+    monkeypatch.setattr(cli, "kafka_records", lambda s, o, cap: seen.update(o) or _docs(spark))
+    monkeypatch.setattr(cli, "JOBS", {"j4": lambda r: (r, "append")})
+    monkeypatch.setattr(cli.sj, "observed", lambda r, n: r)
+    log = CommitLog(spark, job="seeded", module="default", grp="default")
+    jobs.catch_up_word_totals(log, _docs(spark).where("partition < 2 and batch_id = 0"))
+    topic = log.positions().first()["topic"]
+    args = argparse.Namespace(job="j4", source="kafka", bootstrap="h:1", topics=topic, partitions=3, assign=True,
+                              starting="committed", rate=0, trigger_seconds=6, max_poll_records=None, cap=50,
+                              name="seeded", module="default", group="default")
+    cli.build(spark, args)
+    assert json.loads(seen["assign"]) == {topic: [0, 1, 2]} and "subscribe" not in seen
+    assert json.loads(seen["startingOffsets"]) == {topic: {"0": 50, "1": 50, "2": -2}}
+    for bad in (["j1", "--sink", "jdbc", "--table", "t", "--connect", "m:c", "--source", "replay"],
+                ["j4", "--sink", "jdbc", "--source", "replay"],
+                ["j4", "--assign", "--source", "replay"],
+                ["j4", "--starting", "committed"]):
+        with pytest.raises(SystemExit):
+            cli.main([*bad, "--name", "x"], spark=spark)
