@@ -9,8 +9,9 @@ Matching: the lexicon is a trie; its intersection with the Levenshtein
 automaton of each term (one edit for terms of ``MIN_FUZZY`` letters or more)
 is run as one deterministic automaton whose states, sets of (trie node, edits
 spent), are made as words need them. A word is read once, letter by letter,
-and most words die within a few letters. Terms whose misspellings turn up in
-clean training rows match exactly only.
+and most words die within a few letters. Words one edit from a term that are as
+frequent in clean training rows as in toxic ones are ordinary words and match
+nothing; only a term whose other near words are so together matches exactly only.
 
 Context: a match inside quotation marks, or shortly after a word of reporting,
 counts as quoted; others count as direct. Four counts (direct or quoted, exact
@@ -47,6 +48,9 @@ LEXICON = 300             # terms kept, at most
 MIN_SUPPORT = 3           # toxic documents a term must stand in
 MIN_GAIN = 6.5            # log-likelihood a term must add
 COVER = 3                 # terms that may explain one document
+LIFT = 9                  # toxic rate over clean rate of a misspelling
+EVIDENCE = 3.0            # log-likelihood that makes a near word ordinary
+ORDINARY = 50_000         # ordinary near words kept, at most (the most frequent)
 STEM = range(3, 11)       # letters of a stem
 MIN_FUZZY = 5             # letters from which a misspelling counts
 NEAR_CHARS, NEAR_WORDS = 80, 6
@@ -70,10 +74,12 @@ class Automaton:
     """Words against (term, is_stem) entries, lazily determinised.
 
     ``match(word)`` is 0 for none, 1 for one edit, 2 for an exact match. A stem
-    matches every word that begins with it."""
+    matches every word that begins with it. Words in ``ordinary`` are no
+    misspellings."""
 
-    def __init__(self, terms: list[tuple[str, bool, bool]]):
+    def __init__(self, terms: list[tuple[str, bool, bool]], ordinary: frozenset[str] = frozenset()):
         """terms: (term, is_stem, may be misspelled)."""
+        self.ordinary = ordinary
         self.next: list[dict[str, int]] = [{}]
         self.end: list[int] = [0]       # 1 whole word, 2 stem
         self.fuzzy: list[bool] = [False]  # a term below may be misspelled
@@ -158,6 +164,8 @@ class Automaton:
             if sid < 0:
                 break
         got = self.value[sid] if sid >= 0 else 0
+        if got == 1 and word in self.ordinary:
+            got = 0
         if len(self.seen) >= 300_000:
             self.seen.clear()
         if len(self.states) > 100_000:
@@ -189,6 +197,23 @@ def match_counts(auto: Automaton, text: str) -> tuple[int, int, int, int]:
     return tuple(out)
 
 
+def direct_words(text: str, wanted=None) -> set[str]:
+    """The lower-case words (those ``wanted``) that stand outside quotations at
+    least once."""
+    low = text.lower()
+    words = set(_WORD.findall(low))
+    left = {w for w in words if wanted(w)} if wanted else words
+    if not left or not (REPORTING & words or any(c in low for c in OPENING)):
+        return left
+    same = text if len(low) == len(text) else low
+    out = set()
+    for m in _WORD.finditer(low):
+        w = m.group()
+        if w in left and w not in out and not _quoted(same, *m.span()):
+            out.add(w)
+    return out
+
+
 def _binned(counts) -> np.ndarray:
     return np.minimum(counts, TOP_BIN)
 
@@ -280,11 +305,11 @@ def choose_terms(rows: list[tuple[int, list[str], int]]) -> list[tuple[str, bool
     return [(t.rstrip("$"), not t.endswith("$"), len(t.rstrip("$")) >= MIN_FUZZY) for t in chosen]
 
 
-def _counts(documents: DataFrame, terms, *keep: str) -> DataFrame:
+def _counts(documents: DataFrame, terms, ordinary, *keep: str) -> DataFrame:
     schema = ", ".join(f"{c} {documents.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
-        auto = Automaton(terms)
+        auto = Automaton(terms, ordinary)
         for b in batches:
             got = np.array([match_counts(auto, t or "") for t in b.column("text").to_pylist()],
                            np.int64).reshape(-1, 4)
@@ -296,26 +321,58 @@ def _counts(documents: DataFrame, terms, *keep: str) -> DataFrame:
         run, f"{schema}, c0 long, c1 long, c2 long, c3 long")
 
 
-def trusted_misspellings(rows: DataFrame, terms) -> list[tuple[str, bool, bool]]:
-    """Turns misspelling off for terms that clean training rows come close to."""
-    able = [t for t in terms if t[2]]
-    if not able:
-        return terms
+def _evidence(p, n, toxic: int, clean: int):
+    """Log-likelihood by which ``p`` toxic and ``n`` clean rows speak for an
+    ordinary word (as frequent in either class) against a misspelling (``LIFT``
+    times as frequent in toxic rows): rates, so class sizes cancel out."""
+    plain, odd = toxic / (toxic + clean), LIFT * toxic / (LIFT * toxic + clean)
+    return n * math.log((1 - plain) / (1 - odd)) - p * math.log(odd / plain)
+
 
+def near_words(documents: DataFrame, terms) -> DataFrame:
+    """(doc_id, term, w): the words outside quotations that are one edit from a
+    term (its place in ``terms``), per document row that has any."""
     def run(batches):
-        autos = [Automaton([t]) for t in able]
-        both = Automaton(able)
+        autos = [(i, Automaton([t])) for i, t in enumerate(terms)]
+        every, of = Automaton(terms), {}
         for b in batches:
-            out = []
-            for t in b.column("text").to_pylist():
-                near = [w for w in set(_WORD.findall((t or "").lower())) if both.match(w) == 1]
-                out += [i for i, a in enumerate(autos) if any(a.match(w) == 1 for w in near)] if near else []
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["term"])
-    clean = rows.where("toxic = 0")
-    bad = {r["term"]: r["count"] for r in clean.select("text").mapInArrow(
-        run, "term long").groupBy("term").count().collect()}
-    off = {able[i][0] for i, n in bad.items()}
-    return [(t, s, f and t not in off) for t, s, f in terms]
+            ids, term, word = [], [], []
+            for d, text in zip(b.column("doc_id"), b.column("text").to_pylist(), strict=True):
+                for w in direct_words(text or "", lambda w: every.match(w) == 1):
+                    if w not in of:
+                        if len(of) >= 100_000:
+                            of.clear()
+                        of[w] = [i for i, a in autos if a.match(w) == 1]
+                    ids += [d] * len(of[w])
+                    term += of[w]
+                    word += [w] * len(of[w])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column("doc_id").type), pa.array(term, pa.int32()),
+                                              pa.array(word, pa.string())], ["doc_id", "term", "w"])
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return documents.where("doc_id is not null").select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, term int, w string")
+
+
+def trusted_misspellings(documents: DataFrame, training: DataFrame, terms):
+    """(terms, ordinary words). A word one edit from a term is ordinary, and no
+    misspelling, where the rates of all training rows say so; misspelling goes
+    off for a term only where its other near words say so together."""
+    able = [t for t in terms if t[2]]
+    sizes = {r["toxic"]: r["count"] for r in training.select(
+        (F.col("toxic") > 0).alias("toxic")).groupBy("toxic").count().collect()} if able else {}
+    toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
+    if not toxic or not clean:
+        return terms, frozenset()
+    seen = written(near_words(documents, able).join(training, "doc_id").groupBy("term", "w").agg(
+        F.sum((F.col("toxic") > 0).cast("long")).alias("p"),
+        F.sum((F.col("toxic") <= 0).cast("long")).alias("n")), "toxic-near")
+    says = _evidence(F.col("p"), F.col("n"), toxic, clean)
+    plain = seen.where(says > EVIDENCE).groupBy("w").agg(F.max("n").alias("n")).orderBy(
+        F.desc("n"), "w").limit(ORDINARY)
+    ordinary = frozenset(r["w"] for r in plain.collect())
+    rest = seen.where(says <= EVIDENCE).groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).collect()
+    off = {able[r["term"]][0] for r in rest if _evidence(r["p"], r["n"], toxic, clean) > EVIDENCE}
+    return [(t, s, f and t not in off) for t, s, f in terms], ordinary
 
 
 def fit_weights(cells: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
@@ -335,16 +392,23 @@ def fit_weights(cells: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
     return w
 
 
-def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
-    """(terms, weights, counts): lexicon, weights, and the match counts of
-    every document row, which the weights of all training rows come from."""
+def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
+    """(terms, ordinary words, weights, counts): lexicon, words that are no
+    misspellings, weights, and the match counts of every document row, which
+    the weights of all training rows come from."""
     training = training_labels(labels)
     sample = sampled_rows(documents, training, sample_rows)
-    terms = trusted_misspellings(sample, learn_lexicon(sample))
-    counts = written(_counts(documents, terms, "doc_id"), "toxic-counts")
+    terms, ordinary = trusted_misspellings(documents, training, learn_lexicon(sample))
+    counts = written(_counts(documents, terms, ordinary, "doc_id"), "toxic-counts")
     cells = counts.join(training, "doc_id").groupBy("toxic", "c0", "c1", "c2", "c3").count().collect()
     weights = fit_weights([(np.array([r["c0"], r["c1"], r["c2"], r["c3"]], float),
                             int(r["toxic"] > 0), r["count"]) for r in cells])
+    return terms, ordinary, weights, counts
+
+
+def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
+    """(terms, weights, counts) of ``fit``."""
+    terms, _, weights, counts = fit(documents, labels, sample_rows)
     return terms, weights, counts
 
 
@@ -357,11 +421,11 @@ def score(counts: DataFrame, weights: np.ndarray) -> DataFrame:
 def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows that score under ``threshold`` or hold no match, with all their
     columns."""
-    terms, weights, _ = train(documents, labels)
+    terms, ordinary, weights, _ = fit(documents, labels)
     schema = documents.schema
 
     def run(batches):
-        auto = Automaton(terms)
+        auto = Automaton(terms, ordinary)
         for b in batches:
             got = _binned(np.array([match_counts(auto, t or "") for t in b.column("text").to_pylist()],
                                    np.int64).reshape(-1, 4))

@@ -216,6 +216,34 @@ def test_toxicity_learns_and_tells_quotation(spark):
     assert 900 in {r["doc_id"] for r in left.collect()} and left.columns == ["doc_id", "text", "n_words", "kept"]
 
 
+def near_word_rows():
+    """'oron' is an ordinary word, 'morpn' a misspelling that one clean row holds."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(900):
+        toxic = i % 6 == 0
+        t = words(20, rng).split()
+        if toxic:
+            t[3] = "morpn" if i % 4 == 0 else "moron"
+        if i % 5 == 1 or i % 30 == 0:
+            t[7] = "oron"
+        if i == 7:
+            t[9] = "morpn"
+        rows.append((i, " ".join(t)))
+        labels.append((i, int(toxic)))
+    return [*rows, (1000, "you morqn here"), (1001, "an oron here")], labels
+
+
+def test_a_clean_near_word_leaves_misspellings_on(spark):
+    rows, labels = near_word_rows()
+    terms = [("moron", False, True)]
+    lab = toxicity.training_labels(spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got, ordinary = toxicity.trusted_misspellings(docs_of(spark, rows), lab, terms)
+    assert got == terms and ordinary == {"oron"}
+    auto = toxicity.Automaton(got, ordinary)
+    assert [auto.match(w) for w in ("moron", "morpn", "morqn", "oron")] == [2, 1, 1, 0]
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     terms, weights, counts = toxicity.train(docs_of(spark, [(1, "a b c")]), none)
