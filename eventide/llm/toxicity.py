@@ -6,7 +6,7 @@ each new term explains toxic rows the earlier ones leave over. The fit uses at
 most ``sample_rows`` labelled rows (those with the smallest id hashes).
 
 Matching: the lexicon is a trie; its intersection with the Levenshtein
-automaton of each term (one edit for terms of ``MIN_FUZZY`` letters or more)
+automaton of each term (one edit, at any letter, for terms of ``MIN_FUZZY`` letters or more)
 is run as one deterministic automaton whose states, sets of (trie node, edits
 spent), are made as words need them. A word is read once, letter by letter,
 and most words die within a few letters. Words one edit from a term that are as
@@ -146,7 +146,7 @@ class Automaton:
             child = self.next[node].get(ch)
             if child is not None and (not edits or self.fuzzy[child]):
                 out.add((child, edits))
-            if not edits and self.fuzzy[node] and node:
+            if not edits and self.fuzzy[node]:
                 out.add((node, 1))                                      # an extra letter
                 out |= {(c, 1) for c in self.next[node].values() if self.fuzzy[c]}  # another letter
         got = self._id(self._close(out)) if out else -1

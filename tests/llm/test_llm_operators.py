@@ -188,6 +188,21 @@ def test_automaton_equals_edit_distance():
     assert [stem.match(w) for w in ("badst", "badstuff", "badztuff", "basts", "good")] == [2, 2, 1, 1, 0]
 
 
+def test_automaton_equals_plain_edit_distance():
+    """Also at the first letter, for words and for stems."""
+    terms = [("abcde", False, True), ("abxde", False, True), ("ddcba", False, False), ("eedca", True, True)]
+    auto, rng = toxicity.Automaton(terms), random.Random(4)
+
+    def best(w, term, stem, fuzzy):
+        near = min(distance(w[:k], term) for k in range(len(w) + 1)) if stem else distance(w, term)
+        return 2 if near == 0 else int(fuzzy and near == 1)
+    for _ in range(3000):
+        w = "".join(rng.choices("abcdex", k=rng.randint(3, 7)))
+        assert auto.match(w) == max(best(w, *t) for t in terms), w
+    idiot = toxicity.Automaton([("idiot", False, True)])
+    assert [idiot.match(w) for w in ("xdiot", "1diot", "aidiot", "diot", "axdiot")] == [1, 1, 1, 1, 0]
+
+
 def test_toxicity_learns_and_tells_quotation(spark):
     rng = random.Random(9)
     rows, labels = [], []
