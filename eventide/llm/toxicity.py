@@ -1,8 +1,9 @@
 """Toxicity scores from a learned lexicon, misspellings and context.
 
 Lexicon: from labelled training rows, words and word stems (prefixes) that
-stand in toxic documents and hardly ever in others, chosen greedily so that
-each new term explains toxic rows the earlier ones leave over. The fit uses at
+stand outside quotations more often in toxic documents than in others (rates per
+class, whatever the label shares), chosen greedily by the log-likelihood that
+each new term adds on rows the earlier ones leave over. The fit uses at
 most ``sample_rows`` labelled rows (those with the smallest id hashes).
 
 Matching: the lexicon is a trie; its intersection with the Levenshtein
@@ -240,30 +241,46 @@ def _terms_of(words: set[str]) -> set[str]:
 
 
 def learn_lexicon(rows: DataFrame) -> list[tuple[str, bool, bool]]:
-    """(term, is_stem, may be misspelled) from the sample (text, toxic)."""
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}_]+"))
-    each = rows.select("toxic", F.explode(words).alias("w")).where(F.length("w") >= STEM[0])
-    per_word = each.groupBy("w").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n"))
+    """(term, is_stem, may be misspelled) from the sample (text, toxic). Only
+    words that stand outside quotations count, so quoting a term in clean rows
+    does not speak against it."""
+    def direct(batches):
+        for b in batches:
+            found = [sorted(w for w in direct_words(t or "") if len(w) >= STEM[0])
+                     for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("toxic").cast(pa.int32()), pa.array(found, pa.list_(pa.string()))], ["toxic", "words"])
+    held = written(rows.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(
+        direct, "toxic int, words array<string>"), "toxic-words")
+    bad = F.col("toxic") > 0
+    sizes = {r["bad"]: r["count"] for r in held.groupBy(bad.alias("bad")).count().collect()}
+    toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
+    if not toxic:
+        return []
+    each = held.select(bad.cast("long").alias("bad"), F.explode("words").alias("w"))
+    per_word = each.groupBy("w").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n"))
     keys = F.concat(F.array(F.concat("w", F.lit("$"))), F.transform(
         F.sequence(F.lit(STEM[0]), F.least(F.length("w"), F.lit(STEM[-1]))),
         lambda k: F.substring("w", F.lit(1), k)))
+    # rates per class: more frequent in toxic rows than in clean ones; the gain decides
     terms = per_word.select(F.explode(keys).alias("term"), "p", "n").groupBy("term").agg(
         F.sum("p").alias("p"), F.sum("n").alias("n")).where(
-        (F.col("p") >= MIN_SUPPORT) & (F.col("n") * 9 <= F.col("p")))
+        (F.col("p") >= MIN_SUPPORT) & (F.col("p") * clean >= F.col("n") * toxic))
+    base = (toxic + 0.5) / (toxic + clean + 1)
+    rate = (F.col("p") + 0.1) / (F.col("p") + F.col("n") + 0.2)
+    gain = F.col("p") * F.log(rate / base) + F.col("n") * F.log((1 - rate) / (1 - base))
     best = [r["term"] for r in terms.orderBy(
-        F.desc(F.col("p") - 9 * F.col("n")), F.length("term"), "term").limit(CANDIDATES).collect()]
+        F.desc(F.round(gain, 6)), F.length("term"), "term").limit(CANDIDATES).collect()]
     if not best:
         return []
     wanted = set(best)
 
     def incidence(batches):
         for b in batches:
-            found = [sorted(wanted & _terms_of(set(_WORD.findall((t or "").lower()))))
-                     for t in b.column("text").to_pylist()]
+            found = [sorted(wanted & _terms_of(set(ws))) for ws in b.column("words").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("toxic").cast(pa.int32()), pa.array(found, pa.list_(pa.string()))],
-                ["toxic", "terms"])
-    seen = rows.select("toxic", "text").mapInArrow(incidence, "toxic int, terms array<string>") \
+                [b.column("toxic"), pa.array(found, pa.list_(pa.string()))], ["toxic", "terms"])
+    seen = held.mapInArrow(incidence, "toxic int, terms array<string>") \
         .groupBy("toxic", "terms").count().collect()
     return choose_terms([(r["toxic"], r["terms"], r["count"]) for r in seen])
 
@@ -280,6 +297,7 @@ def choose_terms(rows: list[tuple[int, list[str], int]]) -> list[tuple[str, bool
             (pos if y else neg)[t] += n
     left_pos = sum(n for y, _, n in rows if y)
     left_neg = sum(n for y, _, n in rows if not y)
+    all_pos, all_neg = left_pos, left_neg
     base = (left_pos + 0.5) / (left_pos + left_neg + 1)
     held, chosen = Counter(), []
 
@@ -289,6 +307,8 @@ def choose_terms(rows: list[tuple[int, list[str], int]]) -> list[tuple[str, bool
     while len(chosen) < LEXICON:
         def gain(t):
             p, n = pos[t], neg[t]
+            if p * all_neg < n * all_pos:
+                return 0.0
             rate = (p + 0.1) / (p + n + 0.2)
             return p * math.log(rate / base) + n * math.log((1 - rate) / (1 - base)) if p >= MIN_SUPPORT else 0.0
         scored = [(round(gain(t), 6), t.endswith("$"), len(t), t) for t in holders if not covered(t)]

@@ -231,6 +231,23 @@ def test_toxicity_learns_and_tells_quotation(spark):
     assert 900 in {r["doc_id"] for r in left.collect()} and left.columns == ["doc_id", "text", "n_words", "kept"]
 
 
+def test_a_term_that_clean_rows_quote_stays_a_term(spark):
+    rng = random.Random(14)
+    rows = []
+    for i in range(1200):
+        t = words(20, rng)
+        if i % 20 == 0:
+            t += " grumbold " + words(20, rng)
+        elif i % 4 == 1:
+            t += ' he said "grumbold" ' + words(3, rng)
+        elif i % 100 == 2:  # clean rows use it as well: 60 toxic to 12 clean
+            t += " grumbold"
+        rows.append((t, int(i % 20 == 0)))
+    terms = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert any("grumbold".startswith(t) for t, _, _ in terms)
+    assert not [t for t, _, _ in terms if not "grumbold".startswith(t)]
+
+
 def near_word_rows():
     """'oron' is an ordinary word, 'morpn' a misspelling that one clean row holds."""
     rng = random.Random(12)
