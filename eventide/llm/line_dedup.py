@@ -1,10 +1,10 @@
 """Line dedup: drop lines that recur in many documents.
 
 One scan splits every text, normalises each line, and keeps a 128-bit digest
-per line (written to the shared folder: 16 bytes a line, no text). A line's
-document count needs no second shuffle: digests are made distinct inside the
-row, so counting rows per digest (partial counts first, a hot line costs one
-row per task) counts documents. Common digests mark positions; positions are
+per line (written to the shared folder: 16 bytes a line, no text). Rows are
+counted per digest first (partial counts, a hot line costs one row per task):
+never fewer than documents, so only digests in enough rows have their distinct
+ids counted. Common digests mark positions; positions are
 gathered per document and joined to the texts, whose other lines are put
 together again in order. Texts are shuffled once, to that last join.
 
@@ -13,8 +13,9 @@ The set of common digests is broadcast while it is at most
 execution splits the partitions of hot lines.
 
 Defined results: a null or empty text is one empty line and is never dropped
-(its key is empty); every row is a document of its own, also if its id is null
-or repeated; a text whose lines all go becomes empty; an empty table stays
+(its key is empty); a line counts once for every distinct doc_id that holds it,
+however many rows have that id, and rows without an id count for no line, but
+lose their common lines as others do; a text whose lines all go becomes empty; an empty table stays
 empty. ``drop_common_lines`` keeps all columns and changes ``text`` only; the two
 counts it adds replace columns of their names unless other names are given, and
 its own column names start with ``_ld_``.
@@ -52,8 +53,14 @@ def common_positions(documents: DataFrame, min_documents: int = MIN_DOCUMENTS,
     keys = written(documents.select(
         "doc_id", text_key(F.col("text")).alias("text_key"),
         line_keys(F.col("text"), min_chars).alias("keys")), "line-keys")
-    each = keys.select(F.explode(F.array_distinct("keys")).alias("key")).where("key is not null")
-    common = written(each.groupBy("key").agg(F.count("*").alias("n"))
+    each = keys.where("doc_id is not null").select(
+        "doc_id", F.explode(F.array_distinct("keys")).alias("key")).where("key is not null")
+    often = written(each.groupBy("key").agg(F.count("*").alias("n"))
+                    .where(F.col("n") >= min_documents).select("key"), "frequent-lines")
+    if often.count() <= BROADCAST_ROWS:
+        often = F.broadcast(often)
+    # distinct by (key, doc_id) first, so a hot line is spread over tasks
+    common = written(each.join(often, "key").distinct().groupBy("key").agg(F.count("*").alias("n"))
                      .where(F.col("n") >= min_documents).select("key"), "common-lines")
     if common.count() <= BROADCAST_ROWS:
         common = F.broadcast(common)

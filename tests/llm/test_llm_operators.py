@@ -99,6 +99,14 @@ def test_line_dedup_equals_brute_force(spark):
     assert line_dedup.drop_common_lines(docs_of(spark, [])).count() == 0
 
 
+def test_line_dedup_counts_documents_not_rows(spark):
+    rows = [(1, "said by one document\nin all")] * 12 + [(i, "in five twice\nin all") for i in range(20, 25)] * 2
+    rows += [(None, "without ids\nin all")] * 12 + [(i, "in all") for i in range(30, 34)]
+    got = {(r["doc_id"], r["text"]) for r in line_dedup.drop_common_lines(docs_of(spark, rows)).collect()}
+    assert got == {(1, "said by one document"), (None, "without ids"), *((i, "in five twice") for i in range(20, 25)),
+                   *((i, "") for i in range(30, 34))}
+
+
 # -------------------------------------------------------------------- minhash
 
 def shingle_set(t):
