@@ -15,7 +15,10 @@ e-mail addresses (the part before the @).
 
 Every value is handled where it stands, so no shuffle is needed. Defined
 results: null texts stay null with zero counts; a number that fails its check
-stays as it is; overlapping finds go to the earlier, then to the kind listed
+stays as it is; cards, IBANs and phone numbers are looked for at every
+admissible length and at every group of a run of digits; where two readings of
+adjoining numbers overlap, ``reveal`` may read the pseudonyms otherwise;
+overlapping finds go to the earlier, then to the kind listed
 first; repeated rows give repeated results; other columns are kept.
 """
 
@@ -39,14 +42,25 @@ KINDS = ("email", "iban", "card", "ssn", "date", "phone", "ip")
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 _FIND = re.compile(r"""
   (?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-]))
- |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
+ |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)
  |(?P<phone>(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![\w])
    |(?<![\w)])\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}(?!\w))
  |(?P<date>(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w-]|\.[0-9]))
  |(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
  |(?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.[0-9]))
- |(?P<card>(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|-[0-9]))
+ |(?P<card>(?:(?<![\w.-])|(?<=[0-9]-))[0-9](?:[ -]?[0-9]){12})
 """, re.X | re.A)
+# Lengths of IBANs by country; of other countries any length that holds its check.
+IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+# Digits after the country code, where a plan fixes them.
+PHONE_DIGITS = {"1": 10, "7": 10, "33": 9, "34": 9, "41": 9, "45": 8, "47": 8, "48": 9, "61": 9, "91": 10}
+# Groups of digits in which cards are printed; a single group may have 13 to 19.
+CARD_GROUPS = frozenset([(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), *((n,) for n in range(13, 20))])
+_GROUP = re.compile(r"[0-9]+")
 _MAY = re.compile(r"[0-9@]")  # every kind holds one of these
 
 
@@ -174,12 +188,100 @@ def _iban(text, key, back):
     return _fill(text, flat[:2] + f"{98 - iban_remainder(flat[:2] + '00' + body):02d}" + body)
 
 
+def _is_card(d):
+    return luhn_digit(d[:-1]) == d[-1] and any(d)
+
+
+def _card_ends(text, start):
+    """(end, groups) of 13 to 19 digits in whole groups from ``start``, the
+    shortest first."""
+    groups, n, at = (), 0, start
+    while (m := _GROUP.match(text, at)):
+        n += len(m.group())
+        groups += (len(m.group()),)
+        at = m.end()
+        if n > 19:
+            return
+        if n >= 13 and not re.match("[0-9A-Za-z_]", text[at:at + 1]):
+            yield at, groups
+        if text[at:at + 1] not in (" ", "-"):
+            return
+        at += 1
+
+
+def _printed_card(text, start):
+    return next((e for e, g in _card_ends(text, start) if g in CARD_GROUPS and _is_card(_digits(text[start:e]))), None)
+
+
+def _card_end(text, start):
+    """The end of the card that begins at ``start``: in printed groups, or in
+    any groups where no card in printed groups begins inside it."""
+    if (end := _printed_card(text, start)) is not None:
+        return end
+    for end, _ in _card_ends(text, start):
+        if _is_card(_digits(text[start:end])) and not any(
+                _printed_card(text, start + m.start()) for m in _GROUP.finditer(text[start:end]) if m.start()):
+            return end
+    return None
+
+
 def _card(text, key, back):
     d = _digits(text)
-    if luhn_digit(d[:-1]) != d[-1] or not any(d):
+    if not _is_card(d):
         return None
-    new = permute(d[:-1], [10] * (len(d) - 1), key, f"card{len(d)}", back)
-    return _fill(text, "".join(map(str, [*new, luhn_digit(new)])))
+    alone = _card_end(text, 0) == len(text)
+    while True:
+        new = permute(d[:-1], [10] * (len(d) - 1), key, f"card{len(d)}", back)
+        d = [*new, luhn_digit(new)]
+        got = _fill(text, "".join(map(str, d)))
+        # walk on past pseudonyms that hold a shorter card, which reveal would find
+        if any(d) and (not alone or _card_end(got, 0) == len(got)):
+            return got
+
+
+def _iban_end(text, start):
+    """The end of the IBAN that begins at ``start``: its country's length first,
+    then every other one."""
+    flat, at, ends = "", start, {}
+    while len(flat) < 34 and (m := re.compile(r"\x20?[A-Z0-9]" if flat and len(flat) % 4 == 0 else "[A-Z0-9]").match(text, at)):
+        flat, at = flat + m.group()[-1], m.end()
+        if len(flat) >= 15 and not re.match("[A-Za-z0-9]", text[at:at + 1]):
+            ends[len(flat)] = at
+    own = IBAN_LENGTHS.get(flat[:2])
+    for n in sorted(ends, key=lambda n: (n != own, n)):
+        if iban_remainder(flat[:n]) == 1:
+            return ends[n]
+    return None
+
+
+def _phone_end(text, start, end):
+    """The end of the phone number in the greediest find: its plan's length, or
+    else before the first group set off otherwise than the groups before it."""
+    found = text[start:end]
+    code = re.match(r"\+([0-9]{1,3})(?=[ .(-])|\+([17])", found)
+    if not code:
+        return end
+    groups = list(_GROUP.finditer(found, code.end()))
+    fixed = PHONE_DIGITS.get(code.group(1) or code.group(2))
+    n, held = 0, None
+    for m, after in zip(groups, [*groups[1:], None], strict=True):
+        n += len(m.group())
+        if n == fixed:
+            return start + m.end()
+        if held is None and after is not None:
+            gap = found[m.end():after.start()]
+            before = found[m.start() - 1]
+            if n >= 7 and gap == " " and before in ".-":
+                held = start + m.end()
+    return held or end
+
+
+def _ends(kind, text, start, end):
+    if kind == "card":
+        return _card_end(text, start)
+    if kind == "iban":
+        return _iban_end(text, start)
+    return _phone_end(text, start, end) if kind == "phone" else end
 
 
 def _ssn(text, key, back):
@@ -236,13 +338,18 @@ def replace(text: str, key: bytes, back: bool = False, rule=pseudonym) -> tuple[
     counts = dict.fromkeys(KINDS, 0)
     out, upto, at = [], 0, 0
     while (m := _FIND.search(text, at)):
-        got = rule(m.lastgroup, m.group(), key, back)
+        kind, start = m.lastgroup, m.start()
+        end = _ends(kind, text, start, m.end())
+        got = None if end is None else rule(kind, text[start:end], key, back)
         if got is None:  # what fails as one kind may begin another within
-            at = m.start() + 1 if m.lastgroup in ("phone", "iban") else m.end()
+            if kind == "card":
+                at = _GROUP.match(text, start).end()
+            else:
+                at = start + 1 if kind in ("phone", "iban") else m.end()
             continue
-        counts[m.lastgroup] += 1
-        out += [text[upto:m.start()], got]
-        upto = at = m.end()
+        counts[kind] += 1
+        out += [text[upto:start], got]
+        upto = at = end
     return "".join([*out, text[upto:]]), counts
 
 

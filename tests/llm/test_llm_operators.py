@@ -352,6 +352,24 @@ def test_pseudonyms_keep_format_and_reverse():
     assert days == set(range(97)) and rng
 
 
+@pytest.mark.parametrize(("value", "around"), [
+    ("4539 1488 0343 6467", ["card {} 12/27", "{} 123", "12 {}", "12 {} 2024 x", "ref 77-{}-5", "{}"]),
+    ("AT61 1904 3002 3457 3201", ["{} BIC", "{} 2024", "AB12 {} XY", "{}"]),
+    ("BE68 5390 0754 7034", ["{} ING", "{} 7"]),
+    ("+1 (974) 555-3436", ["{} 24 hours", "{} 190.137.223.204", "tel {} 2024-02-29", "12 {}"]),
+    ("+1 974 555 3436", ["{} 24 hours"]),
+])
+def test_values_beside_other_numbers_keep_their_pseudonym(value, around):
+    key = b"k"
+    alone = pii.replace(value, key)[0]
+    assert alone != value
+    for form in around:
+        new, _ = pii.replace(form.format(value), key)
+        assert alone in new, form
+        assert pii.reveal(new, key) == form.format(value)
+    assert pii.replace("+1 (826) 555-4081 190.137.223.204", key)[1]["ip"] == 1
+
+
 def test_pseudonymize_rows(spark):
     docs = docs_of(spark, [(1, "a +1 (974) 555-3436"), (2, "b +1 (974) 555-3436"), (2, "b +1 (974) 555-3436"), (None, None), (3, "")])
     got = sorted(((r["doc_id"] or 0, r["text"], r["n_phone"], r["n_words"]) for r in pii.pseudonymize(docs, b"k").collect()), key=str)
