@@ -6,7 +6,9 @@ The histogram of all lengths gives the bucket boundaries by dynamic
 programming: ``cost[k][j] = min over i of cost[k-1][i] + padding(i, j)``, each
 row by divide and conquer since the best ``i`` never moves back. Up to 4,096
 every length has its own bin; above, bins grow with the length (1/4096 of it),
-so the histogram has a bound whatever the corpus holds.
+so the histogram has a bound whatever the corpus holds. A bin stands at its
+longest document, so every boundary is the length of a document; where bins hold
+several lengths (from 8,192 on) the least padding is that of cuts between bins.
 
 Batches form inside each bucket: a batch holds as many documents as
 ``token_budget`` takes at the bucket's padded length, at least one. Places in a
@@ -127,8 +129,9 @@ def best_boundaries(lengths: list[int], counts: list[int], buckets: int = BUCKET
 
 def boundaries_of(lengths: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """Boundaries over the global histogram of the column ``n_tokens``."""
-    hist = lengths.groupBy(bin_of(F.col("n_tokens")).alias("bin")).agg(F.count("*").alias("n"))
-    got = sorted((r["bin"], r["n"]) for r in hist.collect())  # a bounded number of bins
+    hist = lengths.groupBy(bin_of(F.col("n_tokens"))).agg(
+        F.max("n_tokens").alias("longest"), F.count("*").alias("n"))
+    got = sorted((r["longest"], r["n"]) for r in hist.collect())  # a bounded number of bins
     return best_boundaries([b for b, _ in got], [n for _, n in got], buckets)
 
 

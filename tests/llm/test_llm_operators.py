@@ -326,6 +326,11 @@ def test_packing_places_every_row(spark, monkeypatch):
     assert packing.pack(docs_of(spark, [])).count() == 0
 
 
+def test_boundaries_are_lengths_of_documents(spark):
+    lengths = [5, 9001, 20_001, 20_001, 100_003]
+    assert packing.boundaries_of(spark.createDataFrame([(n,) for n in lengths], "n_tokens long")) == sorted(set(lengths))
+
+
 # ------------------------------------------------------------------------ pii
 
 def test_pseudonyms_keep_format_and_reverse():
