@@ -8,10 +8,10 @@ compatible when the frequencies of ending and of every next symbol, and those
 of their successors, agree within a Hoeffding bound. Symbols are character
 classes; a character costs its class's probability over the class size.
 
-Every other token that may be a credential (a run of 16 or more of its
-characters with letters and digits) is scored by each automaton against a
-background automaton of single classes, learned from such tokens of the same
-corpus, per character; a token is added as kind ``format`` when the best score
+Every other token that may be a credential (a run of 12 or more characters that
+labelled values have, whole and in its pieces between dots) is scored by each
+automaton against a background automaton of single classes, counted over all such
+tokens of the same corpus, per character; a token is added as kind ``format`` when the best score
 reaches the level that ``KEEP`` of the training values reach, and is positive.
 
 One pass collects training values (counts are grouped by Spark; only the
@@ -39,9 +39,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # maximal runs: the same as dropping the shorter ones
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "format")
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
+# Characters and least length of labelled values.
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}", re.A)
+PIECE = re.compile(r"[A-Za-z0-9+/_=-]{12,}", re.A)
+LONGEST = 200           # characters of a training value that are learned; a longer one teaches no end
 CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/", "_", ".", "=", "-")
-TRAIN_VALUES = 2_000    # distinct values per kind, and background tokens
+TRAIN_VALUES = 2_000    # distinct values per kind
 ALPHA = 0.05
 KEEP = 0.95
 MIN_VALUES = 5          # a kind with fewer labelled values has no automaton
@@ -62,23 +65,37 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
+    """Per token its spans to score, the first accepted counts: the whole token,
+    without the dots around it, then (each for itself) its pieces between dots."""
     out = []
     for m in TOKEN.finditer(text):
-        s, e = m.span()
-        tok = m.group()
-        if any(c.isdigit() for c in tok) and any(c.isalpha() for c in tok) and not any(
-                a < e and s < b for a, _, b in taken):
-            out.append((s, e))
+        tok, (s, e) = m.group(), m.span()
+        bare = tok.strip(".")
+        at = s + len(tok) - len(tok.lstrip("."))
+        spans = dict.fromkeys([(s, e), (at, at + len(bare))] + [p.span() for p in PIECE.finditer(text, s, e)])
+        free = [(a, b) for a, b in spans if b - a >= 12 and not any(a < y and x < b for x, _, y in taken)]
+        if free:
+            out.append(free)
+    return out
+
+
+def accepted(text: str, taken: list[tuple[int, int, int]], formats: Formats) -> list[tuple[int, int]]:
+    out = []
+    for spans in candidates(text, taken):
+        for s, e in spans:
+            if not any(s < b and a < e for a, b in out[-8:]) and formats.accepts(text[s:e]):
+                out.append((s, e))
     return out
 
 
 class Automaton:
     """A probabilistic automaton merged from a prefix tree of symbol lists."""
 
-    def __init__(self, words: list[list[int]], alpha: float = ALPHA):
+    def __init__(self, words: list[list[int]], alpha: float = ALPHA, cut: frozenset[int] = frozenset()):
+        """cut: places of words that go on past what is given; they end nowhere."""
         self.count, self.ends, self.next = [0], [0], [{}]
-        for w in words:
+        for i, w in enumerate(words):
             at = 0
             self.count[0] += 1
             for c in w:
@@ -91,7 +108,7 @@ class Automaton:
                 edge[1] += 1
                 at = edge[0]
                 self.count[at] += 1
-            self.ends[at] += 1
+            self.ends[at] += i not in cut
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge()
 
@@ -179,64 +196,73 @@ def likelihood(tables, value: str) -> float:
     return (total + tables[at][END][1]) / max(1, len(value))
 
 
-def unigram(values: list[str]):
-    """The background: one state, class frequencies of all tokens."""
-    n = Counter(k for v in values for k in symbols(v))
-    total = sum(n.values()) + len(values) + 0.5 * (len(CLASSES) + 1)
-    row = {k: (0, math.log((n[k] + 0.5) / total)) for k in range(len(CLASSES))}
-    row[END] = (-1, math.log((len(values) + 0.5) / total))
+def unigram(n: dict[int, int]):
+    """The background: one state, class frequencies of all tokens (END: tokens)."""
+    total = sum(n.values()) + 0.5 * (len(CLASSES) + 1)
+    row = {k: (0, math.log((n.get(k, 0) + 0.5) / total)) for k in range(len(CLASSES))}
+    row[END] = (-1, math.log((n.get(END, 0) + 0.5) / total))
     row[None] = (-1, math.log(0.5 / total))
     return [row]
 
 
 class Formats:
-    def __init__(self, labelled: dict[str, list[str]], background: list[str]):
+    def __init__(self, labelled: dict[str, list[str]], background: dict[int, int]):
+        """background: occurrences of each class in all tokens, END: tokens."""
         self.background = unigram(background)
-        self.automata, self.levels = [], []
+        self.automata, self.classes, self.levels = [], [], []
         for kind in sorted(labelled):
             values = labelled[kind]
-            if len(values) < MIN_VALUES:
+            whole = [v for v in values if len(v) <= LONGEST]
+            if len(whole) < MIN_VALUES:
                 continue
-            tables = Automaton([symbols(v) for v in values]).tables()
-            scores = sorted(likelihood(tables, v) - likelihood(self.background, v) for v in values)
+            tables = Automaton([symbols(v[:LONGEST]) for v in values], cut=frozenset(
+                i for i, v in enumerate(values) if len(v) > LONGEST)).tables()
+            scores = sorted(likelihood(tables, v) - likelihood(self.background, v) for v in whole)
             self.automata.append(tables)
+            self.classes.append({c for v in values for c in symbols(v[:LONGEST])})
             self.levels.append(max(0.0, scores[int((1 - KEEP) * len(scores))]))
 
     def accepts(self, value: str) -> bool:
-        back = likelihood(self.background, value)
-        return any(likelihood(a, value) - back >= level and likelihood(a, value) > back
-                   for a, level in zip(self.automata, self.levels, strict=True))
+        """A kind's values are made of the character classes its labelled ones have."""
+        back, used = likelihood(self.background, value), set(symbols(value))
+        return any(used <= classes and likelihood(a, value) - back >= level and likelihood(a, value) > back
+                   for a, classes, level in zip(self.automata, self.classes, self.levels, strict=True))
 
 
-def _values(text: str) -> list[tuple[str, str]]:
-    spans = base_spans(text)
+def _values(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str]]:
+    """Labelled values; of a long one a character more than is learned."""
     out = []
     for s, k, e in spans:
-        if k == 0:
-            m = ASSIGN.match(text, s)
-            out.append(("assign", m.group(2)[:200] if m else ""))
-        else:
-            out.append((KINDS[k], text[s:e][:200]))
-    return [*out, *[("background", text[s:e][:200]) for s, e in candidates(text, spans)]]
+        m = ASSIGN.match(text, s) if k == 0 else None
+        out.append((KINDS[k], (m.group(2) if m else text[s:e])[:LONGEST + 1]))
+    return out
 
 
 def learn(documents: DataFrame, train_values: int = TRAIN_VALUES) -> Formats:
-    """Automata from at most ``train_values`` distinct values of each kind."""
+    """Automata from at most ``train_values`` distinct values of each kind, and
+    the background from the classes of all tokens, counted where they stand."""
     def run(batches):
         for b in batches:
-            kind, value = [], []
+            kind, value, n = [], [], Counter()
             for t in b.column("text").to_pylist():
-                for k, v in dict.fromkeys(_values(t or "")):
+                spans = base_spans(t or "")
+                for k, v in dict.fromkeys(_values(t or "", spans)):
                     kind.append(k)
                     value.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(value, pa.string())],
-                                             ["kind", "value"])
-    found = written(documents.select("text").mapInArrow(run, "kind string, value string").distinct(), "credentials")
+                for free in candidates(t or "", spans):
+                    n.update(map(_CLASS.__getitem__, t[slice(*free[0])]))
+                    n[END] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind + ["background"] * len(n), pa.string()), pa.array(value + [str(k) for k in n], pa.string()),
+                 pa.array([1] * len(kind) + list(n.values()), pa.int64())], ["kind", "value", "n"])
+    found = written(documents.select("text").mapInArrow(run, "kind string, value string, n long")
+                    .groupBy("kind", "value").agg(F.sum("n").alias("n")), "credentials")
     got: dict[str, list[str]] = {}
-    for kind in ("assign", "access", "hex", "background"):
+    for kind in ("assign", "access", "hex"):
         rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(train_values)
         got[kind] = [r["value"] for r in rows.select("value").collect()]
-    return Formats({k: got[k] for k in ("assign", "access", "hex")}, got["background"])
+    classes = found.where(F.col("kind") == "background").collect()  # a row per class
+    return Formats(got, {int(r["value"]): r["n"] for r in classes})
 
 
 def find_secrets(documents: DataFrame, formats: Formats) -> DataFrame:
@@ -246,7 +272,7 @@ def find_secrets(documents: DataFrame, formats: Formats) -> DataFrame:
             out = []
             for t in b.column("text").to_pylist():
                 base = base_spans(t or "")
-                more = [(s, 3, e) for s, e in candidates(t or "", base) if formats.accepts(t[s:e])]
+                more = [(s, 3, e) for s, e in accepted(t or "", base, formats)]
                 out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(base + more)])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.struct(
                 [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))], ["doc_id", "spans"])

@@ -404,6 +404,25 @@ def test_learned_formats_find_bare_credentials(spark):
     assert credentials.find_secrets(docs_of(spark, []), credentials.learn(docs_of(spark, []))).count() == 0
 
 
+@pytest.mark.parametrize("make", [
+    lambda r: "gx_" + "".join(r.choices("ABCDEFGHIJ", k=9)), lambda r: "".join(r.choices("0123456789", k=14)),
+    lambda r: ".".join("".join(r.choices("ABCDEFGHIJ0123456789", k=5)) for _ in range(3))])
+def test_short_dotted_and_plain_credentials_are_scored(spark, make):
+    rng = random.Random(8)
+    rows = [(i, f"{words(5)} secret = {make(rng)} {words(3)} plainlongwords anotherlongword") for i in range(60)]
+    bare = make(rng)
+    docs = docs_of(spark, [*rows, (100, f"see {bare} there"), (101, f"see {bare}.")])
+    got = {r["doc_id"]: r["spans"] for r in credentials.find_secrets(docs, credentials.learn(docs)).collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in got[100]] == [("format", 4, 4 + len(bare))]
+    assert [s["start"] for s in got[101]] == [4]
+    assert all(len(got[i]) == 1 for i in range(60))
+
+
+def test_long_training_values_teach_no_end():
+    auto = credentials.Automaton([[0] * 200] * 9, cut=frozenset(range(9)))
+    assert not any(auto.ends)
+
+
 # ----------------------------------------------------------------------- html
 
 def test_field_on_held_out_pages():
