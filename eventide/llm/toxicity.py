@@ -3,8 +3,11 @@
 Lexicon: from labelled training rows, words and word stems (prefixes) that
 stand outside quotations more often in toxic documents than in others (rates per
 class, whatever the label shares), chosen greedily by the log-likelihood that
-each new term adds on rows the earlier ones leave over. The fit uses at
-most ``sample_rows`` labelled rows (those with the smallest id hashes).
+each new term adds; a row counts until ``COVER`` chosen terms stand in it. A term
+must add more than the best of all terms tried would by chance, and gain on both
+halves of the rows; the number of terms has no cap. The fit uses at most
+``sample_rows`` labelled rows (those with the smallest id hashes); the driver
+gets term numbers only, of those rows.
 
 Matching: the lexicon is a trie; its intersection with the Levenshtein
 automaton of each term (one edit, at any letter, for terms of ``MIN_FUZZY`` letters or more)
@@ -34,21 +37,21 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm.common import written
 
 SAMPLE_ROWS = 20_000      # labelled rows the lexicon is learned from, at most
-CANDIDATES = 3_000        # terms the greedy choice looks at, at most
-LEXICON = 300             # terms kept, at most
 MIN_SUPPORT = 3           # toxic documents a term must stand in
-MIN_GAIN = 6.5            # log-likelihood a term must add
-COVER = 3                 # terms that may explain one document
+MIN_GAIN = 6.5            # log-likelihood a term must add, at least
+CHANCE = 0.05             # terms that chance may add: the gain asked for is log(terms tried / CHANCE)
+COVER = 3                 # a row counts in full until so many chosen terms stand in it
 LIFT = 9                  # toxic rate over clean rate of a misspelling
 EVIDENCE = 3.0            # log-likelihood that makes a near word ordinary
 ORDINARY = 50_000         # ordinary near words kept, at most (the most frequent)
@@ -263,65 +266,73 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, bool, bool]]:
         F.sequence(F.lit(STEM[0]), F.least(F.length("w"), F.lit(STEM[-1]))),
         lambda k: F.substring("w", F.lit(1), k)))
     # rates per class: more frequent in toxic rows than in clean ones; the gain decides
-    terms = per_word.select(F.explode(keys).alias("term"), "p", "n").groupBy("term").agg(
-        F.sum("p").alias("p"), F.sum("n").alias("n")).where(
-        (F.col("p") >= MIN_SUPPORT) & (F.col("p") * clean >= F.col("n") * toxic))
+    terms = written(per_word.select(F.explode(keys).alias("term"), "p", "n").groupBy("term").agg(
+        F.sum("p").alias("p"), F.sum("n").alias("n")).where(F.col("p") >= MIN_SUPPORT), "toxic-terms")
+    least = max(MIN_GAIN, math.log(max(1, terms.count()) / CHANCE))
     base = (toxic + 0.5) / (toxic + clean + 1)
     rate = (F.col("p") + 0.1) / (F.col("p") + F.col("n") + 0.2)
     gain = F.col("p") * F.log(rate / base) + F.col("n") * F.log((1 - rate) / (1 - base))
-    best = [r["term"] for r in terms.orderBy(
-        F.desc(F.round(gain, 6)), F.length("term"), "term").limit(CANDIDATES).collect()]
+    best = sorted(terms.where((F.col("p") * clean >= F.col("n") * toxic) & (F.round(gain, 6) >= least)).select(
+        "term").toArrow().column("term").to_pylist())
     if not best:
         return []
-    wanted = set(best)
+    number = {t: i for i, t in enumerate(best)}
+    kind = np.uint16 if len(best) <= 1 << 16 else np.uint32
 
     def incidence(batches):
         for b in batches:
-            found = [sorted(wanted & _terms_of(set(ws))) for ws in b.column("words").to_pylist()]
+            words = b.column("words").to_pylist()
+            found = [np.array(sorted(number[t] for t in _terms_of(set(ws)) if t in number), kind).tobytes()
+                     for ws in words]
+            half = [zlib.crc32("\n".join(ws).encode()) & 1 for ws in words]
             yield pa.RecordBatch.from_arrays(
-                [b.column("toxic"), pa.array(found, pa.list_(pa.string()))], ["toxic", "terms"])
-    seen = held.mapInArrow(incidence, "toxic int, terms array<string>") \
-        .groupBy("toxic", "terms").count().collect()
-    return choose_terms([(r["toxic"], r["terms"], r["count"]) for r in seen])
-
-
-def choose_terms(rows: list[tuple[int, list[str], int]]) -> list[tuple[str, bool, bool]]:
-    """Greedy cover: each step takes the term that best tells apart the rows
-    that fewer than ``COVER`` terms hold; of stems with equal support the longest, a whole word before a
-    stem."""
-    pos, neg = Counter(), Counter()
-    holders = defaultdict(list)
-    for i, (y, terms, n) in enumerate(rows):
-        for t in terms:
-            holders[t].append(i)
-            (pos if y else neg)[t] += n
-    left_pos = sum(n for y, _, n in rows if y)
-    left_neg = sum(n for y, _, n in rows if not y)
-    all_pos, all_neg = left_pos, left_neg
-    base = (left_pos + 0.5) / (left_pos + left_neg + 1)
-    held, chosen = Counter(), []
-
-    def covered(t):  # a chosen term begins with it, or the other way round
-        bare = t.rstrip("$")
-        return any(c.startswith(bare) or bare.startswith(c) for c in (x.rstrip("$") for x in chosen))
-    while len(chosen) < LEXICON:
-        def gain(t):
-            p, n = pos[t], neg[t]
-            if p * all_neg < n * all_pos:
-                return 0.0
-            rate = (p + 0.1) / (p + n + 0.2)
-            return p * math.log(rate / base) + n * math.log((1 - rate) / (1 - base)) if p >= MIN_SUPPORT else 0.0
-        scored = [(round(gain(t), 6), t.endswith("$"), len(t), t) for t in holders if not covered(t)]
-        if not scored or (top := max(scored))[0] < MIN_GAIN:
+                [pc.greater(b.column("toxic"), 0), pa.array(half, pa.int8()), pa.array(found, pa.binary())],
+                ["toxic", "half", "terms"])
+    seen = held.mapInArrow(incidence, "toxic boolean, half tinyint, terms binary").toArrow()
+    each_row = [np.frombuffer(t, kind) for t in seen.column("terms").to_pylist()]
+    return choose_terms(best, np.array(seen.column("toxic").to_pylist(), bool),
+                        np.array(seen.column("half").to_pylist(), np.int8), each_row, least)
+
+
+def choose_terms(terms: list[str], toxic: np.ndarray, half: np.ndarray, rows: list[np.ndarray],
+                 least: float) -> list[tuple[str, bool, bool]]:
+    """Greedy choice: each step takes the term with the most log-likelihood on
+    the rows that fewer than ``COVER`` chosen terms hold, until none adds
+    ``least``. A term must gain on both halves of the rows, so that what one half
+    shows by chance is not taken. ``rows`` holds the numbers of each row's terms.
+    Of terms with equal gain a whole word comes before a stem, then the longest."""
+    m = len(terms)
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.uint16)
+    row_of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    order = np.argsort(flat, kind="stable")
+    holders, starts = row_of[order], np.searchsorted(flat[order], np.arange(m + 1))
+    group = half.astype(np.int64) * 2 + toxic              # (half, label)
+    sizes = np.bincount(group, minlength=4).astype(float)
+    seen = np.bincount(group[row_of] * m + flat, minlength=4 * m).reshape(4, m).astype(float)
+    all_pos, all_neg = sizes[1] + sizes[3], sizes[0] + sizes[2]
+    base = (all_pos + 0.5) / (all_pos + all_neg + 1)
+    held, free, chosen = np.zeros(len(rows), np.int64), np.ones(m, bool), []
+
+    def gain(p, n):
+        rate = (p + 0.1) / (p + n + 0.2)
+        got = p * np.log(rate / base) + n * np.log((1 - rate) / (1 - base))
+        return np.where(p * all_neg < n * all_pos, 0.0, got)
+    while True:
+        p, n = seen[1] + seen[3], seen[0] + seen[2]
+        ok = free & (p >= MIN_SUPPORT) & (gain(seen[1], seen[0]) > 0) & (gain(seen[3], seen[2]) > 0)
+        total = np.where(ok, np.round(gain(p, n), 6), 0.0)
+        if not m or (top := total.max()) < least:
             break
-        term = top[3]
-        chosen.append(term)
-        for i in holders[term]:
-            held[i] += 1
-            if held[i] == COVER:
-                y, terms, n = rows[i]
-                for t in terms:
-                    (pos if y else neg)[t] -= n
+        at = max(np.flatnonzero(total == top), key=lambda i: (terms[i].endswith("$"), len(terms[i]), terms[i]))
+        chosen.append(terms[at])
+        bare = terms[at].rstrip("$")
+        for i in np.flatnonzero(free):                     # one begins with the other
+            t = terms[i].rstrip("$")
+            free[i] = not (t.startswith(bare) or bare.startswith(t))
+        mine = holders[starts[at]:starts[at + 1]]
+        held[mine] += 1
+        for i in mine[held[mine] == COVER]:
+            seen[group[i], rows[i]] -= 1
     return [(t.rstrip("$"), not t.endswith("$"), len(t.rstrip("$")) >= MIN_FUZZY) for t in chosen]
 
 
