@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import (credentials, decontaminate, html_extract, line_dedup, minhash, packing, pii,
-                          preference, topk, toxicity)
+from eventide.llm import (credentials, decontaminate, html_extract, importance, jaccard_join, line_dedup, minhash,
+                          packing, periodic_runs, pii, preference, topk, toxicity)
 from eventide.sources.records import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,80 @@ def op10_secrets(spark, sf):
                       count("hex").alias("n_hex"),
                       F.sha2(written_out(F.filter("spans", lambda s: s["kind"] != "format")), 256).alias("base_sha256"),
                       written_out(F.col("spans")).alias("spans"))
+
+
+# tab: the 256 remainders of CRC-32; w: words of either table; crc: the bucket of
+# each distinct word, byte by byte.
+IMPORTANCE_SQL = f"""
+WITH tab AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i:
+                 CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+             FROM (SELECT unnest(range(256)) AS b)),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS w FROM d),
+bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), {UPPER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark),
+crc AS (SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h) // 2 + 1),
+                 lambda i: CAST('0x' || h[2 * i - 1:2 * i] AS BIGINT))),
+                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+        FROM (SELECT DISTINCT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM bw)), tab),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN crc USING (w) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN crc USING (w) GROUP BY 1),
+al AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS s_all, (SELECT coalesce(sum(t), 0) FROM t) AS t_all),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (s_all + 10000) AS DOUBLE)
+                 / CAST((coalesce(s, 0) + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS g
+         FROM s FULL JOIN t USING (bucket), al),
+wt AS (SELECT doc_id, count(*) AS n, CAST(floor(sum(g) / count(*)) AS BIGINT) AS weight
+       FROM dw JOIN crc USING (w) JOIN gain USING (bucket) GROUP BY 1),
+sc AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+              coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE)
+                  / 4294967296))) AS BIGINT) AS score
+       FROM d LEFT JOIN wt USING (doc_id)),
+rk AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM sc WHERE n_features >= 20),
+n AS (SELECT count(*) * 10 // 100 AS k FROM rk)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN rank <= k THEN rank END AS rank
+FROM sc LEFT JOIN rk USING (doc_id), n"""
+
+
+def linked_sql(width: int, columns: str) -> str:
+    """sh: distinct shingles; k: a class per distinct set; l: links of classes that
+    share a shingle; reach: least class label, by rounds."""
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - {width - 1}, 1) + 1 END),
+        lambda i: array_to_string(w[i:i + {width - 1}], ' ')))) AS s FROM w),
+k AS MATERIALIZED (SELECT min(doc_id) AS rep, s, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+t AS MATERIALIZED (SELECT rep, n, unnest(s) AS g FROM k),
+l AS MATERIALIZED (SELECT a.rep AS a, b.rep AS b FROM t a JOIN t b ON a.g = b.g AND a.rep <> b.rep
+      AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+      GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT rep, rep AS comp FROM k
+          UNION SELECT l.b, reach.comp FROM reach JOIN l ON l.a = reach.rep WHERE reach.comp < l.b),
+comp AS (SELECT rep, min(comp) AS comp FROM reach GROUP BY rep)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(comp, s.doc_id) AS component_id{columns}
+FROM s LEFT JOIN k ON k.s = s.s LEFT JOIN comp ON comp.rep = k.rep"""
+
+
+@query("op11_jaccard_join", linked_sql(4, ""))
+def op11_jaccard_join(spark, sf):
+    return jaccard_join.jaccard_classes(read_table(spark, sf, "documents"))
+
+
+@query("op12_importance", IMPORTANCE_SQL)
+def op12_importance(spark, sf):
+    got = importance.resample(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+    return got.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf):
+    got = periodic_runs.periodic_runs(read_table(spark, sf, "documents"), prepare=periodic_runs.planted)
+    # arrays compare field by field: the longest run, then the least start and period
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    best = F.array_max(order)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                     r["period"].cast("string")))
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return got.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
