@@ -19,13 +19,15 @@ cost one row.
 3. Windows. By the triangle inequality linked documents differ by at most eps in
    their distance to a pivot. The other regions are cut into shells of width eps;
    a document goes to its own shell and, as a guest, to the next one inwards. The
-   documents proven far are one shell, whose guests lie at 2 * eps or more.
+   documents proven far are one shell, whose guests lie at 2 * eps or more. In
+   shells of up to ``TRIED`` documents those without a possible partner by size,
+   distance and bitmap leave before any set moves.
 4. Recursion. Inside a shell further pivots, each farthest from the earlier ones,
    make Voronoi cells: a document is at home with its nearest pivot and replicated
    to every pivot at most 2 * eps farther away, so two linked documents meet where
    either is at home. Cells are split again until their documents hang together or
    few are left; those are compared in pairs, leaving out what sizes or parity
-   bitmaps (each shingle flips one of 1,024 bits) rule out. A cell whose documents
+   bitmaps (each shingle flips one bit) rule out. A cell whose documents
    all lie alike to all pivots cannot be split and is compared so as well: its work
    grows with its square, with no cap. Shells above ``CELL`` shingles are cut into
    blocks, and each pair of blocks is one task's work, so memory is bounded.
@@ -60,7 +62,8 @@ MARKS = 1 << 22         # bits of a bitmap of shingles or sets
 CELL = 1 << 21          # shingles that one task joins at a time
 LEAF = 200              # documents compared in pairs
 PIVOTS = 8              # pivots of a cell
-PARITY = 1024
+PARITY = 1024           # bits of a bitmap, at least
+TRIED = 1000            # documents of a shell whose bitmaps one task compares
 OUTSIDE = 1000          # the shell of the documents far from a pivot
 SLACK = 1e-9            # distances are rounded; windows are wider by this
 PIECE = 1 << 20         # bytes of text hashed at a time
@@ -155,11 +158,32 @@ def set_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
-    odd = np.bincount((shingles & _U(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+def parity(shingles: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """A bitmap in which each shingle flips one bit; a power of two of bits, at
+    least two a shingle. Half as many bits are the exclusive or of its halves."""
+    bits = bits or max(PARITY, 1 << (2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(_U)
 
 
+def _folded(maps: list[np.ndarray]) -> np.ndarray:
+    least = min(map(len, maps))
+    return np.stack([np.bitwise_xor.reduce(m.reshape(-1, least), axis=0) for m in maps])
+
+
+def _apart(one, other):
+    """Bits in which two parity bitmaps differ, folded to one size; null where
+    the sizes are more than a factor of four apart."""
+    size = F.least(F.size(one), F.size(other))
+
+    def fold(m):
+        half = (F.size(m) / 2).cast("int")
+        return F.when(F.size(m) > size, F.zip_with(
+            F.slice(m, F.lit(1), half), F.slice(m, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(m)
+    differ = F.zip_with(fold(fold(F.col(one))), fold(fold(F.col(other))), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differ, F.lit(0), lambda a, x: a + x)
+
+
 def prefix(n: int, threshold: int) -> int:
     """Of two linked sets of at most ``n`` shingles in one order, so many first
     ones have one in common."""
@@ -237,9 +261,12 @@ def sets_of(documents: DataFrame, keys: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            key, sets, total = [], [], 0
+            key, sets, total, had = [], [], 0, set()
             for s in shingle_sets(b.column("text").to_pylist(), width):
                 k = set_key(s)
+                if k in had:
+                    continue
+                had.add(k)
                 if len(s) and _has(wanted, np.array([_key_place(k)]))[0]:
                     key.append(k)
                     sets.append(s)
@@ -263,7 +290,6 @@ class _Joined:
         first: dict = {}
         self.up = [first.setdefault(g, i) for i, g in enumerate(groups)]
         self.links: list[tuple[int, int]] = []
-        self._bits: np.ndarray | None = None
 
     def root(self, i: int) -> int:
         while self.up[i] != i:
@@ -321,18 +347,14 @@ class _Joined:
             else:
                 todo += [rows[c] for c in cells]
 
-    def parity(self) -> np.ndarray:
-        if self._bits is None:
-            self._bits = np.stack([parity(s) for s in self.sets])
-        return self._bits
-
     def compare(self, rows: np.ndarray, dist: np.ndarray | None = None):
         """Every pair that may change anything and that sizes, distances to pivots
         and parity bitmaps leave."""
-        bits, t = self.parity(), self.threshold
+        t = self.threshold
         order = np.argsort(self.size[rows], kind="stable")
         rows, dist = rows[order], None if dist is None else dist[:, order]
         size = self.size[rows]
+        bits = _folded([parity(self.sets[i]) for i in rows])
         for x, i in enumerate(rows.tolist()):
             end = int(np.searchsorted(size, 100 * size[x] // t, "right"))
             others = np.arange(x + 1, end)
@@ -341,7 +363,7 @@ class _Joined:
             if not len(others):
                 continue
             # |A xor B| <= total * (100 - t) / (100 + t) for every link
-            apart = np.bitwise_count(bits[rows[others]] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            apart = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
             for j in rows[others[apart * (100 + t) <= (size[others] + size[x]) * (100 - t)]].tolist():
                 if self.root(i) != self.root(j):
                     both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
@@ -349,12 +371,46 @@ class _Joined:
                         self.link(i, j)
 
 
+def _cells_of(table: pa.Table) -> list[np.ndarray]:
+    """The rows of each cell (pivot, shell) of a table."""
+    cell = np.unique(np.array([f"{p.hex()}:{s}" for p, s in zip(
+        table.column("pivot").to_pylist(), table.column("shell").to_pylist(), strict=True)]), return_inverse=True)[1]
+    order = np.argsort(cell, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(cell[order])) + 1)
+
+
+def _may_link(threshold: int):
+    """Of each cell the documents that sizes, distances to the pivot and parity
+    bitmaps leave a possible partner."""
+    eps = 1 - threshold / 100
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        size, comp = table.column("n").to_numpy().astype(np.int64), table.column("comp").to_numpy()
+        dist = table.column("d").to_numpy(zero_copy_only=False)       # nan: far
+        maps, left = table.column("parity"), np.zeros(len(size), bool)
+        for rows in _cells_of(table):
+            rows = rows[np.argsort(size[rows], kind="stable")]
+            bits = _folded([maps[int(i)].values.to_numpy().view(_U) for i in rows])
+            n = size[rows]
+            for x, i in enumerate(rows.tolist()):
+                others = np.arange(x + 1, int(np.searchsorted(n, 100 * n[x] // threshold, "right")))
+                j = rows[others]
+                others = others[(comp[j] != comp[i]) & ~(np.abs(dist[j] - dist[i]) > eps + SLACK)]
+                if not len(others):
+                    continue
+                apart = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
+                hit = rows[others[apart * (100 + threshold) <= (n[others] + n[x]) * (100 - threshold)]]
+                left[hit] = True
+                left[i] |= bool(len(hit))
+        return table.select(["pivot", "shell", "set_key", "n", "comp"]).filter(pa.array(left))
+    return run
+
+
 def _cell_links(threshold: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         key, group = table.column("set_key").to_pylist(), table.column("comp").to_pylist()
-        cell = np.unique(np.array([f"{p.hex()}:{s}" for p, s in zip(
-            table.column("pivot").to_pylist(), table.column("shell").to_pylist(), strict=True)]), return_inverse=True)[1]
         where: dict[bytes, int] = {}
         at = np.array([where.setdefault(k, len(where)) for k in key], np.int64)
         lists, sets, groups = table.column("shingles"), [], []
@@ -362,8 +418,7 @@ def _cell_links(threshold: int):
             sets.append(lists[int(i)].values.to_numpy().view(_U))
             groups.append(group[i])
         joined = _Joined(sets, groups, threshold)
-        order = np.argsort(cell, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
+        for rows in _cells_of(table):
             joined.join(np.unique(at[rows]))
         keys = list(where)
         return pa.table({"a": pa.array([keys[i] for i, _ in joined.links], pa.binary()),
@@ -396,10 +451,9 @@ def jaccard_classes(documents: DataFrame, threshold: int = THRESHOLD, width: int
     pivots = members.join(score, "set_key").groupBy("token", "span").agg(
         F.max(F.struct("score", "set_key")).alias("p")).select("token", "span", F.col("p.set_key").alias("pivot"))
     brief = classes.select("set_key", "n", "parity")
-    apart = F.aggregate(F.zip_with("pp", "parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
     around = written(members.join(pivots, ["token", "span"]).where("pivot <> set_key").select(
         "pivot", "set_key").distinct().join(brief, "set_key").join(
-        brief.toDF("pivot", "np", "pp"), "pivot").withColumn("apart", apart).select(
+        brief.toDF("pivot", "np", "pp"), "pivot").withColumn("apart", F.coalesce(_apart("pp", "parity"), F.lit(0))).select(
         "pivot", "set_key", "np", "n",
         (2 * F.col("apart") / (F.col("np") + F.col("n") + F.col("apart"))).alias("least")), "around")
     far = F.col("least") >= 3 * eps
@@ -442,7 +496,17 @@ def jaccard_classes(documents: DataFrame, threshold: int = THRESHOLD, width: int
         F.col("d") >= 2 * eps - SLACK, F.concat(F.sequence(inner, own), F.array(F.lit(OUTSIDE)))).otherwise(
         F.sequence(inner, own))
     shells = placed.join(mixed(placed, "pivot").select("pivot"), "pivot").withColumn("shell", F.explode(at))
-    cells = written(shells.join(mixed(shells, "pivot", "shell"), ["pivot", "shell"]), "cells")
+    # small shells first lose the documents without a possible partner: bitmaps move, no sets
+    sizes = shells.groupBy("pivot", "shell").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows")).where("lo <> hi")
+    tried = written(shells.join(sizes.select("pivot", "shell", "rows"), ["pivot", "shell"]), "shells")
+    some = F.col("rows") <= TRIED
+    bin_of = F.pmod(F.xxhash64("pivot", "shell"), F.lit(max(1, tried.where(some).count() // (4 * TRIED))))
+    able = tried.where(some).join(classes.select("set_key", "parity"), "set_key").withColumn("bin", bin_of).groupBy(
+        "bin").applyInArrow(lambda t: _may_link(threshold)(t),
+                            "pivot binary, shell int, set_key binary, n long, comp long")
+    left = written(able.unionByName(tried.where(~some).select("pivot", "shell", "set_key", "n", "comp")), "left")
+    cells = written(left.join(mixed(left, "pivot", "shell"), ["pivot", "shell"]), "cells")
     total = cells.agg(F.sum("n")).first()[0]
     if total:
         bins = max(1, total // CELL)

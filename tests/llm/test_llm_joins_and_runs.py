@@ -72,7 +72,7 @@ def near_copies(n, rng):
 
 @pytest.mark.parametrize(("threshold", "leaf", "cell", "common"), [(85, 200, 1 << 21, 64), (85, 3, 150, 3), (70, 4, 400, 5)])
 def test_jaccard_classes_equal_brute_force(spark, monkeypatch, threshold, leaf, cell, common):
-    for name, value in (("LEAF", leaf), ("CELL", cell), ("COMMON", common), ("PIVOTS", 3)):
+    for name, value in (("LEAF", leaf), ("CELL", cell), ("COMMON", common), ("PIVOTS", 3), ("TRIED", 1000 if leaf == 200 else 12)):
         monkeypatch.setattr(jaccard_join, name, value)
     rng = random.Random(threshold + leaf)
     passage = words(25, rng)
