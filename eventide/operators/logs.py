@@ -120,6 +120,13 @@ def pv_uv_sets(parsed: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
 
 
+def counter_key():
+    """Name of a page-view counter of :func:`pv_uv_sets`; null for a member row."""
+    return (F.when(F.col("gid") == GID_PV_HOUR, F.concat(F.lit(PV_PREFIX), "hour"))
+            .when(F.col("gid") == GID_PV_SITE_HOUR,
+                  F.concat(F.lit(SITE_PV_PREFIX), "site_id", F.lit("_"), "hour")))
+
+
 def metric_keys(parsed: DataFrame) -> DataFrame:
     """All J5 metrics as flat ``(metric_key, n)`` rows, from one scan.
 
@@ -130,10 +137,8 @@ def metric_keys(parsed: DataFrame) -> DataFrame:
     let Catalyst push each filter below the aggregate: three scans.)
     """
     g = pv_uv_sets(parsed)
-    is_pv, is_site = F.col("gid") == GID_PV_HOUR, F.col("gid") == GID_PV_SITE_HOUR
-    key = (F.when(is_pv, F.concat(F.lit(PV_PREFIX), "hour"))
-            .when(is_site, F.concat(F.lit(SITE_PV_PREFIX), "site_id", F.lit("_"), "hour"))
-            .otherwise(F.concat(F.lit(UV_PREFIX), "day")))
-    contrib = F.when(is_pv | is_site, F.col("n")).otherwise(F.lit(1).cast("bigint"))
+    member = F.col("gid") == GID_UV_MEMBER
+    key = F.when(member, F.concat(F.lit(UV_PREFIX), "day")).otherwise(counter_key())
+    contrib = F.when(member, F.lit(1).cast("bigint")).otherwise(F.col("n"))
     return (g.select(key.alias("metric_key"), contrib.alias("c"))
             .groupBy("metric_key").agg(F.sum("c").alias("n")))

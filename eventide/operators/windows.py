@@ -43,16 +43,35 @@ def sliding_mean(reads: DataFrame, length: int = WINDOW_SECONDS, slide: int = SL
         w = F.window(ts, f"{length} seconds", f"{slide} seconds")
         return (reads.groupBy(w.start.alias("window_start"), "day")
                 .agg(F.avg("reading").alias("mean")))
+    return window_means(bucket_sums(reads, length, slide, ts), length, slide)
+
+
+def bucket_sums(reads: DataFrame, length: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS,
+                ts: str = "ts") -> DataFrame:
+    """(bucket, day, s, c): sum and count per ``gcd(length, slide)`` seconds. Two
+    such tables of different records add up (:func:`merge_buckets`)."""
     g = math.gcd(length, slide)
-    fan = math.ceil(length / slide)
-    buckets = (reads.groupBy(F.window(ts, f"{g} seconds").start.alias("bucket"), "day")
-               .agg(F.sum("reading").alias("s"), F.count(F.lit(1)).alias("c")))
-    # latest window start at or before the bucket, then `fan` earlier ones
-    last_start = F.window("bucket", f"{slide} seconds").start
-    starts = F.transform(F.sequence(F.lit(0), F.lit(fan - 1)),
-                         lambda i: last_start - _seconds(i * slide))
+    return (reads.groupBy(F.window(ts, f"{g} seconds").start.alias("bucket"), "day")
+            .agg(F.sum("reading").alias("s"), F.count(F.lit(1)).alias("c")))
+
+
+def merge_buckets(stored: DataFrame, delta: DataFrame) -> DataFrame:
+    """Buckets of earlier records and of new ones as one table."""
+    return stored.unionByName(delta).groupBy("bucket", "day").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+
+
+def windows_over(bucket: str, length: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS) -> Column:
+    """Starts of the windows that may hold a bucket: the latest start at or before
+    it, then the ``ceil(length / slide) - 1`` earlier ones."""
+    last_start = F.window(bucket, f"{slide} seconds").start
+    return F.transform(F.sequence(F.lit(0), F.lit(math.ceil(length / slide) - 1)),
+                       lambda i: last_start - _seconds(i * slide))
+
+
+def window_means(buckets: DataFrame, length: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS) -> DataFrame:
+    """Mean per (window_start, day) from bucket sums."""
     fanned = (buckets.select("day", "s", "c", "bucket",
-                             F.explode(starts).alias("window_start"))
+                             F.explode(windows_over("bucket", length, slide)).alias("window_start"))
               .where(F.col("window_start") + _seconds(F.lit(length)) > F.col("bucket")))
     # hashed by the window alone: the aggregate per day and the one per window
     # that may follow both keep this partitioning
@@ -60,6 +79,17 @@ def sliding_mean(reads: DataFrame, length: int = WINDOW_SECONDS, slide: int = SL
             .agg((F.sum("s") / F.sum("c")).alias("mean")))
 
 
+def changed_windows(stored: DataFrame, delta: DataFrame, length: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS,
+                    threshold: float = ALERT_THRESHOLD) -> DataFrame:
+    """The alert rows (window_start, data, result) of the windows that hold a bucket
+    of ``delta``, from all their buckets: what an incremental view has to replace,
+    whether the new records are late or not."""
+    touched = delta.select(F.explode(windows_over("bucket", length, slide)).alias("window_start"), "bucket").where(
+        F.col("window_start") + _seconds(F.lit(length)) > F.col("bucket")).select("window_start").distinct()
+    means = window_means(merge_buckets(stored, delta), length, slide)
+    return windowed_alert(means.join(touched, "window_start", "left_semi"), threshold)
+
+
 def threshold_flag(means: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
     """``(day, mean > 22)`` per window."""
     return means.select("window_start", "day", (F.col("mean") > F.lit(threshold)).alias("flag"))

@@ -1,4 +1,4 @@
-"""Bounded runs of J3 and J4 that write to a database.
+"""Bounded runs of J3, J4 and J5 that write to a database.
 
 Results, positions and a guard row go into the database in one transaction:
 either all of a run is there or nothing of it. Spark loads the run's rows into
@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.operators import offsets, tokens, values, windows
+from eventide.operators import logs, offsets, tokens, values, windows
 from eventide.session import stored
 from eventide.sinks import jdbc
 from eventide.sources import relations
@@ -28,6 +28,10 @@ GUARD, LEDGER = "applied_runs", "consumer_ledger"
 # J3's position is the start of the next window to write, in epoch seconds.
 WINDOW_TOPIC = "window_start"
 CONNECTIONS = 8
+# Targets of J5 (counters by metric key, set members) and of J3's incremental view
+# (sums and counts per bucket, one alert row per window).
+COUNTERS, MEMBERS = "pv_counters", "uv_members"
+BUCKETS, WINDOWS = "alert_buckets", "alert_windows"
 
 
 def table_sql(totals: str = "wordcount", alerts: str = "alerts") -> list[str]:
@@ -39,6 +43,12 @@ def table_sql(totals: str = "wordcount", alerts: str = "alerts") -> list[str]:
         "PRIMARY KEY (module, grp, topic, partition_id))",
         f"CREATE TABLE {totals} (word VARCHAR(512) NOT NULL PRIMARY KEY, cnt BIGINT NOT NULL)",
         f"CREATE TABLE {alerts} (data VARCHAR(512), result VARCHAR(8))",
+        f"CREATE TABLE {COUNTERS} (metric_key VARCHAR(512) NOT NULL PRIMARY KEY, n BIGINT NOT NULL)",
+        f"CREATE TABLE {MEMBERS} (day_key VARCHAR(32) NOT NULL, user_id VARCHAR(512) NOT NULL, "
+        "PRIMARY KEY (day_key, user_id))",
+        f"CREATE TABLE {BUCKETS} (bucket_start BIGINT NOT NULL, day_key VARCHAR(32) NOT NULL, "
+        "total BIGINT NOT NULL, readings BIGINT NOT NULL, PRIMARY KEY (bucket_start, day_key))",
+        f"CREATE TABLE {WINDOWS} (window_start BIGINT NOT NULL PRIMARY KEY, data VARCHAR(512), result VARCHAR(8))",
     ]
 
 
@@ -52,6 +62,8 @@ class Run:
         applied = relations.jdbc_table(spark, options, table=GUARD).where(F.col("job") == job)
         self.run_id = (applied.agg(F.max("run_id")).first()[0] or 0) + 1
         self.attempt = uuid.uuid4().hex[:8]
+        self.affected: list[int] = []   # rows changed per fold, of a committed run
+        self.left: list[str] = []       # staging tables that could not be dropped
         ledger = relations.jdbc_table(spark, options, table=LEDGER)
         self.positions = ledger.where((F.col("module") == module) & (F.col("grp") == grp)).select(
             "module", "grp", "topic", F.col("partition_id").alias("partition"), "until_offset")
@@ -60,22 +72,41 @@ class Run:
         """Two runs that took one number still stage apart."""
         return f"{table}_{self.run_id}_{self.attempt}"
 
-    def commit(self, rows: DataFrame, target: str, fold: Callable[[str], str], ends: DataFrame,
-               connect: Callable[[], object], dialect: str, column_types: str | None = None) -> bool:
+    def commit(self, rows: DataFrame, target: str, fold: Callable[[str], str | list[str]], ends: DataFrame,
+               connect: Callable[[], object], dialect: str, column_types: str | None = None,
+               more: tuple[tuple[DataFrame, str, Callable[[str], str], str | None], ...] = ()) -> bool:
         """Stage ``rows`` and the new positions ``ends`` (topic, partition,
-        until_offset), then fold both in under the guard."""
+        until_offset), then fold all in under the guard. ``fold`` gives one or
+        several statements over the staged rows; ``more`` lists further (rows,
+        target, fold, column types) of the same transaction."""
         ledger = ends.select(F.lit(self.module).alias("module"), F.lit(self.grp).alias("grp"), "topic",
                              F.col("partition").alias("partition_id"), "until_offset")
-        at, ledger_at = self.staging(target), self.staging(LEDGER)
-        jdbc.stage(rows, self.options, at, column_types, numPartitions=self.connections)
+        staged, statements = [], []
+        for df, name, f, types in ((rows, target, fold, column_types), *more):
+            at = self.staging(name)
+            jdbc.stage(df, self.options, at, types, numPartitions=self.connections)
+            got = f(at)
+            statements += [got] if isinstance(got, str) else got
+            staged.append(at)
+        ledger_at = self.staging(LEDGER)
         jdbc.stage(ledger, self.options, ledger_at, "module VARCHAR(128), grp VARCHAR(128), topic VARCHAR(256)",
                    numPartitions=1)
-        merge = jdbc.merge_sql(LEDGER, ledger_at, ["module", "grp", "topic", "partition_id"],
-                               replace=["until_offset"], dialect=dialect)
-        done = jdbc.commit_run(connect, GUARD, self.job, self.run_id, [fold(at), merge])
-        jdbc.drop_tables(connect, [at, ledger_at])  # those of a crashed run stay, under its own names
+        statements.append(jdbc.merge_sql(LEDGER, ledger_at, ["module", "grp", "topic", "partition_id"],
+                                         replace=["until_offset"], dialect=dialect))
+        done = jdbc.commit_run(connect, GUARD, self.job, self.run_id, statements, self.affected)
+        # tables of a crashed run stay, under its own names
+        self.left = jdbc.drop_tables(connect, [*staged, ledger_at])
         return done
 
+    def pending(self, records: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+        """(records past the stored positions, their new positions); None if there
+        are none. ``records`` must be bounded with fixed ends (a file list or pinned
+        Kafka offsets)."""
+        due = offsets.resume_scan(records, self.positions)
+        ends = stored(due.groupBy("topic", "partition").agg(
+            (F.max("offset") + 1).alias("until_offset")), "jdbc-ends")
+        return None if ends.isEmpty() else (due, ends)
+
 
 def write_totals(run: Run, records: DataFrame, connect: Callable[[], object], table: str = "wordcount",
                  dialect: str = "ansi") -> bool:
@@ -83,13 +114,11 @@ def write_totals(run: Run, records: DataFrame, connect: Callable[[], object], ta
     False when nothing was pending or another run took this number. A word
     longer than the key column fails the run; nothing is cut.
 
-    ``records`` must be bounded with fixed ends (a file list or pinned Kafka
-    offsets); only counts and positions are stored on the way."""
-    pending = offsets.resume_scan(records, run.positions)
-    ends = stored(pending.groupBy("topic", "partition").agg(
-        (F.max("offset") + 1).alias("until_offset")), "jdbc-ends")
-    if ends.isEmpty():
+    Only counts and positions are stored on the way."""
+    due = run.pending(records)
+    if due is None:
         return False
+    pending, ends = due
     counts = tokens.running_total(tokens.tokenize(pending))
     return run.commit(counts, table, lambda s: jdbc.merge_sql(table, s, ["word"], add=["cnt"], dialect=dialect),
                       ends, connect, dialect, f"word {jdbc.DEFAULT_STRING_TYPE}")
@@ -117,3 +146,65 @@ def write_alerts(run: Run, records: DataFrame, connect: Callable[[], object], ta
                                      F.lit(upto).cast("long").alias("until_offset"))
     return run.commit(rows, table, lambda s: jdbc.insert_sql(table, s, ["data", "result"]), ends, connect, dialect,
                       "data VARCHAR(512), result VARCHAR(8)")
+
+
+def write_pv_uv(run: Run, records: DataFrame, connect: Callable[[], object], table: str = COUNTERS,
+                dialect: str = "ansi") -> bool:
+    """J5: adds the page views of every log line past the stored positions to the
+    counters, its users to the set of their day, and moves the positions, all in one
+    transaction. False when nothing was pending or another run took this number.
+
+    One aggregate over one parse of the lines gives both kinds of rows, staged in
+    one table: counters with a ``metric_key``, members without. A day's unique users
+    are its rows in ``uv_members``."""
+    due = run.pending(records)
+    if due is None:
+        return False
+    pending, ends = due
+    rows = logs.pv_uv_sets(logs.parse_log(pending))
+    member = F.col("gid") == logs.GID_UV_MEMBER
+    rows = rows.select(logs.counter_key().alias("metric_key"), F.when(~member, F.col("n")).alias("n"),
+                       F.when(member, F.col("day")).alias("day_key"),
+                       F.when(member, F.col("user_id")).alias("user_id"))
+
+    def fold(at: str) -> list[str]:
+        return [jdbc.merge_sql(table, at, ["metric_key"], add=["n"], dialect=dialect, where="metric_key IS NOT NULL"),
+                jdbc.add_members_sql(MEMBERS, at, ["day_key", "user_id"], "metric_key IS NULL")]
+    return run.commit(rows, table, fold, ends, connect, dialect,
+                      f"metric_key {jdbc.DEFAULT_STRING_TYPE}, day_key VARCHAR(32), user_id {jdbc.DEFAULT_STRING_TYPE}")
+
+
+def write_alert_view(run: Run, records: DataFrame, connect: Callable[[], object], table: str = WINDOWS,
+                     dialect: str = "ansi", length: int = windows.WINDOW_SECONDS,
+                     slide: int = windows.SLIDE_SECONDS) -> bool:
+    """J3 as an incremental view: one alert row per window that any record fell in
+    so far. The sums and counts per bucket of all earlier runs are kept in the
+    database; the records past the stored positions add to them, and every window
+    that holds a changed bucket is computed again and replaces its row. Records that
+    come late, or runs that stop anywhere, end in the rows of one batch over all.
+
+    Buckets outside the changed ones' time span, a window's length wider on both
+    sides, are not read. Integer sums make the order of runs irrelevant."""
+    due = run.pending(records)
+    if due is None:
+        return False
+    pending, ends = due
+    seconds = F.unix_seconds(F.col("bucket").cast("timestamp"))
+    delta = stored(windows.bucket_sums(values.readings(pending), length, slide).withColumn(
+        "bucket", F.col("bucket").cast("timestamp")), "jdbc-buckets")
+    lo, hi = delta.agg(F.min(seconds), F.max(seconds)).first()
+    kept = relations.jdbc_table(run.spark, run.options, table=BUCKETS).where(
+        F.col("bucket_start").between(lo - length, hi + length)).select(
+        F.timestamp_seconds("bucket_start").alias("bucket"), F.col("day_key").alias("day"),
+        F.col("total").alias("s"), F.col("readings").alias("c"))
+    rows = windows.changed_windows(kept, delta, length, slide).select(
+        F.unix_seconds(F.col("window_start").cast("timestamp")).alias("window_start"), "data",
+        F.col("result").cast("string").alias("result"))
+    sums = delta.select(seconds.alias("bucket_start"), F.col("day").alias("day_key"), F.col("s").alias("total"),
+                        F.col("c").alias("readings"))
+    return run.commit(
+        rows, table, lambda at: jdbc.merge_sql(table, at, ["window_start"], replace=["data", "result"], dialect=dialect),
+        ends, connect, dialect, "data VARCHAR(512), result VARCHAR(8)",
+        more=((sums, BUCKETS, lambda at: jdbc.merge_sql(
+            BUCKETS, at, ["bucket_start", "day_key"], add=["total", "readings"], dialect=dialect),
+            "day_key VARCHAR(32)"),))

@@ -17,7 +17,7 @@ restart with the same name resumes where the last run committed.
     python -m eventide.plans.run j4 --source kafka --bootstrap host:9092 --topics test \
         --partitions 4 --sink jdbc --table wordcount --connect my_db:connect --name word-totals
 
-``--sink jdbc`` (j3, j4) is such a bounded run into a database; its settings
+``--sink jdbc`` (j3, j4, j5) is such a bounded run into a database; its settings
 come from ``eventide.jdbc.*`` or ``EVENTIDE_JDBC_*``.
 """
 
@@ -75,6 +75,11 @@ CATCH_UP = {
 }
 
 
+# job name -> bounded run into a database (one transaction per run)
+JDBC_JOBS = {"j3": jdbc_jobs.write_alert_view, "j4": jdbc_jobs.write_totals,
+             "j5-pv": jdbc_jobs.write_pv_uv, "j5-uv": jdbc_jobs.write_pv_uv}
+
+
 def _topic_partitions(args) -> dict[str, int]:
     return {t: args.partitions for t in args.topics.split(",")}
 
@@ -113,7 +118,7 @@ def catch_up(spark, args) -> int | None:
 
 
 def jdbc_run(spark, args) -> bool:
-    """One bounded run of j3 or j4 into the database that the session's JDBC
+    """One bounded run of j3, j4 or j5 into the database that the session's JDBC
     settings name."""
     module, _, name = args.connect.partition(":")
     connect = getattr(importlib.import_module(module), name or "connect")
@@ -122,7 +127,7 @@ def jdbc_run(spark, args) -> bool:
         records = kafka_batch_records(spark, _kafka_opts(args), run.positions, _topic_partitions(args), args.cap)
     else:
         records = spark.read.parquet(args.replay)
-    write = {"j3": jdbc_jobs.write_alerts, "j4": jdbc_jobs.write_totals}[args.job]
+    write = JDBC_JOBS[args.job]
     return write(run, records, connect, args.table, args.dialect)
 
 
@@ -216,8 +221,8 @@ def main(argv=None, spark=None):
     if args.source == "replay" and (args.assign or args.starting == "committed"):
         p.error("--assign and --starting committed are for Kafka")
     if args.sink == "jdbc":
-        if args.job not in ("j3", "j4") or not (args.table and args.connect):
-            p.error("--sink jdbc is for j3 and j4 and needs --table and --connect")
+        if args.job not in JDBC_JOBS or not (args.table and args.connect):
+            p.error("--sink jdbc is for j3, j4 and j5 and needs --table and --connect")
         if args.catch_up or args.available_now or args.rate or args.starting != "earliest":
             p.error("--sink jdbc is one bounded run from the positions in the database")
     if args.catch_up and args.rate:

@@ -38,24 +38,27 @@ def stage(df: DataFrame, options: dict[str, str], staging: str,
 
 
 def merge_sql(target: str, staging: str, keys: Sequence[str], add: Sequence[str] = (),
-              replace: Sequence[str] = (), dialect: str = "ansi") -> str:
+              replace: Sequence[str] = (), dialect: str = "ansi", where: str | None = None) -> str:
     """Fold ``staging`` into ``target``: ``add`` columns accumulate
     (``t.c = t.c + s.c``), ``replace`` columns take the staged value, missing
-    keys are inserted.
+    keys are inserted. ``where`` picks the staged rows that take part.
 
     ``ansi``: ``MERGE INTO`` (Derby, PostgreSQL 15+, Oracle, SQL Server, DB2);
     ``mysql``: ``INSERT ... SELECT ... ON DUPLICATE KEY UPDATE`` (needs a
     unique key on ``keys``).
     """
     cols = [*keys, *add, *replace]
+    part = f" WHERE {where}" if where else ""
     if dialect == "mysql":
         upd = [f"{c} = {target}.{c} + VALUES({c})" for c in add] + \
               [f"{c} = VALUES({c})" for c in replace]
         return (f"INSERT INTO {target} ({', '.join(cols)}) "
-                f"SELECT {', '.join(cols)} FROM {staging} "
+                f"SELECT {', '.join(cols)} FROM {staging}{part} "
                 f"ON DUPLICATE KEY UPDATE {', '.join(upd)}")
     if dialect != "ansi":
         raise ValueError(f"unknown dialect {dialect}")
+    if part:
+        staging = f"(SELECT {', '.join(cols)} FROM {staging}{part})"
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
     upd = [f"{c} = t.{c} + s.{c}" for c in add] + [f"{c} = s.{c}" for c in replace]
     return (f"MERGE INTO {target} t USING {staging} s ON {on} "
@@ -70,18 +73,28 @@ def insert_sql(target: str, staging: str, columns: Sequence[str]) -> str:
     return f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {staging}"
 
 
+def add_members_sql(target: str, staging: str, columns: Sequence[str], where: str) -> str:
+    """Add the staged members to a set table; those it holds already stay as they
+    are. Staged members are distinct."""
+    same = " AND ".join(f"t.{c} = s.{c}" for c in columns)
+    return (f"INSERT INTO {target} ({', '.join(columns)}) SELECT {', '.join('s.' + c for c in columns)} "
+            f"FROM {staging} s WHERE s.{where} AND NOT EXISTS (SELECT 1 FROM {target} t WHERE {same})")
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
 def commit_run(connect: Callable[[], object], guard: str, job: str, run_id: int,
-               statements: Sequence[str]) -> bool:
+               statements: Sequence[str], affected: list[int] | None = None) -> bool:
     """Run ``statements`` in one transaction unless (job, run_id) stands in the
     ``guard`` table, whose primary key is (job, run_id). Returns True when
     applied now.
 
     The guard row is inserted first: of two runs with one number, the second
     waits for the first's transaction, then fails on the key and rolls back.
+    ``affected`` gets the rows that each statement changed (-1 where the driver
+    does not say), once the transaction is committed.
     ``connect`` returns a DB-API 2.0 connection with autocommit off.
     """
     key = f"job = {_literal(job)} AND run_id = {int(run_id)}"
@@ -93,9 +106,13 @@ def commit_run(connect: Callable[[], object], guard: str, job: str, run_id: int,
             conn.rollback()
             return False
         cur.execute(f"INSERT INTO {guard} (job, run_id) VALUES ({_literal(job)}, {int(run_id)})")
+        changed = []
         for s in statements:
             cur.execute(s)
+            changed.append(int(getattr(cur, "rowcount", -1)))
         conn.commit()
+        if affected is not None:
+            affected[:] = changed
         return True
     except Exception:
         conn.rollback()
@@ -104,13 +121,18 @@ def commit_run(connect: Callable[[], object], guard: str, job: str, run_id: int,
         conn.close()
 
 
-def drop_tables(connect: Callable[[], object], tables: Sequence[str]) -> None:
-    """Drop a run's staging tables, in a transaction of their own."""
-    conn = connect()
-    try:
-        cur = conn.cursor()
-        for t in tables:
-            cur.execute(f"DROP TABLE {t}")
-        conn.commit()
-    finally:
-        conn.close()
+def drop_tables(connect: Callable[[], object], tables: Sequence[str]) -> list[str]:
+    """Drop a run's staging tables, each in a transaction of its own. Returns those
+    that could not be dropped: the run they belong to is applied all the same."""
+    left = []
+    for t in tables:
+        try:
+            conn = connect()
+            try:
+                conn.cursor().execute(f"DROP TABLE {t}")
+                conn.commit()
+            finally:
+                conn.close()
+        except Exception:  # any driver's error
+            left.append(t)
+    return left

@@ -234,6 +234,110 @@ def test_alerts_into_a_database_write_each_closed_window_once(spark, database):
     assert sorted(rows) == sorted(tuple(r) for r in windows.alert_rows(closed).collect())
 
 
+def _merged(target, rows, keys, add=()):
+    """What a staged MERGE leaves: ``add`` columns add up, others are replaced."""
+    for row in rows:
+        key = tuple(row[c] for c in keys)
+        old = target.get(key)
+        target[key] = {c: v + old[c] if old and c in add else v for c, v in row.items()}
+
+
+def test_pv_uv_into_a_database_in_overlapping_runs(spark, database):
+    """J5: counters, members and positions of uneven, overlapping runs equal the batch
+    result; of two runs with one number one is applied."""
+    recs = events_envelope(spark, SF01, "log", keep=())
+    counters, members = {}, set()
+    parts = (recs.where("partition < 2 and batch_id <= 1"), recs.where("partition <= 2"), recs)
+    for run_id, part in enumerate(parts, 1):
+        run, rival = (jdbc_jobs.Run(spark, {}, "pv", "m", "g") for _ in range(2))
+        assert run.run_id == rival.run_id == run_id
+        database.log.clear()
+        assert jdbc_jobs.write_pv_uv(run, part, database.connect) is True
+        at = run.staging(jdbc_jobs.COUNTERS)
+        assert database.log[1].startswith("INSERT INTO applied_runs")
+        assert database.log[2] == (
+            f"MERGE INTO pv_counters t USING (SELECT metric_key, n FROM {at} WHERE metric_key IS NOT NULL) s "
+            "ON t.metric_key = s.metric_key WHEN MATCHED THEN UPDATE SET n = t.n + s.n "
+            "WHEN NOT MATCHED THEN INSERT (metric_key, n) VALUES (s.metric_key, s.n)")
+        assert database.log[3] == (
+            f"INSERT INTO uv_members (day_key, user_id) SELECT s.day_key, s.user_id FROM {at} s WHERE s.metric_key "
+            "IS NULL AND NOT EXISTS (SELECT 1 FROM uv_members t WHERE t.day_key = s.day_key AND t.user_id = s.user_id)")
+        assert database.log[4].startswith("MERGE INTO consumer_ledger") and database.ended[-3:] == ["commit"] * 3
+        assert len(run.affected) == 3 and run.left == []
+        assert jdbc_jobs.write_pv_uv(rival, part, database.connect) is False   # the other's number is taken
+        staged = database.staged[at]
+        assert len({r[0] for r in staged if r[0]}) == sum(r[0] is not None for r in staged)
+        _merged(counters, ({"k": r[0], "n": r[1]} for r in staged if r[0] is not None), ["k"], ["n"])
+        members |= {r[2:] for r in staged if r[0] is None}
+        database.runs.append((run.job, run.run_id))
+        _merged(ledger := {tuple(r[:4]): dict(enumerate(r)) for r in database.positions},
+                (dict(enumerate(r)) for r in database.staged[run.staging(jdbc_jobs.LEDGER)]), [0, 1, 2, 3])
+        database.positions[:] = [tuple(r.values()) for r in ledger.values()]
+    parsed = logs.parse_log(recs)
+    want = {(logs.PV_PREFIX if r["site_id"] is None else f"{logs.SITE_PV_PREFIX}{r['site_id']}_") + r["hour"]: r["pv"]
+            for r in logs.pv_rollup(parsed).collect()}
+    assert {k[0]: v["n"] for k, v in counters.items()} == want
+    days = {r["day"]: r["uv"] for r in logs.uv_by_day(parsed).collect()}
+    assert {d: sum(m[0] == d for m in members) for d in days} == days
+    assert jdbc_jobs.write_pv_uv(jdbc_jobs.Run(spark, {}, "pv", "m", "g"), recs, database.connect) is False
+
+
+def test_alert_view_of_uneven_runs_with_late_records(spark, database, monkeypatch):
+    """J3: partition 3 comes whole only in the last run, so its records are late for
+    windows already written; they correct them."""
+    recs = events_envelope(spark, SF01, "reading", keep=()).withColumn("ts", F.col("ts").cast("timestamp"))
+    buckets, alerts, plain = {}, {}, jdbc_jobs.relations.jdbc_table
+
+    def table(session, options, table=None, **kw):
+        if table == jdbc_jobs.BUCKETS:
+            return spark.createDataFrame([tuple(r.values()) for r in buckets.values()],
+                                         "bucket_start long, day_key string, total long, readings long")
+        return plain(session, options, table=table, **kw)
+    monkeypatch.setattr(jdbc_jobs.relations, "jdbc_table", table)
+    changed = 0
+    for part in (recs.where("partition < 3 and batch_id <= 1"), recs.where("partition < 3 or batch_id = 0"), recs):
+        run = jdbc_jobs.Run(spark, {}, "alerts", "m", "g")
+        assert jdbc_jobs.write_alert_view(run, part, database.connect) is True
+        rows = [dict(zip(("window_start", "data", "result"), r, strict=True))
+                for r in database.staged[run.staging(jdbc_jobs.WINDOWS)]]
+        changed += sum(r["window_start"] in {k[0] for k in alerts} for r in rows)
+        _merged(alerts, rows, ["window_start"])
+        _merged(buckets, (dict(zip(("bucket_start", "day_key", "total", "readings"), r, strict=True))
+                          for r in database.staged[run.staging(jdbc_jobs.BUCKETS)]),
+                ["bucket_start", "day_key"], ["total", "readings"])
+        _apply(database, run)
+    want = windows.windowed_alert(windows.sliding_mean(values.readings(recs))).select(
+        F.unix_seconds("window_start"), "data", F.col("result").cast("string")).collect()
+    assert changed > 1000
+    assert sorted(tuple(r.values()) for r in alerts.values()) == sorted(tuple(r) for r in want)
+
+
+def test_a_staging_table_that_stays_is_no_failure(spark, database):
+    real = database.execute
+
+    def execute(sql):
+        if sql.startswith("DROP TABLE wordcount"):
+            raise RuntimeError("in use")
+        real(sql)
+    database.execute = execute
+    run = jdbc_jobs.Run(spark, {}, "totals", "m", "g")
+    assert jdbc_jobs.write_totals(run, _docs(spark), database.connect) is True
+    assert run.left == [run.staging("wordcount")]
+
+
+def test_rows_affected_are_reported():
+    class Cursor(_Database):
+        rowcount = 0
+
+        def execute(self, sql):
+            super().execute(sql)
+            self.rowcount = len(sql)
+    db, got = Cursor(), []
+    assert jdbc.commit_run(db.connect, "applied_runs", "j", 1, ["a", "bcd"], got) is True
+    assert got == [1, 3]
+    assert jdbc.commit_run(db.connect, "applied_runs", "j", 1, ["a"], got) is False and got == [1, 3]
+
+
 def test_run_options_of_bounded_and_seeded_reads(spark, tmp_dir, monkeypatch):
     from eventide.plans import run as cli
     seen = {}
