@@ -120,6 +120,38 @@ def pv_uv_sets(parsed: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
 
 
+# User ids that a bitmap can hold: whole numbers in plain notation, up to ten digits.
+PLAIN_ID = r"^(0|[1-9][0-9]{0,9})\z"
+
+
+def uv_bitmaps(members: DataFrame) -> DataFrame:
+    """The day's user sets as bitmaps: (day, bucket, members), one row per day and
+    32,768 ids. Rows (day, user_id) may repeat. Two such tables merge by a bitwise
+    or, so a set kept this way is never made distinct again."""
+    uid = F.col("user_id").try_cast("bigint")
+    return (members.where(F.col("user_id").rlike(PLAIN_ID))
+            .groupBy("day", F.bitmap_bucket_number(uid).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(uid)).alias("members")))
+
+
+def other_members(members: DataFrame) -> DataFrame:
+    """The distinct (day, user_id) that no bitmap holds."""
+    return members.where(~F.col("user_id").rlike(PLAIN_ID)).select("day", "user_id").distinct()
+
+
+def merge_bitmaps(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """``SADD`` of a batch onto stored bitmaps."""
+    return stored.unionByName(batch).groupBy("day", "bucket").agg(F.bitmap_or_agg("members").alias("members"))
+
+
+def uv_from_bitmaps(bitmaps: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """Exact distinct users per day, from one row per day and bucket."""
+    n = bitmaps.select("day", F.bitmap_count("members").alias("n"))
+    if others is not None:
+        n = n.unionByName(others.select("day", F.lit(1).cast("bigint").alias("n")))
+    return n.groupBy("day").agg(F.sum("n").alias("uv"))
+
+
 def counter_key():
     """Name of a page-view counter of :func:`pv_uv_sets`; null for a member row."""
     return (F.when(F.col("gid") == GID_PV_HOUR, F.concat(F.lit(PV_PREFIX), "hour"))

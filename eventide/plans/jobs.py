@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.operators import logs, offsets, tokens, values, windows
-from eventide.schemas import WORD_TOTAL
+from eventide.schemas import UV_BITMAP, UV_MEMBER, WORD_TOTAL
+from eventide.session import stored
+from eventide.sinks import bucketed
 from eventide.sinks.commit_log import CommitLog
 
 
@@ -83,15 +86,23 @@ def committed_per_batch(log: CommitLog, name: str, keys: list[str], value: str =
     return log.table(name).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def catch_up_word_totals(log: CommitLog, records: DataFrame) -> int | None:
+def catch_up_word_totals(log: CommitLog, records: DataFrame, buckets: int | None = None) -> int | None:
     """J4 with replay safety: fold every pending record into the stored
     totals (full outer merge with the newest committed version) and commit
-    the new version together with the positions."""
-    state = log.latest("totals", WORD_TOTAL)
-
-    def merged(pend: DataFrame) -> DataFrame:
-        return tokens.merge_totals(state, tokens.running_total(tokens.tokenize(pend)))
-    return catch_up(log, records, {"totals": merged})
+    the new version together with the positions.
+
+    With ``buckets`` the totals are kept as that many sorted files by word (the
+    same number on every run): the stored side of the merge is then neither
+    shuffled nor sorted, and only the new counts move. As many buckets as
+    ``spark.sql.shuffle.partitions`` save a second shuffle of those."""
+    path = log.latest_path("totals") if buckets else None
+    state = (bucketed.read_bucketed(log.spark, path, WORD_TOTAL, "word", buckets) if path
+             else log.latest("totals", WORD_TOTAL))
+    pend = log.pending(records)
+    merged = tokens.merge_totals(state, tokens.running_total(tokens.tokenize(pend)))
+    writers = {"totals": lambda df, at: bucketed.write_bucketed(
+        df if path else df.repartition(buckets, "word"), at, "word", buckets)} if buckets else None
+    return log.commit(pend, {"totals": merged}, writers)
 
 
 def catch_up_pv_uv(log: CommitLog, records: DataFrame) -> int | None:
@@ -100,9 +111,16 @@ def catch_up_pv_uv(log: CommitLog, records: DataFrame) -> int | None:
 
     One GROUPING SETS aggregate over one parse of the pending lines holds
     both: (hour) and (hour, site_id) rows are PV increments, (day, user_id)
-    rows are the day's members.
+    rows are the day's members, which are folded into the stored sets: a bitmap
+    per day and 32,768 ids, and a table of ids that are no plain numbers.
     """
-    return catch_up(log, records, {"pv_uv": lambda pend: logs.pv_uv_sets(logs.parse_log(pend))})
+    pend = log.pending(records)
+    rows = stored(logs.pv_uv_sets(logs.parse_log(pend)), "pv-uv")
+    members = rows.where(F.col("gid") == logs.GID_UV_MEMBER).select("day", "user_id")
+    return log.commit(pend, {
+        "pv_uv": rows.where(F.col("gid") != logs.GID_UV_MEMBER),
+        "uv_bitmaps": logs.merge_bitmaps(log.latest("uv_bitmaps", UV_BITMAP), logs.uv_bitmaps(members)),
+        "uv_others": logs.merge_members(log.latest("uv_others", UV_MEMBER), logs.other_members(members))})
 
 
 def committed_pv(log: CommitLog) -> DataFrame:
@@ -112,7 +130,36 @@ def committed_pv(log: CommitLog) -> DataFrame:
 
 
 def committed_uv(log: CommitLog) -> DataFrame:
-    """UV per day: size of the union of every committed member set."""
-    members = (log.table("pv_uv").where(F.col("gid") == logs.GID_UV_MEMBER)
-               .select("day", "user_id").distinct())
-    return members.groupBy("day").agg(F.count(F.lit(1)).alias("uv"))
+    """UV per day: the bits of the newest committed sets, counted."""
+    return logs.uv_from_bitmaps(log.latest("uv_bitmaps", UV_BITMAP), log.latest("uv_others", UV_MEMBER))
+
+
+# ------------------------------------------------------- sorted batches (J6)
+
+def write_sorted_batches(counts: DataFrame, path: str, mode: str = "append") -> None:
+    """Counts (batch_id, word, n) as one folder per batch whose files, read in the
+    order of their names, list the batch's words by falling count, ties by word. A
+    range shuffle over (batch, count, word) gives the order, so a large batch is
+    spread over several files; batches that ``path`` holds already stay."""
+    order = ("batch_id", F.col("n").desc(), "word")
+    counts.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy(
+        "batch_id").parquet(path)
+
+
+def sort_new_batches(counts: DataFrame, path: str) -> int:
+    """Adds the batches of a stream's output (``counts``: closed batches, each
+    whole) that ``path`` does not hold yet; returns how many. One list of batch ids
+    is compared, no rows of earlier batches are read."""
+    spark = counts.sparkSession
+    try:
+        done = spark.read.parquet(path).select(F.col("batch_id").cast("bigint")).distinct()
+        new = counts.join(done, "batch_id", "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        new = counts
+    new = stored(new.select("batch_id", "word", "n"), "new-batches")
+    n = new.select("batch_id").distinct().count()
+    if n:
+        write_sorted_batches(new, path)
+    return n

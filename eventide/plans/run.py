@@ -26,17 +26,22 @@ from __future__ import annotations
 import argparse
 import importlib
 import inspect
+import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from eventide.operators import offsets, tokens, values
 from eventide.plans import jdbc_jobs
 from eventide.plans import jobs as pj
+from eventide.schemas import LEDGER
+from eventide.session import checkpoint_root
 from eventide.sinks.commit_log import CommitLog
 from eventide.sources.relations import jdbc_options
 from eventide.streaming import jobs as sj
+from eventide.streaming.state import SNAPSHOTS
 from eventide.streaming.sources import (kafka_batch_records, kafka_options, kafka_records,
-                                        max_offsets_per_trigger, replay_records, starting_offsets)
+                                        max_offsets_per_trigger, replay_records, starting_offsets, starting_times)
 
 # Fixed value: the reference's per-partition rate cap, records per batch.
 DEFAULT_CAP = 500
@@ -88,6 +93,8 @@ def _kafka_opts(args, starting: str | None = None) -> dict[str, str]:
     assign = {t: list(range(n)) for t, n in _topic_partitions(args).items()} if args.assign else None
     return kafka_options(args.bootstrap, topics=None if assign else args.topics.split(","), assign=assign,
                          starting=starting or args.starting,
+                         starting_times=starting_times(_topic_partitions(args), args.starting_timestamp)
+                         if getattr(args, "starting_timestamp", None) is not None else None,
                          max_offsets=max_offsets_per_trigger(args.rate, args.partitions,
                                                              args.trigger_seconds)
                          if args.rate else None,
@@ -109,7 +116,7 @@ def catch_up(spark, args) -> int | None:
             else records.select("topic", "partition").distinct()
         offsets.require_positions(known, log.positions())
     if args.job == "j4":
-        return pj.catch_up_word_totals(log, records)
+        return pj.catch_up_word_totals(log, records, args.buckets)
     if args.job in ("j5-pv", "j5-uv"):
         return pj.catch_up_pv_uv(log, records)
     if args.job not in CATCH_UP:
@@ -140,11 +147,27 @@ def stream_start(spark, args) -> str | None:
     return starting_offsets(log.positions(), _topic_partitions(args))
 
 
+def start_positions(spark, args) -> DataFrame:
+    """Committed positions that a replayed stream goes on from: those of its first
+    start, kept beside its checkpoint, so that a restart skips the same records."""
+    log = CommitLog(spark, job=args.name, module=args.module, grp=args.group)
+    path = os.path.join(args.checkpoint or os.path.join(checkpoint_root(spark), "streams", args.name), "_start_positions")
+    try:
+        return spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    log.positions().write.parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
 def build(spark, args) -> tuple[DataFrame, str]:
     if args.source == "kafka":
         records = kafka_records(spark, _kafka_opts(args, stream_start(spark, args)), args.cap)
     else:
         records = replay_records(spark, args.replay, args.max_files_per_trigger)
+        if args.starting == "committed":
+            records = offsets.resume_scan(records, start_positions(spark, args))
     job = JOBS[args.job]
     kw = {}
     if "clock" in inspect.signature(job).parameters:
@@ -157,6 +180,12 @@ def build(spark, args) -> tuple[DataFrame, str]:
         kw["lateness"] = args.lateness
     if getattr(args, "lateness_batches", None) and "lateness_batches" in params:
         kw["lateness_batches"] = args.lateness_batches
+    if getattr(args, "once", False):
+        if "once" not in params:
+            raise ValueError(f"--once is for per-batch jobs, not {args.job}")
+        kw["once"] = True
+    if args.job == "j5-pv" and getattr(args, "sink", None) == "parquet":
+        kw["mode"] = "append"   # the files take each hour when it closes
     return job(sj.observed(records, "records"), **kw)
 
 
@@ -169,6 +198,8 @@ def bounded_run(spark, args):
     goes to ``--out``, any other to ``<out>_<name>``."""
     records = spark.read.parquet(args.replay)
     outputs = CATCH_UP[args.job]
+    if args.job == "j6":
+        return pj.write_sorted_batches(pj.j1_word_count(records), args.out, mode="errorifexists")
     for i, (name, build_one) in enumerate(outputs.items()):
         path = f"{args.out}_{name}" if i else args.out
         build_one(records).write.mode("errorifexists").parquet(path)
@@ -197,9 +228,16 @@ def main(argv=None, spark=None):
                                       "(J3, J5; default 1 hour)")
     p.add_argument("--lateness-batches", type=int,
                    help="batches a per-batch result waits for late records (default 1)")
+    p.add_argument("--once", action="store_true",
+                   help="per-batch jobs: drop records (topic, partition, offset) that were delivered before")
+    p.add_argument("--starting-timestamp", type=int,
+                   help="Kafka start of a new stream by record time, epoch milliseconds, in every partition")
+    p.add_argument("--snapshot", help="write the result held in the checkpoint of --name (j4, j5-pv) to this folder; "
+                                      "with --out, the closed hours that j5-pv --sink parquet wrote there as well")
+    p.add_argument("--buckets", type=int, help="j4 --catch-up: keep the totals as so many sorted buckets")
     p.add_argument("--replay")
     p.add_argument("--max-files-per-trigger", type=int, default=1)
-    p.add_argument("--sink", choices=["console", "parquet", "memory", "jdbc"], default="console")
+    p.add_argument("--sink", choices=["console", "parquet", "memory", "state", "jdbc"], default="console")
     p.add_argument("--table", help="target table of --sink jdbc")
     p.add_argument("--connect", help="module:function that opens a DB-API connection, for --sink jdbc")
     p.add_argument("--dialect", choices=["ansi", "mysql"], default="ansi")
@@ -215,11 +253,18 @@ def main(argv=None, spark=None):
     p.add_argument("--group", default="default")
     args = p.parse_args(argv)
     bounded = args.catch_up or args.sink == "jdbc"
-    if args.source == "kafka" and not args.partitions and (
-            args.rate or bounded or args.assign or args.starting == "committed"):
-        p.error("--partitions is needed with --rate, --assign, --starting committed and a bounded Kafka run")
-    if args.source == "replay" and (args.assign or args.starting == "committed"):
-        p.error("--assign and --starting committed are for Kafka")
+    if args.source == "kafka" and not args.snapshot and not args.partitions and (
+            args.rate or bounded or args.assign or args.starting == "committed" or args.starting_timestamp is not None):
+        p.error("--partitions is needed with --rate, --assign, --starting committed, --starting-timestamp and a "
+                "bounded Kafka run")
+    if args.source == "replay" and (args.assign or args.starting_timestamp is not None):
+        p.error("--assign and --starting-timestamp are for Kafka")
+    if args.snapshot and args.job not in SNAPSHOTS:
+        p.error("--snapshot is for j4 and j5-pv")
+    if args.buckets and not (args.catch_up and args.job == "j4"):
+        p.error("--buckets is for j4 --catch-up")
+    if args.starting_timestamp is not None and (bounded or args.starting != "earliest"):
+        p.error("--starting-timestamp is the start of a stream, in place of --starting")
     if args.sink == "jdbc":
         if args.job not in JDBC_JOBS or not (args.table and args.connect):
             p.error("--sink jdbc is for j3, j4 and j5 and needs --table and --connect")
@@ -234,6 +279,9 @@ def main(argv=None, spark=None):
     if spark is None:
         from eventide.session import build_session
         spark = build_session(master=None)  # the master comes from spark-submit
+    if args.snapshot:
+        checkpoint = args.checkpoint or os.path.join(checkpoint_root(spark), "streams", args.name)
+        return SNAPSHOTS[args.job](spark, checkpoint, closed=args.out).write.parquet(args.snapshot)
     if args.sink == "jdbc":
         return jdbc_run(spark, args)
     if args.catch_up:

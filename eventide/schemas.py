@@ -48,3 +48,15 @@ ALERT_ROW = T.StructType([
     T.StructField("data", T.StringType(), True),
     T.StructField("result", T.StringType(), True),
 ])
+
+# Sets of daily users: a bitmap per 32,768 ids, and the ids no bitmap holds.
+UV_BITMAP = T.StructType([
+    T.StructField("day", T.StringType(), True),
+    T.StructField("bucket", T.LongType(), True),
+    T.StructField("members", T.BinaryType(), True),
+])
+
+UV_MEMBER = T.StructType([
+    T.StructField("day", T.StringType(), True),
+    T.StructField("user_id", T.StringType(), True),
+])

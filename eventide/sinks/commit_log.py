@@ -25,6 +25,8 @@ position table (one row per topic-partition) reach the driver side.
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +39,14 @@ from eventide.session import checkpoint_root
 
 MARKERS = "_commits"
 LEDGER_TABLE = "_ledger"
-MARKER_SCHEMA = T.StructType([T.StructField("committed", T.BooleanType(), False),
+MARKER_SCHEMA = T.StructType([T.StructField("attempt", T.StringType(), False),
                               T.StructField("commit_id", T.LongType(), False)])
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
+
+
 class CommitLog:
     """One consumer's (module, group) committed results under ``root``
     (default ``<spark.checkpoint.dir>/commits/<job>``, a shared folder that
@@ -74,21 +80,26 @@ class CommitLog:
     def table(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Committed rows of ``name`` (with their commit_id)."""
         full = None if schema is None else T.StructType(
-            schema.fields + [T.StructField("commit_id", T.LongType(), False)])
+            schema.fields + [T.StructField("commit_id", T.LongType(), False), T.StructField("attempt", T.StringType(), False)])
         rows = self._read(name, full)
-        return rows.join(self.markers().select("commit_id"), "commit_id", "left_semi")
+        return rows.join(self.markers().select("commit_id", "attempt"), ["commit_id", "attempt"], "left_semi").drop(
+            "attempt")
 
     def last_commit(self) -> int | None:
         return self.markers().agg(F.max("commit_id")).first()[0]
 
+    def latest_path(self, name: str) -> str | None:
+        """Folder of the newest committed version of a full-state table."""
+        last = self.markers().orderBy(F.desc("commit_id")).first()
+        return last and os.path.join(self.root, name, f"commit_id={last['commit_id']}", f"attempt={last['attempt']}")
+
     def latest(self, name: str, schema: T.StructType) -> DataFrame:
         """Rows of the newest committed version of a full-state table. Only
         that version's directory is listed, however many commits exist."""
-        last = self.last_commit()
-        if last is None:
+        path = self.latest_path(name)
+        if path is None:
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema)
-                .parquet(os.path.join(self.root, name, f"commit_id={last}")))
+        return self.spark.read.schema(schema).parquet(path)
 
     def positions(self) -> DataFrame:
         """Committed positions: next offset to read per topic-partition.
@@ -105,30 +116,34 @@ class CommitLog:
         """Records at or beyond their partition's committed position."""
         return resume_scan(records, self.positions())
 
-    def commit(self, pending: DataFrame, results: dict[str, DataFrame]) -> int | None:
+    def commit(self, pending: DataFrame, results: dict[str, DataFrame],
+               writers: dict[str, Callable[[DataFrame, str], None]] | None = None) -> int | None:
         """Commit ``results`` (computed from ``pending``) together with the
         positions after ``pending``. Returns the commit id, or None when
         nothing was pending.
 
         ``pending`` must be a stable snapshot (a file source fixes its file
         list when the DataFrame is created; stage other sources first), so
-        results and positions describe the same records.
+        results and positions describe the same records. ``writers`` names
+        results with a layout of their own.
         """
         ranges = pending.groupBy("topic", "partition").agg(
             (F.max("offset") + 1).alias("until_offset")).checkpoint()
         if ranges.isEmpty():
             return None
-        c = (self.last_commit() or 0) + 1
+        c, attempt = (self.last_commit() or 0) + 1, uuid.uuid4().hex
+        at = os.path.join(f"commit_id={c}", f"attempt={attempt}")
         for name, df in results.items():
-            df.write.mode("overwrite").parquet(os.path.join(self.root, name, f"commit_id={c}"))
+            (writers or {}).get(name, write_parquet)(df, os.path.join(self.root, name, at))
         ledger = ledger_update(self.positions(), ranges, self.module, self.grp)
-        ledger.write.mode("overwrite").parquet(
-            os.path.join(self.root, LEDGER_TABLE, f"commit_id={c}"))
-        self._mark(c)
+        write_parquet(ledger, os.path.join(self.root, LEDGER_TABLE, at))
+        self._mark(c, attempt)
         return c
 
-    def _mark(self, c: int) -> None:
-        """The marker is one tiny file: it appears atomically at job commit; a
-        second writer that took the same id fails here."""
-        (self.spark.createDataFrame([(True,)], "committed boolean").coalesce(1)
+    def _mark(self, c: int, attempt: str) -> None:
+        """The marker is one tiny file that names the attempt whose results and
+        positions count: it appears atomically at job commit. A second writer that
+        took the same id wrote under an attempt of its own and fails here; a crash
+        before this leaves files that no marker names."""
+        (self.spark.createDataFrame([(attempt,)], "attempt string").coalesce(1)
          .write.mode("errorifexists").parquet(os.path.join(self.root, MARKERS, f"commit_id={c}")))

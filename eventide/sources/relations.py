@@ -67,6 +67,37 @@ def jdbc_partitioned(spark: SparkSession, options: dict[str, str], table: str, c
                       lower=lo, upper=hi, num_partitions=num_partitions)
 
 
+def slice_predicates(column: str, cuts: list) -> list[str]:
+    """SQL conditions that part a column's values at ``cuts`` (ascending); together
+    they hold every row once, nulls with the first."""
+    if not cuts:
+        return ["1 = 1"]
+    def text(v):  # noqa: E306
+        return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
+    inner = [f"{column} >= {text(a)} AND {column} < {text(b)}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [f"{column} < {text(cuts[0])} OR {column} IS NULL", *inner, f"{column} >= {text(cuts[-1])}"]
+
+
+def quantile_cuts(values: DataFrame, column: str, num_partitions: int, error: float = 0.1) -> list:
+    """Distinct cut points that part a numeric column into slices of about equal
+    rows, from a distributed quantile sketch over all its values; a slice is at most
+    ``error`` of its share off, but for a value that more rows hold than a slice."""
+    probs = [i / num_partitions for i in range(1, num_partitions)]
+    exact = values.select(column).where(f"{column} is not null")
+    return sorted(set(exact.approxQuantile(column, probs, error / (2 * num_partitions)))) if probs else []
+
+
+def jdbc_balanced(spark: SparkSession, options: dict[str, str], table: str, column: str, num_partitions: int,
+                  read=jdbc_partitioned) -> DataFrame:
+    """Read a large JDBC table in slices of about equal rows, however skewed the
+    values of ``column`` (numeric) are: equal ranges would give one slice nearly all
+    rows. The column alone is read first, in equal ranges, to find the cuts."""
+    cuts = quantile_cuts(read(spark, options, f"(SELECT {column} FROM {table}) q", column, num_partitions),
+                         column, num_partitions)
+    properties = {k: v for k, v in options.items() if k != "url"}
+    return spark.read.jdbc(options["url"], table, predicates=slice_predicates(column, cuts), properties=properties)
+
+
 def relation(spark: SparkSession, name: str, sf_dir: str | None = None,
              jdbc: dict[str, str] | None = None, **jdbc_kw) -> DataFrame:
     """A named relation: a JDBC table when options are given, else parquet."""

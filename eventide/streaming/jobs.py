@@ -56,7 +56,14 @@ def batch_clock(records: DataFrame, interval_s: int = BATCH_INTERVAL_S,
             .withWatermark("batch_ts", f"{lateness_batches * interval_s} seconds"))
 
 
-def _per_batch(records: DataFrame, clock: str, interval_s: int, lateness_batches: int):
+def once_per_offset(records: DataFrame) -> DataFrame:
+    """Each record once, however often the source delivers it (a producer or a
+    replay that repeats slices). ``records`` must carry a watermark; positions are
+    remembered until it has passed them, so state is bounded."""
+    return records.dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
+
+
+def _per_batch(records: DataFrame, clock: str, interval_s: int, lateness_batches: int, once: bool = False):
     """(records, group keys, finish) for results that restart every batch.
 
     * ``offset``: :func:`batch_clock` over the envelope's ``batch_id``;
@@ -65,15 +72,19 @@ def _per_batch(records: DataFrame, clock: str, interval_s: int, lateness_batches
       partitions advance: a hot partition holding a third of the records
       cannot push the watermark past the others' records. ``batch_id`` is
       the slice number ``epoch seconds div interval``.
+
+    ``once`` drops records that were delivered before.
     """
     if clock == "offset":
         r = batch_clock(records, interval_s, lateness_batches)
+        r = once_per_offset(r) if once else r
         return r, [F.col("batch_ts"), F.col("batch_id")], lambda df: df.drop("batch_ts")
     if clock == "time":
         # a record without a time fits no slice: fail rather than lose it
         clocked = F.coalesce(F.col("ts"), F.raise_error(F.lit(
             "the time clock needs a record time; use clock=offset")).cast(records.schema["ts"].dataType))
         r = records.withColumn("ts", clocked).withWatermark("ts", f"{lateness_batches * interval_s} seconds")
+        r = once_per_offset(r) if once else r
         key = F.window("ts", f"{interval_s} seconds").alias("slice")
 
         def finish(df: DataFrame) -> DataFrame:
@@ -84,9 +95,9 @@ def _per_batch(records: DataFrame, clock: str, interval_s: int, lateness_batches
 
 
 def word_count_per_batch(records: DataFrame, lateness_batches: int = 1, clock: str = "offset",
-                         interval_s: int = BATCH_INTERVAL_S) -> tuple[DataFrame, str]:
+                         interval_s: int = BATCH_INTERVAL_S, once: bool = False) -> tuple[DataFrame, str]:
     """J1/J6: word count per batch, emitted when the batch closes."""
-    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches)
+    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches, once)
     clock_cols = ("batch_ts", "batch_id") if clock == "offset" else ("ts",)
     t = tokens.tokenize(r, keep=clock_cols)
     out = t.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
@@ -94,17 +105,17 @@ def word_count_per_batch(records: DataFrame, lateness_batches: int = 1, clock: s
 
 
 def value_count_per_batch(records: DataFrame, lateness_batches: int = 1, clock: str = "offset",
-                          interval_s: int = BATCH_INTERVAL_S) -> tuple[DataFrame, str]:
+                          interval_s: int = BATCH_INTERVAL_S, once: bool = False) -> tuple[DataFrame, str]:
     """J7: count of identical whole values per batch, emitted when it closes."""
-    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches)
+    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches, once)
     out = r.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     return finish(out), "append"
 
 
 def offset_report(records: DataFrame, lateness_batches: int = 1, clock: str = "offset",
-                  interval_s: int = BATCH_INTERVAL_S) -> tuple[DataFrame, str]:
+                  interval_s: int = BATCH_INTERVAL_S, once: bool = False) -> tuple[DataFrame, str]:
     """J9: (topic, partition, batch_id, from, until, n) per closed batch."""
-    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches)
+    r, keys, finish = _per_batch(records, clock, interval_s, lateness_batches, once)
     out = r.groupBy(*keys, "topic", "partition").agg(
         F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
         F.count(F.lit(1)).alias("n"))
@@ -144,16 +155,19 @@ def _hour_time(parsed: DataFrame, lateness: str) -> DataFrame:
             .withWatermark("hour_ts", lateness))
 
 
-def pv_counters(records: DataFrame, lateness: str = "1 hour") -> tuple[DataFrame, str]:
+def pv_counters(records: DataFrame, lateness: str = "1 hour", mode: str = "update") -> tuple[DataFrame, str]:
     """J5 counters: hourly and site-hourly PV, updated every trigger; a
-    closed hour's counters leave the state store ``lateness`` after it ends."""
+    closed hour's counters leave the state store ``lateness`` after it ends. In
+    ``append`` mode an hour is emitted once, when it closes: the file sink then
+    holds the closed hours and the state the open ones
+    (:func:`eventide.streaming.state.pv_counters` reads both)."""
     p = _hour_time(logs.parse_log(records, keep=("ts",)), lateness).withColumn(
         "w", F.window("hour_ts", "1 hour"))
     agg = (p.groupingSets([[F.col("w"), F.col("hour")],
                            [F.col("w"), F.col("hour"), F.col("site_id")]],
                           F.col("w"), F.col("hour"), F.col("site_id"))
            .agg(F.count(F.lit(1)).alias("pv")))
-    return agg.drop("w"), "update"
+    return agg.drop("w"), mode
 
 
 def uv_by_day(records: DataFrame, lateness: str = "1 hour") -> tuple[DataFrame, str]:
@@ -199,7 +213,9 @@ def windowed_alert(records: DataFrame, lateness: str = "1 hour",
 def start(df: DataFrame, mode: str, sink: str, checkpoint: str | None = None,
           path: str | None = None, name: str | None = None, trigger: dict | None = None):
     """Start a query: ``parquet`` (exactly-once file sink, append only),
-    ``console`` (preview) or ``memory`` (tests; results on the driver).
+    ``console`` (preview), ``memory`` (tests; results on the driver) or ``state``
+    (no output: the results are the state in the checkpoint, read by
+    :mod:`eventide.streaming.state`).
 
     The checkpoint (offsets, commits, state) defaults to
     ``<spark.checkpoint.dir>/streams/<name>``: a stable, shared location, so a
@@ -209,7 +225,8 @@ def start(df: DataFrame, mode: str, sink: str, checkpoint: str | None = None,
     """
     if sink == "parquet" and mode != "append":
         raise ValueError(f"the parquet file sink is append-only; a {mode}-mode job goes to "
-                         "console/memory, or runs as a catch-up commit (--catch-up)")
+                         "console/memory, keeps its results in the checkpoint (--sink state), or runs as a "
+                         "catch-up commit (--catch-up)")
     if checkpoint is None:
         if not name:
             raise ValueError("a stream needs a name or an explicit checkpoint location")
@@ -221,6 +238,8 @@ def start(df: DataFrame, mode: str, sink: str, checkpoint: str | None = None,
         return w.format("parquet").option("path", path).start()
     if sink == "memory":
         return w.format("memory").queryName(name).start()
+    if sink == "state":
+        return w.format("noop").start()
     if sink == "console":
         return w.format("console").option("truncate", "false").start()
     raise ValueError(f"unknown sink {sink}")
@@ -243,4 +262,4 @@ def progress_offsets(query) -> list[dict]:
 
 __all__ = ["observed", "batch_clock", "word_count_per_batch", "value_count_per_batch", "offset_report",
            "three_fields", "running_totals", "top_words", "pv_counters", "uv_by_day", "windowed_alert",
-           "start", "progress_offsets"]
+           "start", "progress_offsets", "once_per_offset"]

@@ -43,17 +43,26 @@ def starting_offsets(positions: DataFrame, partitions: dict[str, int],
                        for t, n in partitions.items()})
 
 
+def starting_times(partitions: dict[str, int], epoch_ms: int) -> dict[str, dict[int, int]]:
+    """One start time for every partition (``partitions``: topic -> their number)."""
+    return {t: dict.fromkeys(range(n), int(epoch_ms)) for t, n in partitions.items()}
+
+
 def kafka_options(bootstrap: str, topics: list[str] | None = None,
                   assign: dict[str, list[int]] | None = None,
                   starting: str = "earliest", max_offsets: int | None = None,
                   max_poll_records: int | None = None, min_partitions: int | None = None,
-                  fail_on_data_loss: bool = True, extra: dict | None = None) -> dict[str, str]:
+                  fail_on_data_loss: bool = True, extra: dict | None = None,
+                  starting_times: dict[str, dict[int, int]] | None = None) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")``.
 
     * ``topics``: Subscribe; ``assign``: fixed partitions (Assign);
     * ``starting``: ``earliest`` / ``latest`` / JSON from :func:`starting_offsets`;
       the reference's ``none`` policy is a JSON with every partition listed;
     * ``max_offsets``: rate cap per trigger (see :func:`max_offsets_per_trigger`);
+    * ``starting_times``: topic -> partition -> epoch milliseconds: each partition
+      starts at its first record of that time or later (at its end if there is none)
+      instead of at ``starting``; see :func:`starting_times`;
     * ``min_partitions``: split large topic-partitions over more tasks.
 
     Spark tracks consumed offsets in the query checkpoint; nothing is
@@ -63,6 +72,11 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
         raise ValueError("give exactly one of topics (subscribe) or assign")
     o = {"kafka.bootstrap.servers": bootstrap, "startingOffsets": starting,
          "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if starting_times is not None:
+        del o["startingOffsets"]
+        o["startingOffsetsByTimestamp"] = json.dumps(
+            {t: {str(p): int(ms) for p, ms in ps.items()} for t, ps in starting_times.items()})
+        o["startingOffsetsByTimestampStrategy"] = "latest"
     if topics is not None:
         o["subscribe"] = ",".join(topics)
     else:

@@ -72,7 +72,7 @@ def test_failure_after_staging_changes_nothing_and_retry_succeeds(spark, tmp_dir
     jobs.catch_up_word_totals(log, docs.where("batch_id = 0"))
     before, pos_before = _totals(log), sorted(tuple(r) for r in log.positions().collect())
     with monkeypatch.context() as m, pytest.raises(RuntimeError):
-        def crash(self, c):
+        def crash(self, c, attempt):
             raise RuntimeError("executor lost")
         m.setattr(CommitLog, "_mark", crash)
         jobs.catch_up_word_totals(log, docs)
