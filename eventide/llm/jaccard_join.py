@@ -457,10 +457,12 @@ def jaccard_classes(documents: DataFrame, threshold: int = THRESHOLD, width: int
         "pivot", "set_key", "np", "n",
         (2 * F.col("apart") / (F.col("np") + F.col("n") + F.col("apart"))).alias("least")), "around")
     far = F.col("least") >= 3 * eps
-    sets = written(sets_of(documents, members.select("set_key"), width), "sets")
+    near = around.where(~far)
+    sets = sets_of(documents, near.select("set_key").unionByName(near.select(F.col("pivot").alias("set_key"))), width)
+    sets = written(sets, "sets")
     of_pivot = sets.select(F.col("set_key").alias("pivot"), F.col("shingles").alias("ps"))
     both = F.size(F.array_intersect("ps", "shingles"))
-    region = written(around.where(~far).join(sets, "set_key").join(of_pivot, "pivot").select(
+    region = written(near.join(sets, "set_key").join(of_pivot, "pivot").select(
         "pivot", "set_key", "np", "n", both.alias("both")), "regions")
     union = F.col("np") + F.col("n") - F.col("both")
     star = region.where(100 * F.col("both") >= threshold * union).select(
@@ -522,7 +524,8 @@ def jaccard_classes(documents: DataFrame, threshold: int = THRESHOLD, width: int
                 F.xxhash64("pivot", "shell")).alias("g0"),
             F.when(small, -1).otherwise(F.least("block", "other")).alias("g1"),
             F.when(small, -1).otherwise(F.greatest("block", "other")).alias("g2"))
-        found = written(ends(cut.join(sets, "set_key").groupBy("g0", "g1", "g2").applyInArrow(
+        last = sets_of(documents, cells.select("set_key"), width)
+        found = written(ends(cut.join(last, "set_key").groupBy("g0", "g1", "g2").applyInArrow(
             lambda t: _cell_links(threshold)(t), "a binary, b binary").distinct()), "links")
         if not found.isEmpty():
             comps = connected(edges.unionByName(found))

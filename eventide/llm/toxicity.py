@@ -58,6 +58,8 @@ ORDINARY = 50_000         # ordinary near words kept, at most (the most frequent
 STEM = range(3, 11)       # letters of a stem
 MIN_FUZZY = 5             # letters from which a misspelling counts
 NEAR_CHARS, NEAR_WORDS = 80, 6
+WORDS_KNOWN = 1 << 15     # words or states an automaton remembers; more are read again
+TEXTS = 256               # texts of a batch that are Python objects at a time
 # Quotation marks, and words that report what others said.
 OPENING, CLOSING = "\"'«„“‘‹", "\"'»“”’›"
 REPORTING = frozenset("""said says say wrote writes written called calls quoted quotes quote word words term
@@ -170,14 +172,21 @@ class Automaton:
         got = self.value[sid] if sid >= 0 else 0
         if got == 1 and word in self.ordinary:
             got = 0
-        if len(self.seen) >= 300_000:
+        if len(self.seen) >= WORDS_KNOWN:
             self.seen.clear()
-        if len(self.states) > 100_000:
+        if len(self.states) > WORDS_KNOWN:
             self._reset()
         self.seen[word] = got
         return got
 
 
+def _texts(batch):
+    """The texts of a batch, a few at a time as Python strings."""
+    column = batch.column("text")
+    for lo in range(0, len(column), TEXTS):
+        yield from column.slice(lo, TEXTS).to_pylist()
+
+
 def _quoted(text: str, start: int, end: int) -> bool:
     before = text[max(0, start - NEAR_CHARS):start].rpartition("\n")[2]
     after = text[end:end + NEAR_CHARS].partition("\n")[0]
@@ -342,8 +351,7 @@ def _counts(documents: DataFrame, terms, ordinary, *keep: str) -> DataFrame:
     def run(batches):
         auto = Automaton(terms, ordinary)
         for b in batches:
-            got = np.array([match_counts(auto, t or "") for t in b.column("text").to_pylist()],
-                           np.int64).reshape(-1, 4)
+            got = np.array([match_counts(auto, t or "") for t in _texts(b)], np.int64).reshape(-1, 4)
             got = _binned(got)
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c) for c in keep], *[pa.array(got[:, i]) for i in range(4)]],
@@ -368,10 +376,10 @@ def near_words(documents: DataFrame, terms) -> DataFrame:
         every, of = Automaton(terms), {}
         for b in batches:
             ids, term, word = [], [], []
-            for d, text in zip(b.column("doc_id"), b.column("text").to_pylist(), strict=True):
+            for d, text in zip(b.column("doc_id"), _texts(b), strict=True):
                 for w in direct_words(text or "", lambda w: every.match(w) == 1):
                     if w not in of:
-                        if len(of) >= 100_000:
+                        if len(of) >= WORDS_KNOWN:
                             of.clear()
                         of[w] = [i for i, a in autos if a.match(w) == 1]
                     ids += [d] * len(of[w])
@@ -458,8 +466,7 @@ def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5)
     def run(batches):
         auto = Automaton(terms, ordinary)
         for b in batches:
-            got = _binned(np.array([match_counts(auto, t or "") for t in b.column("text").to_pylist()],
-                                   np.int64).reshape(-1, 4))
+            got = _binned(np.array([match_counts(auto, t or "") for t in _texts(b)], np.int64).reshape(-1, 4))
             z = weights[0] + got @ weights[1:]
             yield b.filter(pa.array((1 / (1 + np.exp(-z)) < threshold) | ~got.any(axis=1)))
     return documents.mapInArrow(run, schema)
