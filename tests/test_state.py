@@ -2,6 +2,7 @@
 sorted batches, records delivered twice, streams that go on from positions."""
 
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,11 +176,12 @@ def test_a_replayed_stream_goes_on_from_committed_positions(spark, tmp_dir):
     log = os.path.join(tmp_dir, "log")
     recs = events_envelope(spark, SF01, "fields", keep=())
     write_replay_log(recs, log, 5, files_per_slice=1)
-    done = CommitLog(spark, job="goes-on", module="m", grp="g")
+    name = "goes-on-" + uuid.uuid4().hex[:8]    # the shared checkpoint folder outlives a test run
+    done = CommitLog(spark, job=name, module="m", grp="g")
     pj.catch_up(done, recs.where("partition < 3 and batch_id <= 1"), {"sizes": values.batch_size})
     out = os.path.join(tmp_dir, "out")
     args = ["j8", "--source", "replay", "--replay", log, "--starting", "committed", "--sink", "parquet", "--out", out,
-            "--name", "goes-on", "--module", "m", "--group", "g", "--available-now"]
+            "--name", name, "--module", "m", "--group", "g", "--available-now"]
     cli.main(args, spark=spark)
     want = values.split_three_fields(offsets.resume_scan(recs, done.positions()))
     assert want.count() == 10000 - 3 * 1000
