@@ -166,7 +166,7 @@ def build(spark, args) -> tuple[DataFrame, str]:
         records = kafka_records(spark, _kafka_opts(args, stream_start(spark, args)), args.cap)
     else:
         records = replay_records(spark, args.replay, args.max_files_per_trigger)
-        if args.starting == "committed":
+        if getattr(args, "starting", None) == "committed":
             records = offsets.resume_scan(records, start_positions(spark, args))
     job = JOBS[args.job]
     kw = {}
