@@ -13,7 +13,10 @@ Defined results: null and empty html give an empty text; scripts, styles,
 comments, forms' fields and other hidden content are no blocks; character
 references are decoded once, white space in a block becomes one space, blocks
 are joined by an empty line; repeated rows give repeated results; unclosed and
-stray tags are taken as a browser would for block structure.
+stray tags are taken as a browser would for block structure: a tag or comment
+that never ends takes the rest of the page, and so does a script or style
+without an end tag; other hidden content without an end tag is read as text.
+The time is linear in the page, whatever it holds.
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,27 +52,66 @@ NAME_GROUPS = {
     "text": "article content post entry story text body main articlebody page",
 }
 _GROUP = {w: g for g, ws in NAME_GROUPS.items() for w in ws.split()}
-_ATTRS = r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*"
-_TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<code>script|style)\b{_ATTRS}>.*?(?:</(?P=code)\s*>|\Z)"
-    rf"|<(?P<hidden>noscript|template|textarea|title|iframe|svg|select|object|canvas)\b{_ATTRS}>.*?</(?P=hidden)\s*>"
-    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>{_ATTRS})>"
-    r"|<[!?][^>]*>", re.S | re.I)
+_SPACE = r"[\t\n\f\r ]"
+_ATTRS = (rf"(?:(?:{_SPACE}|/)++"
+          rf"|[^\t\n\f\r />][^\t\n\f\r />=]*+"
+          rf"(?:{_SPACE}*+={_SPACE}*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\t\n\f\r >\"'][^\t\n\f\r >]*+)?+)?+)*+")
+# A mark that starts at a "<"; it always ends at the place given or at the end of
+# the page, so no character is read again for a later mark.
+_MARK = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<[!?][^>]*+(?:>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\t\n\f\r />]*+)(?P<attrs>{_ATTRS})(?:>|\Z)", re.S)
+CODE = frozenset(("script", "style"))  # without an end tag they hold the rest of the page
+HIDDEN = frozenset("noscript template textarea title iframe svg select object canvas".split())
+_CLOSE = {t: re.compile(rf"</{t}(?=[\t\n\f\r />])[^>]*+(?:>|\Z)", re.I) for t in CODE | HIDDEN}
+# Numeric references: zeros in front say nothing, nine further digits are no character.
+_ZEROS, _NO_CHARACTER = re.compile(r"&#0{2,}"), re.compile(r"&#0?[1-9][0-9]{8,};?")
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+")
 EPOCHS, RATE, RIDGE = 12, 0.3, 1e-3
 
 
-@functools.lru_cache(50_000)
-def _names(attrs: str) -> tuple[str, ...]:
+def _read_names(attrs: str) -> tuple[str, ...]:
     words = {w.lower() for m in _NAMES.finditer(attrs) for w in _PART.findall(m.group(1))}
     return tuple(sorted({_GROUP[w] for w in words if w in _GROUP}))
 
 
-def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
-    """(text, ancestors outermost first as (tag, name groups), linked chars)."""
-    out, stack, buffer = [], [], []
+@functools.lru_cache(50_000)
+def _kept_names(attrs: str) -> tuple[str, ...]:
+    return _read_names(attrs)
+
+
+def _names(attrs: str) -> tuple[str, ...]:
+    if not attrs:
+        return ()
+    return _kept_names(attrs) if len(attrs) <= 1000 else _read_names(attrs)  # the cache has a bound in bytes
+
+
+class Place(NamedTuple):
+    """What a block's features need of its ancestors, whatever their number."""
+    leaf: str = "none"
+    near: str = "none"  # the name group nearest to the block
+    tags: frozenset[str] = frozenset()
+    groups: frozenset[str] = frozenset()
+
+    def inside(self, tag: str, groups: tuple[str, ...]) -> Place:
+        return Place(tag, groups[0] if groups else self.near, self.tags if tag in self.tags else self.tags | {tag},
+                     self.groups if self.groups.issuperset(groups) else self.groups.union(groups))
+
+
+def _decoded(raw: str) -> str:
+    if "&" not in raw:
+        return raw
+    if "&#" in raw:
+        raw = _NO_CHARACTER.sub("\ufffd", _ZEROS.sub("&#0", raw))
+    return html.unescape(raw)
+
+
+def leaf_blocks(page: str) -> list[tuple[str, Place, int]]:
+    """(text, place among the ancestors, linked chars), in time linear in the page."""
+    out, buffer = [], []
+    stack, held = [("none", Place())], Counter()  # open tags, and how many of each
     linked, in_link = 0, False
 
     def flush():
@@ -74,27 +119,46 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
         if buffer:
             text = " ".join("".join(buffer).split())
             if text:
-                out.append((text, tuple(stack), linked))
+                out.append((text, stack[-1][1], linked))
             buffer.clear()
         linked, in_link = 0, False
 
     def add(raw):
         nonlocal linked
         if raw:
-            text = html.unescape(raw) if "&" in raw else raw
+            text = _decoded(raw)
             buffer.append(text)
             if in_link:
                 linked += len(text)
 
-    at = 0
-    for m in _TOKEN.finditer(page):
-        add(page[at:m.start()])
-        at = m.end()
+    def leave():
+        held[stack.pop()[0]] -= 1
+
+    closes = {}  # hidden tag -> (start, end) of its next end tag, None: no more of them
+
+    def close_after(tag, at):
+        if tag not in closes or (closes[tag] and closes[tag][0] < at):
+            m = _CLOSE[tag].search(page, at)
+            closes[tag] = m and m.span()
+        return closes[tag]
+
+    at = look = 0
+    while (look := page.find("<", look)) >= 0:
+        m = _MARK.match(page, look)
+        if m is None:  # a sign in the text
+            look += 1
+            continue
+        add(page[at:look])
+        at = look = m.end()
         tag = m.group("tag")
         if tag is None:
             continue
-        tag = tag.lower()
-        end = m.group("end")
+        tag, end, attrs = tag.lower(), m.group("end"), m.group("attrs")
+        if tag in _CLOSE and not end and not (tag == "svg" and attrs.endswith("/")):
+            close = close_after(tag, at)
+            if close or tag in CODE:
+                at = look = close[1] if close else len(page)
+                continue
         if tag == "br":
             buffer.append(" ")
         elif tag == "a":
@@ -102,52 +166,48 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
         elif tag in BLOCK_TAGS:
             flush()
             if end:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
+                if held[tag]:
+                    while stack[-1][0] != tag:
+                        leave()
+                    leave()
             else:
-                if stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-                    stack.pop()  # these never hold blocks
+                if stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+                    leave()  # these never hold blocks
                 if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
                     family = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
                               "option": ("option",)}.get(tag, ("dt", "dd"))
-                    while stack and stack[-1][0] in family:
-                        stack.pop()
+                    while stack[-1][0] in family:
+                        leave()
                 if tag not in VOID:
-                    stack.append((tag, _names(m.group("attrs")) if m.group("attrs") else ()))
+                    stack.append((tag, stack[-1][1].inside(tag, _names(attrs))))
+                    held[tag] += 1
     add(page[at:])
     flush()
     return out
 
 
 @functools.lru_cache(50_000)
-def _ancestor_features(stack: tuple) -> tuple[str, ...]:
-    tags = {t for t, _ in stack} - {"html", "body"}
-    groups = {g for _, gs in stack for g in gs}
-    near = next((g for _, gs in reversed(stack) for g in gs), "none")
-    leaf = stack[-1][0] if stack else "none"
-    held = "article" in tags or "main" in tags or "text" in groups
-    return (f"leaf={leaf}", f"near={near}", *sorted(f"in={t}" for t in tags), *sorted(f"name={g}" for g in groups),
-            f"held={held}", f"held={held}&near={near}")
-
-
-def features(blocks) -> list[list[str]]:
-    out = []
-    for i, (text, stack, linked) in enumerate(blocks):
+def _ancestor_features(place: Place) -> tuple[str, ...]:
+    tags, near = place.tags - {"html", "body"}, place.near
+    held = "article" in tags or "main" in tags or "text" in place.groups
+    return (f"leaf={place.leaf}", f"near={near}", *sorted(f"in={t}" for t in tags),
+            *sorted(f"name={g}" for g in place.groups), f"held={held}", f"held={held}&near={near}")
+
+
+def features(blocks) -> Iterator[list[str]]:
+    for i, (text, place, linked) in enumerate(blocks):
         words = text.count(" ") + 1
         size = "1" if words < 2 else "3" if words < 4 else "10" if words < 11 else "25" if words < 26 else "more"
         links = "all" if linked >= 0.8 * len(text) else "some" if linked else "none"
-        f = ["bias", f"words={size}", f"links={links}", f"stop={text[-1] in '.!?…»”\"'}", *_ancestor_features(stack)]
-        f.append(f"leaf&words={stack[-1][0] if stack else 'none'}&{size}")
+        f = ["bias", f"words={size}", f"links={links}", f"stop={text[-1] in '.!?…»”\"'}", *_ancestor_features(place)]
+        f.append(f"leaf&words={place.leaf}&{size}")
         if "©" in text[:40] or "copyright" in text[:60].lower():
             f.append("copyright")
         if i == 0:
             f.append("first")
         if i == len(blocks) - 1:
             f.append("last")
-        out.append(f)
-    return out
+        yield f
 
 
 class Field:
@@ -159,11 +219,11 @@ class Field:
         self.unary = np.zeros((len(names), 2))
         self.pair = np.zeros((2, 2))
 
-    def scores(self, feats: list[list[int]]) -> np.ndarray:
+    def scores(self, feats: Iterable[list[int]]) -> np.ndarray:
         return np.array([self.unary[f].sum(axis=0) for f in feats]).reshape(-1, 2)
 
-    def ids(self, feats: list[list[str]]) -> list[list[int]]:
-        return [[self.index[n] for n in f if n in self.index] for f in feats]
+    def ids(self, feats: Iterable[list[str]]) -> Iterator[list[int]]:
+        return ([self.index[n] for n in f if n in self.index] for f in feats)
 
     def marginals(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(s)
@@ -199,9 +259,9 @@ def fit(pages: list[tuple[str, dict[str, int]]], epochs: int = EPOCHS) -> Field:
     data = []
     for page, label in pages:
         blocks = leaf_blocks(page)
-        data.append((features(blocks), np.array([label[t] for t, _, _ in blocks])))
+        data.append((list(features(blocks)), np.array([label[t] for t, _, _ in blocks])))
     field = Field(sorted({n for f, _ in data for names in f for n in names}))
-    data = [(field.ids(f), y) for f, y in data if len(y)]
+    data = [(list(field.ids(f)), y) for f, y in data if len(y)]
     seen_u, seen_p = np.full_like(field.unary, 1e-6), np.full_like(field.pair, 1e-6)
     for _ in range(epochs):
         for ids, y in data:
