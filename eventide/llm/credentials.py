@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -47,7 +48,9 @@ CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOP
 TRAIN_VALUES = 2_000    # distinct values per kind
 ALPHA = 0.05
 KEEP = 0.95
-MIN_VALUES = 5          # a kind with fewer labelled values has no automaton
+# A kind with fewer labelled values has no automaton: with 7 the Hoeffding bound
+# is above 1, so that no two states could be told apart.
+MIN_VALUES = 8
 _CLASS = {c: i for i, cs in enumerate(CLASSES) for c in cs}
 _COST = [-math.log(len(cs)) for cs in CLASSES]
 END = -1
@@ -67,14 +70,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
     """Per token its spans to score, the first accepted counts: the whole token,
-    without the dots around it, then (each for itself) its pieces between dots."""
+    without the dots around it, then (each for itself) its pieces between dots.
+    Spans that meet a base span are none."""
     out = []
+    starts, ends = [], []  # the base spans as disjoint ones, in order
+    for x, _, y in taken:
+        if ends and x < ends[-1]:
+            ends[-1] = max(ends[-1], y)
+        else:
+            starts.append(x)
+            ends.append(y)
+
+    def free_of(a, b):
+        i = bisect_right(ends, a)  # the first that ends behind a
+        return i == len(ends) or starts[i] >= b
+
     for m in TOKEN.finditer(text):
         tok, (s, e) = m.group(), m.span()
         bare = tok.strip(".")
         at = s + len(tok) - len(tok.lstrip("."))
         spans = dict.fromkeys([(s, e), (at, at + len(bare))] + [p.span() for p in PIECE.finditer(text, s, e)])
-        free = [(a, b) for a, b in spans if b - a >= 12 and not any(a < y and x < b for x, _, y in taken)]
+        free = [(a, b) for a, b in spans if b - a >= 12 and free_of(a, b)]
         if free:
             out.append(free)
     return out
