@@ -10,7 +10,8 @@ Defined results: rows with a null conv_id belong to no conversation; turns are
 ordered by (turn, role, text), nulls first; a null role is ``user`` and a null
 text is empty; exactly repeated rows are one turn; a conversation without a
 partner makes no pair; equal conversations have empty completions; the start
-mark inside a text is broken by a space so that it cannot open a turn.
+and end marks inside a text or role are broken by a space so that they cannot open
+or close a turn.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def _plain(text: Column) -> Column:
 def conversations(turns: DataFrame) -> DataFrame:
     """conv_id, turns: the rendered pieces of each conversation in order."""
     rows = turns.where("conv_id is not null").select(
-        "conv_id", F.col("turn").alias("t"), F.coalesce("role", F.lit("user")).alias("role"),
+        "conv_id", F.col("turn").alias("t"), _plain(F.coalesce("role", F.lit("user"))).alias("role"),
         _plain(F.col("text")).alias("text"))
     return rows.groupBy("conv_id").agg(F.sort_array(F.collect_set(F.struct("t", "role", "text"))).alias("turns"))
 
@@ -82,9 +83,9 @@ def formatted(both: DataFrame) -> DataFrame:
 
 
 def neighbour_preferences(turns: DataFrame) -> DataFrame:
-    """Pairs conversation 2k (chosen) with 2k + 1 (rejected)."""
+    """Pairs conversation 2k (chosen) with 2k + 1 (rejected), k of any sign."""
     conv = conversations(turns).select(
-        F.expr("conv_id div 2").alias("pair"), F.pmod("conv_id", F.lit(2)).alias("side"), "conv_id", "turns")
+        F.shiftright("conv_id", 1).alias("pair"), F.pmod("conv_id", F.lit(2)).alias("side"), "conv_id", "turns")
     one = (lambda side, col: F.first(F.when(F.col("side") == side, F.col(col)), ignorenulls=True))
     both = conv.groupBy("pair").agg(
         one(0, "conv_id").alias("chosen_id"), one(1, "conv_id").alias("rejected_id"),
