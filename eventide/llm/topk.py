@@ -14,7 +14,8 @@ Defined results: vectors that are null, empty of non-null values, or hold a null
 non-finite component, and rows with a null id, take no part; equal rows count
 once; rows with one id and different vectors are different candidates, none of
 them candidate for a query of that id; vectors of different lengths meet on
-their common components; scores are 64-bit integers.
+their common components; scores are 64-bit integers, and vectors so long that a
+score may not fit (or finite components beyond 64 bits) raise an error.
 """
 
 from __future__ import annotations
@@ -94,7 +95,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     rows = written(vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), quantized(F.col("embedding")).alias("v"),
         is_query.alias("q")).where("vec_id is not null and v is not null and size(v) > 0").distinct(), "topk-rows")
-    n = rows.agg(F.count("*").alias("c"), F.sum(F.col("q").cast("long")).alias("q")).first()
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    n = rows.agg(F.count("*").alias("c"), F.sum(F.col("q").cast("long")).alias("q"), F.max(length).alias("longest"),
+                 F.max(F.when(F.col("q"), length)).alias("longest_query")).first()
+    if n["q"] and n["longest"] * n["longest_query"] >= 2.0 ** 62:  # no score is above the product of lengths
+        raise ValueError("inner products of these vectors may not fit 64-bit integers")
     candidate_blocks = max(1, -(-n["c"] // CANDIDATE_BLOCK))
     query_blocks = max(1, -(-(n["q"] or 0) // QUERY_BLOCK))
     deal = (lambda blocks: F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)))
