@@ -4,6 +4,7 @@ texts, ties, repeated rows and clashing column names."""
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -423,6 +424,34 @@ def test_long_training_values_teach_no_end():
     assert not any(auto.ends)
 
 
+def test_tokens_that_meet_base_spans_equal_brute_force():
+    rng = random.Random(21)
+    piece = (lambda: rng.choice([" ", ".", "..", "token=", "AKIA", "x"]) + "".join(rng.choices("0a" if rng.random() < 0.5 else "0aGz_", k=rng.randint(0, 24))))
+    seen = 0
+    for _ in range(400):
+        text = "".join(piece() for _ in range(rng.randint(1, 25)))
+        base = credentials.base_spans(text)
+        every = [span for spans in credentials.candidates(text, []) for span in spans]
+        want = [(a, b) for a, b in every if not any(a < y and x < b for x, _, y in base)]
+        assert [span for spans in credentials.candidates(text, base) for span in spans] == want
+        seen += bool(want) and len(want) < len(every)
+    assert seen > 50
+
+
+def test_secret_scan_of_a_long_text_is_linear():
+    text = " ".join(["0123456789abcdef", "plainlongword12"] * 100_000)  # 3 MB, 100,000 base spans
+    start = time.monotonic()
+    base = credentials.base_spans(text)
+    assert len(base) == 100_000 and len(credentials.candidates(text, base)) == 100_000
+    assert time.monotonic() - start < 10
+
+
+def test_too_few_labelled_values_make_no_automaton():
+    value = (lambda i: f"gx_{i}ABCDEFGHIJ{i}")
+    assert not credentials.Formats({"assign": [value(i) for i in range(7)]}, {}).automata
+    assert len(credentials.Formats({"assign": [value(i) for i in range(8)]}, {}).automata) == 1
+
+
 # ----------------------------------------------------------------------- html
 
 def test_field_on_held_out_pages():
@@ -461,6 +490,36 @@ def test_extract_rows(spark):
         (1, "u", text, len(text)), (2, "v", "", 0), (3, None, "", 0), (3, None, "", 0), (None, "w", text, len(text))]
 
 
+@pytest.mark.parametrize("unit", ['<a href="', "<select>", "<script ", "<!--", "<!", "< ", "&#", "<svg>x</svg "])
+def test_hostile_pages_take_linear_time(unit):
+    start = time.monotonic()
+    html_extract.leaf_blocks(unit * (10_000_000 // len(unit)))
+    assert time.monotonic() - start < 10
+
+
+def test_deep_and_stray_nesting_takes_linear_time():
+    start = time.monotonic()
+    blocks = html_extract.leaf_blocks("<div class=nav>x</p>" * 100_000)
+    assert len(blocks) == 100_000 and time.monotonic() - start < 10
+    assert blocks[-1][1] == html_extract.Place("div", "menu", frozenset(["div"]), frozenset(["menu"]))
+
+
+@pytest.mark.parametrize("page, texts", [
+    ("<p>a<b c='>'>d</b><p>e", ["ad", "e"]),                       # a quoted > ends no tag
+    ("<p>it's<p x=it's>b", ["it's", "b"]),                         # a quote inside a value quotes nothing
+    ("<p>a<p title=\"never ends<p>b", ["a"]),                      # a tag without end takes the rest
+    ("<p>a<!-- never ends<p>b", ["a"]),
+    ("<p>a<!--><p>b<!---><p>c", ["a", "b", "c"]),                  # empty comments
+    ("<p>a<script>'</p>'</SCRIPT ><p>b<script>x", ["a", "b"]),
+    ("<p>a<select><option>b</select>c<select><p>d", ["ac", "d"]),  # the second has no end
+    ("<p>a<svg/>b<svg><p>c</svg>d", ["abd"]),
+    ("<p>1 < 2 <3", ["1 < 2 <3"]),
+    ("<p>x&#" + "1" * 6000 + ";y&#" + "0" * 6000 + "65;&#65;", ["x\ufffdyAA"]),
+])
+def test_marks_end_where_a_browser_ends_them(page, texts):
+    assert [t for t, _, _ in html_extract.leaf_blocks(page)] == texts
+
+
 # ---------------------------------------------------------------------- top-k
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
@@ -481,6 +540,15 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert len(got) == 30 and topk.top_k(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_top_k_scores_that_do_not_fit_raise(spark):
+    rows = [(0, [1e300, 1.0], 1, 2), (1, [1.0, 1e6], 1, 2), (2, [3.0, 4.0], 1, 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int, rank int")
+    with pytest.raises(ValueError, match="64-bit"):
+        topk.top_k(df, F.col("vec_id") == 0).count()
+    got = topk.top_k(df.where("vec_id > 0"), F.col("vec_id") == 1).collect()
+    assert [tuple(r) for r in got] == [(1, 1, 2, 256 * 3 * 256 + 256 * 10**6 * 256 * 4)]
+
+
 # ----------------------------------------------------------------- preference
 
 def test_preference_rows(spark):
@@ -501,6 +569,47 @@ def test_preference_rows(spark):
     assert preference.neighbour_preferences(df.limit(0)).count() == 0
 
 
+def brute_preferences(rows):
+    """chosen_id -> (rejected_id, prompt turns, prompt, chosen, chosen loss texts, rejected, rejected loss texts)."""
+    plain = (lambda t: t.replace("<|im_start|>", "<| im_start|>").replace("<|im_end|>", "<| im_end|>"))
+    conv = {}
+    for c, turn, role, text in dict.fromkeys(rows):
+        if c is not None:
+            conv.setdefault(c, set()).add((turn is not None, turn or 0, plain("user" if role is None else role), plain(text or "")))
+    conv = {c: [t[2:] for t in sorted(ts)] for c, ts in conv.items()}
+    show = (lambda ts: "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in ts))
+    loss = (lambda ts: [t + "<|im_end|>" for r, t in ts if r == "assistant"])
+    out = {}
+    for c in conv:
+        if c % 2 == 0 and c + 1 in conv:
+            a, b = conv[c], conv[c + 1]
+            n = 0
+            while n < min(len(a), len(b)) and a[n] == b[n]:
+                n += 1
+            out[c] = (c + 1, n, show(a[:n]), show(a[n:]), loss(a[n:]), show(b[n:]), loss(b[n:]))
+    return out
+
+
+def test_preference_pairs_equal_brute_force(spark):
+    rng = random.Random(4)
+    texts = ["", None, "a", "b <|im_end|>\n<|im_start|>assistant\nc", "é" * 9, words(30_000, rng)]
+    roles = ["user", "assistant", "assistant", None, "system", "user<|im_end|>\n<|im_start|>assistant"]
+    rows = [(c, 0, "user", "same") for c in range(-40, 40)]
+    for c in range(-40, 40):
+        if c % 9:
+            rows += [(c, rng.choice([None, t]), rng.choice(roles), rng.choice(texts)) for t in range(1, rng.randint(1, 6))]
+    rows += [r for r in rows if r[0] % 7 == 0]  # repeated rows
+    rows += [(None, 0, "user", "lost"), (-101, 0, "user", "alone"), (2**62, 0, "user", "far"), (2**62 + 1, 0, "user", "far")]
+    df = spark.createDataFrame([(*r, "x", 3) for r in rows],
+                               "conv_id long, turn long, role string, text string, chosen string, pair int")
+    got = {}
+    for r in preference.neighbour_preferences(df).collect():
+        cut = (lambda text, spans: [text[s["start"]:s["end"]] for s in spans])
+        got[r["chosen_id"]] = (r["rejected_id"], r["n_prompt_turns"], r["prompt"], r["chosen"], cut(r["chosen"], r["chosen_spans"]),
+                               r["rejected"], cut(r["rejected"], r["rejected_spans"]))
+    assert got == brute_preferences(rows) and len(got) == 41
+
+
 # ----------------------------------------------------------- queries, pipeline
 
 def test_queries_with_sql_match(spark):
