@@ -4,11 +4,10 @@ A document's length is its number of pre-tokens (runs of ASCII letters and
 digits or non-ASCII characters, and single other visible signs), at least 1; any length column may be given instead.
 The histogram of all lengths gives the bucket boundaries by dynamic
 programming: ``cost[k][j] = min over i of cost[k-1][i] + padding(i, j)``, each
-row by divide and conquer since the best ``i`` never moves back. Up to 4,096
-every length has its own bin; above, bins grow with the length (1/4096 of it),
-so the histogram has a bound whatever the corpus holds. A bin stands at its
-longest document, so every boundary is the length of a document; where bins hold
-several lengths (from 8,192 on) the least padding is that of cuts between bins.
+row by one walk along a convex hull of lines, in time linear in the distinct
+lengths, in whole numbers. No length is binned, so the padding is the least
+possible whatever the corpus holds, and every boundary is the length of a
+document.
 
 Batches form inside each bucket: a batch holds as many documents as
 ``token_budget`` takes at the bucket's padded length, at least one. Places in a
@@ -26,6 +25,9 @@ added ones are replaced.
 
 from __future__ import annotations
 
+from array import array
+from itertools import accumulate
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,7 +40,6 @@ BUCKETS = 16
 TOKEN_BUDGET = 16_384
 CHUNK_ROWS = 20_000
 CHUNKS = 100_000
-EXACT = 4096
 ADDED = ["n_tokens", "bucket", "padded_tokens", "batch", "slot"]
 
 
@@ -82,11 +83,30 @@ def token_lengths(documents: DataFrame) -> DataFrame:
         run, f"doc_id {kind}, key binary, n_tokens long")
 
 
-def bin_of(length: Column) -> Column:
-    """The length itself up to EXACT, beyond it rounded up to a 4096th."""
-    step = F.greatest(F.lit(1).cast("long"), F.pow(F.lit(2.0), F.floor(
-        F.log2(F.greatest(length, F.lit(1)).cast("double"))) - 12).cast("long"))
-    return (F.ceil(length / step) * step).cast("long")
+def next_row(lengths: list[int], rows: list[int], best: list[int]) -> tuple[list[int], array]:
+    """The dynamic program with one bucket more: ``new[j]`` is the least
+    ``best[i] + lengths[j-1] * (rows[j] - rows[i])`` over i < j, and the i that
+    gives it. For a fixed i that is a line in ``lengths[j-1]`` of slope
+    ``-rows[i]``; slopes fall with i and lengths rise with j, so the lines that
+    are lowest somewhere form a hull that is walked once. Whole numbers of any
+    size: no rounding."""
+    hull, at = [0], 0
+    new, arg = [0], array("l", [0])
+    for j, size in enumerate(lengths, 1):
+        while at + 1 < len(hull) and (best[hull[at + 1]] - size * rows[hull[at + 1]]
+                                      < best[hull[at]] - size * rows[hull[at]]):
+            at += 1
+        i = hull[at]
+        new.append(best[i] + size * (rows[j] - rows[i]))
+        arg.append(i)
+        # line j enters; a line below which the neighbours always are leaves
+        while len(hull) > at + 1:
+            a, b = hull[-2], hull[-1]
+            if (best[j] - best[a]) * (rows[b] - rows[a]) > (best[b] - best[a]) * (rows[j] - rows[a]):
+                break
+            hull.pop()
+        hull.append(j)
+    return new, arg
 
 
 def best_boundaries(lengths: list[int], counts: list[int], buckets: int = BUCKETS) -> list[int]:
@@ -95,44 +115,30 @@ def best_boundaries(lengths: list[int], counts: list[int], buckets: int = BUCKET
     n = len(lengths)
     if n <= buckets:
         return list(lengths)
-    size = np.array(lengths, dtype=np.int64)
-    rows = np.concatenate(([0], np.cumsum(np.array(counts, dtype=np.int64))))
-    # padded tokens of bins i..j-1 in one bucket; the true tokens are the same for every cut
-    best = np.concatenate(([0.0], (size * rows[1:]).astype(float)))
+    rows = list(accumulate(counts, initial=0))
+    # padded tokens of lengths i..j-1 in one bucket; the true tokens are the same for every cut
+    best = [0, *(size * held for size, held in zip(lengths, rows[1:], strict=True))]
     back = []
     for _ in range(1, buckets):
-        new, arg = np.full(n + 1, np.inf), np.zeros(n + 1, np.int64)
-        new[0] = 0.0
-        stack = [(1, n, 0, n - 1)]
-        while stack:
-            lo, hi, a, b = stack.pop()
-            if lo > hi:
-                continue
-            j = (lo + hi) // 2
-            i = np.arange(a, min(b, j - 1) + 1)
-            cost = best[i] + size[j - 1] * (rows[j] - rows[i])
-            k = int(cost.argmin())
-            new[j], arg[j] = cost[k], i[k]
-            stack += [(lo, j - 1, a, int(i[k])), (j + 1, hi, int(i[k]), b)]
-        best = new
+        best, arg = next_row(lengths, rows, best)
         back.append(arg)
     out, j = [], n
     for arg in reversed(back):
-        out.append(int(size[j - 1]))
-        j = int(arg[j])
+        out.append(lengths[j - 1])
+        j = arg[j]
         if j == 0:
             break
     else:
-        out.append(int(size[j - 1]))
+        out.append(lengths[j - 1])
     return sorted(out)
 
 
 def boundaries_of(lengths: DataFrame, buckets: int = BUCKETS) -> list[int]:
-    """Boundaries over the global histogram of the column ``n_tokens``."""
-    hist = lengths.groupBy(bin_of(F.col("n_tokens"))).agg(
-        F.max("n_tokens").alias("longest"), F.count("*").alias("n"))
-    got = sorted((r["longest"], r["n"]) for r in hist.collect())  # a bounded number of bins
-    return best_boundaries([b for b, _ in got], [n for _, n in got], buckets)
+    """Boundaries over the global histogram of the column ``n_tokens``. The driver
+    gets one (length, count) per distinct length: no more than the longest
+    document has tokens, and fewer than the root of twice the corpus's tokens."""
+    hist = lengths.groupBy("n_tokens").agg(F.count("*").alias("n")).orderBy("n_tokens").toArrow()
+    return best_boundaries(hist.column("n_tokens").to_pylist(), hist.column("n").to_pylist(), buckets)
 
 
 def place(lengths: DataFrame, boundaries: list[int], token_budget: int = TOKEN_BUDGET) -> DataFrame:
