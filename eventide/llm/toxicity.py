@@ -16,6 +16,8 @@ spent), are made as words need them. A word is read once, letter by letter,
 and most words die within a few letters. Words one edit from a term that are as
 frequent in clean training rows as in toxic ones are ordinary words and match
 nothing; only a term whose other near words are so together matches exactly only.
+Ordinary words that are too many for a task to hold are a table that the near
+words found are joined with: same results, more shuffles.
 
 Context: a match inside quotation marks, or shortly after a word of reporting,
 counts as quoted; others count as direct. Four counts (direct or quoted, exact
@@ -45,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import written
+from eventide.llm.common import text_key, written
 
 SAMPLE_ROWS = 20_000      # labelled rows the lexicon is learned from, at most
 MIN_SUPPORT = 3           # toxic documents a term must stand in
@@ -54,7 +56,8 @@ CHANCE = 0.05             # terms that chance may add: the gain asked for is log
 COVER = 3                 # a row counts in full until so many chosen terms stand in it
 LIFT = 9                  # toxic rate over clean rate of a misspelling
 EVIDENCE = 3.0            # log-likelihood that makes a near word ordinary
-ORDINARY = 50_000         # ordinary near words kept, at most (the most frequent)
+ORDINARY = 50_000         # ordinary near words, and
+ORDINARY_BYTES = 1 << 23  # their bytes, that each task holds, at most; more are joined as a table
 STEM = range(3, 11)       # letters of a stem
 MIN_FUZZY = 5             # letters from which a misspelling counts
 NEAR_CHARS, NEAR_WORDS = 80, 6
@@ -210,6 +213,20 @@ def match_counts(auto: Automaton, text: str) -> tuple[int, int, int, int]:
     return tuple(out)
 
 
+def match_hits(auto: Automaton, text: str) -> tuple[int, int, dict[str, list[int]]]:
+    """Exact matches, direct and quoted, and per near word its [direct, quoted]."""
+    low = text.lower()
+    hits = {w: m for w in set(_WORD.findall(low)) if (m := auto.match(w))}
+    exact, near = [0, 0], {}
+    if hits:
+        same = text if len(low) == len(text) else low
+        for m in _WORD.finditer(low):
+            if (kind := hits.get(m.group())):
+                to = exact if kind == 2 else near.setdefault(m.group(), [0, 0])
+                to[_quoted(same, *m.span())] += 1
+    return exact[0], exact[1], near
+
+
 def direct_words(text: str, wanted=None) -> set[str]:
     """The lower-case words (those ``wanted``) that stand outside quotations at
     least once."""
@@ -346,7 +363,11 @@ def choose_terms(terms: list[str], toxic: np.ndarray, half: np.ndarray, rows: li
 
 
 def _counts(documents: DataFrame, terms, ordinary, *keep: str) -> DataFrame:
+    """``keep`` and the binned match counts of each row. Ordinary words that are a
+    table are taken out by a join."""
     schema = ", ".join(f"{c} {documents.schema[c].dataType.simpleString()}" for c in keep)
+    if isinstance(ordinary, DataFrame):
+        return _joined_counts(documents, terms, ordinary, schema, *keep)
 
     def run(batches):
         auto = Automaton(terms, ordinary)
@@ -360,6 +381,26 @@ def _counts(documents: DataFrame, terms, ordinary, *keep: str) -> DataFrame:
         run, f"{schema}, c0 long, c1 long, c2 long, c3 long")
 
 
+def _joined_counts(documents: DataFrame, terms, ordinary: DataFrame, schema: str, *keep: str) -> DataFrame:
+    def run(batches):
+        auto = Automaton(terms)
+        for b in batches:
+            got = [match_hits(auto, t or "") for t in _texts(b)]
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(c) for c in keep], b.column("_row"),
+                 pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()),
+                 pa.array([[{"w": w, "d": d, "q": q} for w, (d, q) in g[2].items()] for g in got],
+                          pa.list_(pa.struct([("w", pa.string()), ("d", pa.int64()), ("q", pa.int64())])))],
+                [*keep, "_row", "c0", "c2", "near"])
+    hits = written(documents.select(*keep, "text").withColumn("_row", F.monotonically_increasing_id()).mapInArrow(
+        run, f"{schema}, _row long, c0 long, c2 long, near array<struct<w: string, d: long, q: long>>"), "toxic-hits")
+    odd = hits.select("_row", F.inline("near")).join(ordinary.select("w"), "w", "left_anti").groupBy("_row").agg(
+        F.sum("d").alias("c1"), F.sum("q").alias("c3"))
+    top = F.lit(TOP_BIN).cast("long")
+    return hits.join(odd, "_row", "left").select(*keep, *[
+        F.least(F.coalesce(F.col(f"c{i}"), F.lit(0).cast("long")), top).alias(f"c{i}") for i in range(4)])
+
+
 def _evidence(p, n, toxic: int, clean: int):
     """Log-likelihood by which ``p`` toxic and ``n`` clean rows speak for an
     ordinary word (as frequent in either class) against a misspelling (``LIFT``
@@ -395,7 +436,9 @@ def near_words(documents: DataFrame, terms) -> DataFrame:
 def trusted_misspellings(documents: DataFrame, training: DataFrame, terms):
     """(terms, ordinary words). A word one edit from a term is ordinary, and no
     misspelling, where the rates of all training rows say so; misspelling goes
-    off for a term only where its other near words say so together."""
+    off for a term only where its other near words say so together. The ordinary
+    words are a set where a task can hold them, a table in the shared folder
+    beyond that."""
     able = [t for t in terms if t[2]]
     sizes = {r["toxic"]: r["count"] for r in training.select(
         (F.col("toxic") > 0).alias("toxic")).groupBy("toxic").count().collect()} if able else {}
@@ -406,9 +449,10 @@ def trusted_misspellings(documents: DataFrame, training: DataFrame, terms):
         F.sum((F.col("toxic") > 0).cast("long")).alias("p"),
         F.sum((F.col("toxic") <= 0).cast("long")).alias("n")), "toxic-near")
     says = _evidence(F.col("p"), F.col("n"), toxic, clean)
-    plain = seen.where(says > EVIDENCE).groupBy("w").agg(F.max("n").alias("n")).orderBy(
-        F.desc("n"), "w").limit(ORDINARY)
-    ordinary = frozenset(r["w"] for r in plain.collect())
+    plain = written(seen.where(says > EVIDENCE).select("w").distinct(), "toxic-ordinary")
+    size = plain.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("w")), F.lit(0)).alias("b")).first()
+    small = size["n"] <= ORDINARY and size["b"] <= ORDINARY_BYTES
+    ordinary = frozenset(r["w"] for r in plain.collect()) if small else plain
     rest = seen.where(says <= EVIDENCE).groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).collect()
     off = {able[r["term"]][0] for r in rest if _evidence(r["p"], r["n"], toxic, clean) > EVIDENCE}
     return [(t, s, f and t not in off) for t, s, f in terms], ordinary
@@ -462,6 +506,15 @@ def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5)
     columns."""
     terms, ordinary, weights, _ = fit(documents, labels)
     schema = documents.schema
+    if isinstance(ordinary, DataFrame):
+        named = documents.select("doc_id", text_key(F.col("text")).alias("key"), "text")
+        counts = _counts(named, terms, ordinary, "doc_id", "key")
+        z = sum((F.lit(float(w)) * F.col(f"c{i}") for i, w in enumerate(weights[1:])), F.lit(float(weights[0])))
+        bad = written(counts.where((1 / (1 + F.exp(-z)) >= threshold) & (F.col("c0") + F.col("c1") + F.col("c2")
+                                   + F.col("c3") > 0)).select("doc_id", "key").distinct(), "toxic-rejected")
+        mine = documents.alias("d")
+        return mine.join(bad.alias("b"), F.col("d.doc_id").eqNullSafe(F.col("b.doc_id"))
+                         & (text_key(F.col("d.text")) == F.col("b.key")), "left_anti")
 
     def run(batches):
         auto = Automaton(terms, ordinary)
