@@ -285,6 +285,27 @@ def test_a_clean_near_word_leaves_misspellings_on(spark):
     assert [auto.match(w) for w in ("moron", "morpn", "morqn", "oron")] == [2, 1, 1, 0]
 
 
+@pytest.mark.parametrize("bound", ["ORDINARY", "ORDINARY_BYTES"])
+def test_ordinary_words_as_a_table_give_the_same(spark, monkeypatch, bound):
+    rows, labels = near_word_rows()
+    rows = [*rows, (1001, "an oron here"), (None, "moron moron moron"), (None, None), (1002, ""),
+            (1003, 'he said "morpn" and oron, you moron')]
+    docs = docs_of(spark, rows).withColumn("key", F.lit("x")).withColumn("_row", F.lit(7)).withColumn("c0", F.lit(9))
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda sample: [("moron", False, True)])
+
+    def results():
+        _, ordinary, weights, counts = toxicity.fit(docs, lab)
+        return ordinary, weights, sorted(map(str, counts.collect())), sorted(
+            map(str, toxicity.drop_toxic(docs, lab).collect()))
+    held, weights, counts, left = results()
+    monkeypatch.setattr(toxicity, bound, 0)
+    table, weights_2, counts_2, left_2 = results()
+    assert held == {"oron"} and [r["w"] for r in table.collect()] == ["oron"]
+    assert np.allclose(weights, weights_2) and counts == counts_2
+    assert left == left_2 and len(left) < len(rows) - 100
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     terms, weights, counts = toxicity.train(docs_of(spark, [(1, "a b c")]), none)
@@ -332,6 +353,29 @@ def test_boundaries_are_lengths_of_documents(spark):
     assert packing.boundaries_of(spark.createDataFrame([(n,) for n in lengths], "n_tokens long")) == sorted(set(lengths))
 
 
+def test_long_lengths_are_cut_exactly():
+    """Against the plain quadratic program, on lengths and counts of any size."""
+    rng = random.Random(21)
+    for top in (40, 30_000, 10**15):
+        lengths = sorted({rng.randint(1, top) for _ in range(120)})
+        counts = [rng.randint(1, 10**rng.randint(0, 9)) for _ in lengths]
+        rows = [0, *itertools.accumulate(counts)]
+        best = [0, *(s * r for s, r in zip(lengths, rows[1:], strict=True))]
+        for k in range(1, 7):
+            got = packing.best_boundaries(lengths, counts, k)
+            cost = sum(c * next(b for b in got if b >= n) for n, c in zip(lengths, counts, strict=True))
+            assert len(got) <= k and cost == best[-1]
+            best = [0] + [min(best[i] + lengths[j - 1] * (rows[j] - rows[i]) for i in range(j))
+                          for j in range(1, len(rows))]
+
+
+def test_many_distinct_lengths_take_linear_time():
+    start = time.time()
+    got = packing.best_boundaries(list(range(1, 300_001)), [1 + i % 7 for i in range(300_000)])
+    assert len(got) == packing.BUCKETS and got[-1] == 300_000
+    assert time.time() - start < 30
+
+
 # ------------------------------------------------------------------------ pii
 
 def test_pseudonyms_keep_format_and_reverse():
