@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import text_key, written
+from eventide.llm.common import releasing, text_key, written
 
 SHINGLE = 5
 THRESHOLD = 85          # percent
@@ -193,7 +193,7 @@ def signatures(documents: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
                  _lists(band), _lists(par)],
                 ["doc_id", "n_shingles", "set_key", "bands", "parity"])
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, bands array<long>, parity array<long>")
+        releasing(run), "doc_id long, n_shingles long, set_key binary, bands array<long>, parity array<long>")
 
 
 def shingles_of(documents: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def shingles_of(documents: DataFrame) -> DataFrame:
             if sets:
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), _lists(sets)],
                                                  ["set_key", "shingles"])
-    return documents.select("text").mapInArrow(run, "set_key binary, shingles array<long>")
+    return documents.select("text").mapInArrow(releasing(run), "set_key binary, shingles array<long>")
 
 
 def _may_link(na, nb, threshold: int):

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import text_key, written
+from eventide.llm.common import releasing, text_key, written
 
 BUCKETS = 16
 TOKEN_BUDGET = 16_384
@@ -80,7 +80,7 @@ def token_lengths(documents: DataFrame) -> DataFrame:
                 ["doc_id", "key", "n_tokens"])
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", text_key(F.col("text")).alias("key"), "text").mapInArrow(
-        run, f"doc_id {kind}, key binary, n_tokens long")
+        releasing(run), f"doc_id {kind}, key binary, n_tokens long")
 
 
 def next_row(lengths: list[int], rows: list[int], best: list[int]) -> tuple[list[int], array]:

@@ -47,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import text_key, written
+from eventide.llm.common import releasing, text_key, written
 
 SAMPLE_ROWS = 20_000      # labelled rows the lexicon is learned from, at most
 MIN_SUPPORT = 3           # toxic documents a term must stand in
@@ -280,7 +280,7 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, bool, bool]]:
             yield pa.RecordBatch.from_arrays(
                 [b.column("toxic").cast(pa.int32()), pa.array(found, pa.list_(pa.string()))], ["toxic", "words"])
     held = written(rows.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(
-        direct, "toxic int, words array<string>"), "toxic-words")
+        releasing(direct), "toxic int, words array<string>"), "toxic-words")
     bad = F.col("toxic") > 0
     sizes = {r["bad"]: r["count"] for r in held.groupBy(bad.alias("bad")).count().collect()}
     toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
@@ -314,7 +314,7 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, bool, bool]]:
             yield pa.RecordBatch.from_arrays(
                 [pc.greater(b.column("toxic"), 0), pa.array(half, pa.int8()), pa.array(found, pa.binary())],
                 ["toxic", "half", "terms"])
-    seen = held.mapInArrow(incidence, "toxic boolean, half tinyint, terms binary").toArrow()
+    seen = held.mapInArrow(releasing(incidence), "toxic boolean, half tinyint, terms binary").toArrow()
     each_row = [np.frombuffer(t, kind) for t in seen.column("terms").to_pylist()]
     return choose_terms(best, np.array(seen.column("toxic").to_pylist(), bool),
                         np.array(seen.column("half").to_pylist(), np.int8), each_row, least)
@@ -378,7 +378,7 @@ def _counts(documents: DataFrame, terms, ordinary, *keep: str) -> DataFrame:
                 [*[b.column(c) for c in keep], *[pa.array(got[:, i]) for i in range(4)]],
                 [*keep, "c0", "c1", "c2", "c3"])
     return documents.select(*keep, "text").mapInArrow(
-        run, f"{schema}, c0 long, c1 long, c2 long, c3 long")
+        releasing(run), f"{schema}, c0 long, c1 long, c2 long, c3 long")
 
 
 def _joined_counts(documents: DataFrame, terms, ordinary: DataFrame, schema: str, *keep: str) -> DataFrame:
@@ -393,7 +393,7 @@ def _joined_counts(documents: DataFrame, terms, ordinary: DataFrame, schema: str
                           pa.list_(pa.struct([("w", pa.string()), ("d", pa.int64()), ("q", pa.int64())])))],
                 [*keep, "_row", "c0", "c2", "near"])
     hits = written(documents.select(*keep, "text").withColumn("_row", F.monotonically_increasing_id()).mapInArrow(
-        run, f"{schema}, _row long, c0 long, c2 long, near array<struct<w: string, d: long, q: long>>"), "toxic-hits")
+        releasing(run), f"{schema}, _row long, c0 long, c2 long, near array<struct<w: string, d: long, q: long>>"), "toxic-hits")
     odd = hits.select("_row", F.inline("near")).join(ordinary.select("w"), "w", "left_anti").groupBy("_row").agg(
         F.sum("d").alias("c1"), F.sum("q").alias("c3"))
     top = F.lit(TOP_BIN).cast("long")
@@ -430,7 +430,7 @@ def near_words(documents: DataFrame, terms) -> DataFrame:
                                               pa.array(word, pa.string())], ["doc_id", "term", "w"])
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.where("doc_id is not null").select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, term int, w string")
+        releasing(run), f"doc_id {kind}, term int, w string")
 
 
 def trusted_misspellings(documents: DataFrame, training: DataFrame, terms):
@@ -522,4 +522,4 @@ def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5)
             got = _binned(np.array([match_counts(auto, t or "") for t in _texts(b)], np.int64).reshape(-1, 4))
             z = weights[0] + got @ weights[1:]
             yield b.filter(pa.array((1 / (1 + np.exp(-z)) < threshold) | ~got.any(axis=1)))
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(releasing(run), schema)
