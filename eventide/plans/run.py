@@ -27,6 +27,7 @@ import argparse
 import importlib
 import inspect
 import os
+import warnings
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -194,15 +195,26 @@ PER_BATCH = ("j1", "j6", "j7", "j9")
 
 def bounded_run(spark, args):
     """A bounded replay of a per-batch job: its batch form over the log as it
-    is now, so every batch is whole and nothing is late. The job's first output
-    goes to ``--out``, any other to ``<out>_<name>``."""
+    is now, so every batch is whole and nothing is late, whatever the sink.
+
+    ``parquet``: the job's first output goes to ``--out``, any other to
+    ``<out>_<name>``. ``memory``: the outputs are temporary views, ``--name`` and
+    ``<name>_<output>``. ``console``: the first rows of each output by batch.
+    ``--once`` keeps one record per topic, partition and offset."""
     records = spark.read.parquet(args.replay)
+    if args.once:
+        records = records.dropDuplicates(["topic", "partition", "offset"])
     outputs = CATCH_UP[args.job]
-    if args.job == "j6":
+    if args.sink == "parquet" and args.job == "j6":
         return pj.write_sorted_batches(pj.j1_word_count(records), args.out, mode="errorifexists")
     for i, (name, build_one) in enumerate(outputs.items()):
-        path = f"{args.out}_{name}" if i else args.out
-        build_one(records).write.mode("errorifexists").parquet(path)
+        out = build_one(records)
+        if args.sink == "parquet":
+            out.write.mode("errorifexists").parquet(f"{args.out}_{name}" if i else args.out)
+        elif args.sink == "memory":
+            out.createOrReplaceTempView(f"{args.name}_{name}" if i else args.name)
+        else:
+            out.orderBy("batch_id").show(truncate=False)
 
 
 def main(argv=None, spark=None):
@@ -286,7 +298,7 @@ def main(argv=None, spark=None):
         return jdbc_run(spark, args)
     if args.catch_up:
         return catch_up(spark, args)
-    if args.available_now and args.source == "replay" and args.sink == "parquet" and args.job in PER_BATCH:
+    if args.available_now and args.source == "replay" and args.sink != "state" and args.job in PER_BATCH:
         return bounded_run(spark, args)
     df, mode = build(spark, args)
     trigger = {"availableNow": True} if args.available_now else \
@@ -294,6 +306,10 @@ def main(argv=None, spark=None):
     q = sj.start(df, mode, args.sink, args.checkpoint, path=args.out, name=args.name,
                  trigger=trigger)
     q.awaitTermination()
+    late = sum({r["batch_id"]: r["late_rows"] for r in sj.progress_offsets(q)}.values())
+    if late:
+        warnings.warn(f"{args.name}: at least {late} rows came after the watermark and were dropped; raise the "
+                      "lateness or use --catch-up", stacklevel=2)
     return q
 
 

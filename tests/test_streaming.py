@@ -322,6 +322,24 @@ def test_bounded_run_keeps_unevenly_advancing_partitions(spark, tmp_dir):
     assert spark.read.parquet(out).agg(F.sum("n")).first()[0] == skewed.count()
 
 
+def test_bounded_run_is_whole_in_memory_and_on_the_console(spark, tmp_dir, capfd):
+    """Partitions that advance unevenly lose nothing there either, and ``--once``
+    drops slices that the log holds twice."""
+    from eventide.plans import run
+    recs = events_envelope(spark, SF01, "type", keep=())
+    skewed = recs.withColumn("offset", F.when(F.col("partition") == 0, F.col("offset") * 1000)
+                             .otherwise(F.col("offset"))).withColumn("batch_id", F.expr("`offset` div 500"))
+    path = os.path.join(tmp_dir, "log")
+    skewed.unionByName(skewed).write.parquet(path)
+    args = ["j7", "--source", "replay", "--replay", path, "--available-now"]
+    run.main([*args, "--sink", "memory", "--name", "whole_j7"], spark=spark)
+    run.main([*args, "--sink", "memory", "--name", "once_j7", "--once"], spark=spark)
+    assert spark.table("whole_j7").agg(F.sum("n")).first()[0] == 2 * skewed.count()
+    assert spark.table("once_j7").agg(F.sum("n")).first()[0] == skewed.count()
+    run.main([*args, "--sink", "console", "--name", "shown_j7"], spark=spark)
+    assert "batch_id" in capfd.readouterr().out
+
+
 def test_time_clock_without_record_times_fails(spark, doc_log, tmp_dir):
     df, mode = jobs.word_count_per_batch(replay_records(spark, doc_log), clock="time")
     with pytest.raises(Exception, match="needs a record time"):
